@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ratingloom.staging import broadcast_if_small, stage
+from ratingloom.staging import stage
 
 
 def _rare(interactions: DataFrame, key: str, minimum: int) -> DataFrame:
@@ -38,7 +38,7 @@ def core_filter(
                 dropped[key] = stage(dropped[key].unionByName(rare), f"dropped-{key}") if key in dropped else rare
                 kept = interactions
                 for side, ids in dropped.items():
-                    kept = kept.join(broadcast_if_small(ids), side, "left_anti")
+                    kept = kept.join(ids, side, "left_anti")
             if clean_keys == 2:
                 return kept
     raise RuntimeError(f"the core did not settle within {max_rounds} rounds")

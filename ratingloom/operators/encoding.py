@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ratingloom.operators.ordering import global_rank
-from ratingloom.staging import broadcast_if_small, stage
+from ratingloom.staging import stage
 
 
 def fit_encoder(train: DataFrame, column: str) -> DataFrame:
@@ -23,7 +23,7 @@ def encode(
     out = df
     for encoder, column, index in ((users, "user_id", "user_idx"), (items, "item_id", "item_idx")):
         lookup = encoder.select(F.col("id").alias(column), F.col("idx").alias(index))
-        out = out.join(broadcast_if_small(lookup), column, how)
+        out = out.join(lookup, column, how)
         if how == "left":
             message = F.concat(F.lit(f"unknown {column}: "), F.col(column).cast("string"))
             out = out.withColumn(index, F.coalesce(F.col(index), F.raise_error(message).cast("long")))
@@ -33,13 +33,13 @@ def encode(
 def decode(df: DataFrame, encoder: DataFrame, index: str, column: str) -> DataFrame:
     """Add the original id of an index column."""
     lookup = encoder.select(F.col("idx").alias(index), F.col("id").alias(column))
-    return df.join(broadcast_if_small(lookup), index)
+    return df.join(lookup, index)
 
 
 def lookup(ids: DataFrame, encoder: DataFrame, column: str = "id", index: str = "idx") -> DataFrame:
     """Index of every requested id, null when unknown."""
     table = encoder.select(F.col("id").alias(column), F.col("idx").alias(index))
-    return ids.join(broadcast_if_small(table), column, "left")
+    return ids.join(table, column, "left")
 
 
 def page(encoder: DataFrame, limit: int = 100, offset: int = 0) -> DataFrame:

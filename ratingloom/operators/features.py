@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ratingloom.staging import one_value
+from ratingloom.staging import one_value, stage
 
 DAY = 24 * 3600
 
@@ -39,15 +39,16 @@ def user_stats(ratings: DataFrame) -> DataFrame:
 def normalize_ratings(ratings: DataFrame, method: str = "mean_centering") -> DataFrame:
     """Add ``rating_normalized``.
 
-    Per-user methods aggregate first and join the small result back: the aggregate combines
-    map-side and the join can split a heavy user, which a window over users could not.
+    Per-user methods aggregate first, store the per-user table and join it back. The aggregate
+    combines map-side, and the join with a stored table is either broadcast by size or can
+    split a heavy user, which a window over users could not.
     """
     rating = F.col("rating")
     if method == "mean_centering":
-        joined = ratings.join(user_means(ratings), "user_id")
+        joined = ratings.join(stage(user_means(ratings), "user-means"), "user_id")
         normalized = rating - F.col("mean")
     elif method == "z_score":
-        joined = ratings.join(user_stats(ratings), "user_id")
+        joined = ratings.join(stage(user_stats(ratings), "user-stats"), "user_id")
         normalized = F.try_divide(rating - F.col("mean"), F.col("std"))
     elif method == "min_max":
         joined = ratings

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ratingloom.functions.titles import genre_list
 from ratingloom.operators.ordering import global_rank
-from ratingloom.staging import broadcast_if_small, fits_broadcast, stage
+from ratingloom.staging import fits_broadcast, stage
 
 
 def genre_vocabulary(items: DataFrame) -> DataFrame:
@@ -72,7 +72,7 @@ def signature_weights(matrix: DataFrame, index: GenreIndex) -> DataFrame:
     weight = F.greatest(F.lit(0.0), (F.col("value") - 2.5) / 2.5)
     rated = F.col("value") > 0
     return (
-        matrix.join(broadcast_if_small(index.item_signatures), "item_idx")
+        matrix.join(index.item_signatures, "item_idx")
         .groupBy("user_idx", "sig")
         .agg(
             F.sum(F.when(rated, weight).otherwise(0.0)).alias("weight"),
@@ -86,7 +86,7 @@ def preferences(weights: DataFrame, index: GenreIndex) -> DataFrame:
     """``(user_idx, genre_idx, pref)``: unit preference vectors, zero entries left out."""
     raw = (
         weights.where(F.col("weight") > 0)
-        .join(broadcast_if_small(index.signature_genres), "sig")
+        .join(index.signature_genres, "sig")
         .groupBy("user_idx", "genre_idx")
         .agg(F.sum("weight").alias("weight"))
     )
@@ -98,7 +98,7 @@ def preferences(weights: DataFrame, index: GenreIndex) -> DataFrame:
 def user_genre_preferences(matrix: DataFrame, index: GenreIndex) -> DataFrame:
     """Named preferences ``(user_idx, genre, pref)``."""
     prefs = preferences(signature_weights(matrix, index), index)
-    return prefs.join(broadcast_if_small(index.vocabulary), "genre_idx").select("user_idx", "genre", "pref")
+    return prefs.join(index.vocabulary, "genre_idx").select("user_idx", "genre", "pref")
 
 
 def signature_scores(prefs: DataFrame, touched: DataFrame, index: GenreIndex) -> DataFrame:
@@ -133,15 +133,17 @@ def signature_scores(prefs: DataFrame, touched: DataFrame, index: GenreIndex) ->
 def content_scores(pairs: DataFrame, prefs: DataFrame, index: GenreIndex) -> DataFrame:
     """Content score of given (user, item) pairs; 0 when they share no genre."""
     pairs = pairs.select("user_idx", "item_idx")
-    wanted = pairs.join(broadcast_if_small(index.item_signatures), "item_idx")
+    wanted = pairs.join(index.item_signatures, "item_idx")
     # Score every distinct (user, signature) once; pairs that share it reuse the result.
     distinct = wanted.select("user_idx", "sig").distinct()
     scored = (
-        distinct.join(broadcast_if_small(index.signature_genres), "sig")
+        distinct.join(index.signature_genres, "sig")
         .join(prefs, ["user_idx", "genre_idx"])
         .groupBy("user_idx", "sig")
         .agg((F.sum("pref") / F.sqrt(F.max("size"))).alias("content"))
     )
+    # Stored, so that a (user, signature) with very many pairs can be split in the join.
+    scored = stage(scored, "content")
     return wanted.join(scored, ["user_idx", "sig"], "left").select(
         "user_idx", "item_idx", F.coalesce("content", F.lit(0.0)).alias("content")
     )

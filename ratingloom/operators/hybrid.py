@@ -2,111 +2,103 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratingloom.operators.genres import GenreIndex, preferences, signature_scores, signature_weights
 from ratingloom.operators.ordering import global_rank
-from ratingloom.operators.topk import with_rank
-from ratingloom.operators.unseen import first_unseen
-from ratingloom.staging import broadcast_if_small, stage
+from ratingloom.operators.topk import score_key, with_rank
+from ratingloom.operators.unseen import first_unseen, unseen_candidates
+from ratingloom.staging import fits_broadcast, stage
 
-SCORE_DIGITS = 9  # scores are ranked after rounding, so summation order cannot reorder ties
+
+def _of_users(rows: DataFrame, users: DataFrame) -> DataFrame:
+    """Drop rows of other users where that needs no shuffle; later joins on the user drop the rest."""
+    return rows.join(F.broadcast(users), "user_idx", "left_semi") if fits_broadcast(users) else rows
 
 
 class HybridModel:
     """Stored tables of the blended model for one training matrix.
 
     An item's content score depends on its genre signature alone, so inside a signature items
-    are ordered by popularity. ``lists`` ``(sig, pos, item_idx, score, total)`` holds these orders.
+    are ordered by popularity. ``lists`` ``(sig, pos, item_idx, score, place)`` holds these orders,
+    with the item's place in the order of all items, which also breaks ties of the final score.
     """
 
-    def __init__(self, matrix: DataFrame, scores: DataFrame, ranked: DataFrame, index: GenreIndex, weight: float = 0.6):
-        self.ranked, self.index, self.weight = ranked, index, weight
+    def __init__(self, matrix: DataFrame, ranked: DataFrame, index: GenreIndex, weight: float = 0.6):
+        self.places, self.index, self.weight = ranked.withColumn("place", F.col("pos")), index, weight
         self.seen = matrix.select("user_idx", "item_idx")
         self.weights = stage(signature_weights(matrix, index), "signature-weights")
         self.preferences = stage(preferences(self.weights, index), "preferences")
-        joined = scores.join(index.item_signatures, "item_idx").select("sig", "item_idx", "score", "total")
-        placed = global_rank(joined, F.asc("sig"), F.desc("total"), F.desc("item_idx"), name="_at")
-        starts = placed.groupBy("sig").agg(F.min("_at").alias("_first"))
+        joined = ranked.withColumnRenamed("pos", "place").join(index.item_signatures, "item_idx")
+        placed = global_rank(joined.select("sig", "item_idx", "score", "place"), F.asc("sig"), F.asc("place"), name="_at")
+        starts = stage(placed.groupBy("sig").agg(F.min("_at").alias("_first")), "signature-starts")
         lists = placed.join(starts, "sig").withColumn("pos", F.col("_at") - F.col("_first") + 1)
-        self.lists = stage(lists.select("sig", "pos", "item_idx", "score", "total"), "signature-lists")
+        self.lists = stage(lists.select("sig", "pos", "item_idx", "score", "place"), "signature-lists")
+        best = self.lists.where(F.col("pos") == 1)
+        self.best = stage(
+            best.select("sig", F.col("score").alias("_score"), F.col("place").alias("_place")), "signature-best"
+        )
+        # A user without any rating above 0 has no preferences at all and keeps the plain score.
+        self.raters = stage(self.weights.where(F.col("n_rated") > 0).select("user_idx").distinct(), "raters")
 
     def recommend(self, users: DataFrame, k: int = 10, exclude_seen: bool = True) -> DataFrame:
-        """``(user_idx, item_idx, score, rank)`` for the given users."""
+        """``(user_idx, item_idx, score, rank)`` for the given users, a stored table of distinct rows."""
         users = users.select("user_idx")
-        seen = self.seen.join(users, "user_idx", "left_semi")
-        if not exclude_seen:
-            seen = seen.limit(0)
+        seen = _of_users(self.seen, users) if exclude_seen else self.seen.where(F.lit(False))
         candidates = self._from_signatures(users, seen, k, exclude_seen).unionByName(
             self._from_popularity(users, seen, k)
         )
-        order = [F.desc(F.round("score", SCORE_DIGITS)), F.desc("total"), F.desc("item_idx")]
-        distinct = candidates.dropDuplicates(["user_idx", "item_idx"])
-        return with_rank(distinct, ["user_idx"], order, k).select("user_idx", "item_idx", "score", "rank")
+        order = [F.desc("_key"), F.asc("place")]
+        keyed = candidates.withColumn("_key", score_key(F.col("score")))
+        return with_rank(keyed, ["user_idx"], order, k).select("user_idx", "item_idx", "score", "rank")
 
-    def _blend(self, popularity, content):
+    def _blend(self, popularity: Column, content: Column) -> Column:
         return self.weight * popularity + (1 - self.weight) * content
 
     def _from_signatures(self, users: DataFrame, seen: DataFrame, k: int, exclude_seen: bool) -> DataFrame:
         """Candidates that share a genre with the user.
 
-        The best item of a signature stands for it. A signature that k wholly unseen signatures
-        precede cannot contribute, since their best items all come first; the others are
-        expanded by their first k unseen items.
+        The best item of a signature stands for it. The best items of wholly unseen signatures
+        ahead of a signature all come before its items, so with a of them only its first k - a
+        unseen items can matter, and none when a reaches k.
         """
-        best = self.lists.where(F.col("pos") == 1).select(
-            "sig", F.col("score").alias("_score"), F.col("total").alias("_total"), F.col("item_idx").alias("_item")
-        )
         prefs = self.preferences.join(users, "user_idx", "left_semi")
-        touched = self.weights.select("user_idx", "sig").join(users, "user_idx", "left_semi")
-        scored = signature_scores(prefs, touched, self.index).join(broadcast_if_small(best), "sig")
+        touched = _of_users(self.weights.select("user_idx", "sig"), users)
+        scored = signature_scores(prefs, touched, self.index).join(self.best, "sig")
+        scored = scored.withColumn("_key", score_key(self._blend(F.col("_score"), F.col("content"))))
         untouched = (1 - F.col("touched")) if exclude_seen else F.lit(1)
-        order = Window.partitionBy("user_idx").orderBy(
-            F.desc(F.round(self._blend(F.col("_score"), F.col("content")), SCORE_DIGITS)),
-            F.desc("_total"),
-            F.desc("_item"),
-        )
-        ahead = F.sum(untouched).over(order.rowsBetween(Window.unboundedPreceding, -1))
+        order = Window.partitionBy("user_idx").orderBy(F.desc("_key"), F.asc("_place"))
+        ahead = F.coalesce(F.sum(untouched).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         chosen = stage(
-            scored.withColumn("_ahead", F.coalesce(ahead, F.lit(0)))
-            .where(F.col("_ahead") < k)
-            .select("user_idx", "sig", "content"),
+            scored.withColumn("quota", (k - ahead).cast("int"))
+            .where(F.col("quota") > 0)
+            .select("user_idx", "sig", "content", "quota"),
             "chosen-signatures",
         )
-        picked = first_unseen(
-            chosen.select("user_idx", "sig"), self.lists, seen, k, by=("sig",), carry=("score", "total")
+        picked = unseen_candidates(
+            chosen.select("user_idx", "sig", "quota"), self.lists, seen, k, by=("sig",), carry=("score", "place")
         )
         return picked.join(chosen, ["user_idx", "sig"]).select(
-            "user_idx", "item_idx", self._blend(F.col("score"), F.col("content")).alias("score"), "total"
+            "user_idx", "item_idx", self._blend(F.col("score"), F.col("content")).alias("score"), "place"
         )
 
     def _from_popularity(self, users: DataFrame, seen: DataFrame, k: int) -> DataFrame:
-        """Candidates for content score 0, and the whole answer for users without any rating above 0.
+        """Candidates that share no genre with the user, among them all items for users without preferences.
 
-        Items without a shared genre score by popularity alone, so only the user's first k unseen
-        items can matter. Those that do share a genre get their true score here as well.
+        These score by popularity alone, so only the user's first k unseen items can matter.
         """
-        picked = first_unseen(users, self.ranked, seen, k, carry=("score", "total"))
-        listed = picked.join(broadcast_if_small(self.index.item_signatures), "item_idx")
-        content = (
+        picked = first_unseen(users, self.places, seen, k, carry=("score", "place"))
+        listed = picked.join(self.index.item_signatures, "item_idx")
+        sharing = (
             listed.select("user_idx", "sig")
             .distinct()
-            .join(broadcast_if_small(self.index.signature_genres), "sig")
+            .join(self.index.signature_genres, "sig")
             .join(self.preferences, ["user_idx", "genre_idx"])
-            .groupBy("user_idx", "sig")
-            .agg((F.sum("pref") / F.sqrt(F.max("size"))).alias("content"))
-        )
-        raters = (
-            self.weights.where(F.col("n_rated") > 0).select("user_idx").distinct().withColumn("_rates", F.lit(True))
+            .select("user_idx", "sig")
         )
-        blended = self._blend(F.col("score"), F.coalesce("content", F.lit(0.0)))
+        score = F.when(F.col("_rates"), self.weight * F.col("score")).otherwise(F.col("score"))
         return (
-            listed.join(content, ["user_idx", "sig"], "left")
-            .join(raters, "user_idx", "left")
-            .select(
-                "user_idx",
-                "item_idx",
-                F.when(F.col("_rates"), blended).otherwise(F.col("score")).alias("score"),
-                "total",
-            )
+            listed.join(sharing, ["user_idx", "sig"], "left_anti")
+            .join(self.raters.withColumn("_rates", F.lit(True)), "user_idx", "left")
+            .select("user_idx", "item_idx", score.alias("score"), "place")
         )

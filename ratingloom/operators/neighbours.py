@@ -13,12 +13,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from ratingloom.operators.topk import with_rank
-from ratingloom.staging import broadcast_if_small, stage
+from ratingloom.operators.topk import SCORE_SCALE, score_key, with_rank
+from ratingloom.staging import stage
 
 BLOCK_BYTES = 32 * 1024 * 1024  # vectors of one block
 CHUNK_CELLS = 4_000_000  # scores held at once inside a task
-DIGITS = 9
 
 
 def _dot(queries: list[np.ndarray], corpus: list[np.ndarray]) -> Callable[[int, int], np.ndarray]:
@@ -60,18 +59,22 @@ def _best_of_block(kernel: str, n: int):
             return empty
         corpus = corpus.sort_values("cid", ascending=False)  # equal scores: higher id first
         ids = corpus["cid"].to_numpy()
+        rising = ids[::-1]
         score_rows = KERNELS[kernel](list(queries["qvec"]), list(corpus["cvec"]))
         skipped = list(queries["skip"])
         step = max(1, CHUNK_CELLS // len(ids))
         out_q, out_c, out_s = [], [], []
         for start in range(0, len(queries), step):
             block = score_rows(start, min(start + step, len(queries)))
-            rounded = np.round(block, DIGITS)
+            keys = np.floor(block * SCORE_SCALE + 0.5)
             for row in range(len(block)):
-                values = rounded[row]
+                values = keys[row]
                 skip = skipped[start + row]
                 if skip is not None and len(skip):
-                    values[np.isin(ids, skip)] = -np.inf
+                    at = np.searchsorted(rising, skip)
+                    at = at[(at < len(ids))]
+                    at = at[np.isin(rising[at], skip)]
+                    values[len(ids) - 1 - at] = -np.inf
                 if len(values) > n:
                     bound = np.partition(values, len(values) - n)[len(values) - n]
                     near = np.flatnonzero(values >= bound)
@@ -134,8 +137,8 @@ def blocked_top_n(
         .cogroup(right.groupBy("qb", "cb"))
         .applyInPandas(_drop_keys(_best_of_block(kernel, n)), "qid long, cid long, score double")
     )
-    order = [F.desc(F.round("score", DIGITS)), F.desc("cid")]
-    return with_rank(best, ["qid"], order, n)
+    keyed = best.withColumn("_key", score_key(F.col("score")))
+    return with_rank(keyed, ["qid"], [F.desc("_key"), F.desc("cid")], n).drop("_key")
 
 
 def _drop_keys(best):
@@ -180,16 +183,16 @@ def similar_by_genre(items: DataFrame, index, n: int = 10) -> DataFrame:
         .select("sig_of", "sig", F.col("score").alias("similarity"))
     )
     entries = wanted.join(first.select("sig", F.col("item_idx").alias("similar_idx")), "sig")
-    order = [F.desc(F.round("similarity", DIGITS)), F.desc("similar_idx")]
+    order = [F.desc(score_key(F.col("similarity"))), F.desc("similar_idx")]
     lists = stage(
         with_rank(entries, ["sig_of"], order, n + 1, name="_at").select("sig_of", "similar_idx", "similarity", "_at"),
         "signature-neighbours",
     )
     mine = items.select("item_idx").join(members, "item_idx").withColumnRenamed("sig", "sig_of")
-    listed = mine.join(broadcast_if_small(lists), "sig_of")
+    listed = mine.join(lists, "sig_of")
     # An item is in its own list at most once; entries behind it move up by one.
     own = lists.select("sig_of", F.col("similar_idx").alias("item_idx"), F.col("_at").alias("_own"))
-    placed = listed.join(broadcast_if_small(own), ["sig_of", "item_idx"], "left").where(
+    placed = listed.join(own, ["sig_of", "item_idx"], "left").where(
         F.col("item_idx") != F.col("similar_idx")
     )
     rank = F.col("_at") - F.coalesce((F.col("_at") > F.col("_own")).cast("int"), F.lit(0))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ratingloom.staging import stage
@@ -30,47 +33,69 @@ def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     return placed.select(*df.columns, (F.col("_start") + offset + 1).alias(name))
 
 
-def keys_at(df: DataFrame, keys: list[str], positions: list[int]) -> list[tuple | None]:
-    """Key tuples of the rows at the given 0-based positions of the order by ``keys``.
+def keys_at(
+    df: DataFrame,
+    keys: list[str],
+    positions: Callable[[int], list[int]],
+    bounds: tuple[int, int] | None = None,
+) -> list[tuple | None]:
+    """Key tuples of the rows at given 0-based positions of the order by ``keys``.
 
     Selection instead of sorting: a histogram over the first key finds the bucket that holds a
     position, and only that bucket is refined, key by key. Every step is a column-pruned,
     range-filtered scan whose result is at most ``BUCKETS`` rows, so no step depends on how the
-    rows are spread: a single value holding most rows is refined by the next key. ``keys`` are
-    integer columns, unique as a tuple and without nulls. A position past the end gives None.
+    rows are spread: a single value holding most rows is refined by the next key.
+
+    ``keys`` are integer columns, unique as a tuple and without nulls; ``positions`` gets the
+    number of rows; ``bounds`` is the range of the first key when known. A position past the end
+    gives None.
     """
     table = df.select(*keys)
-    n, low, high = table.agg(F.count("*"), F.min(keys[0]), F.max(keys[0])).first()
+    if bounds:
+        n, (low, high) = table.count(), bounds
+    else:
+        n, low, high = table.agg(F.count("*"), F.min(keys[0]), F.max(keys[0])).first()
+    wanted = positions(n)
     found: dict[int, tuple] = {}
-    open_tasks = [(table, 0, low, high, n, [(p, p) for p in sorted(set(positions)) if 0 <= p < n])]
-    while open_tasks:
-        part, depth, low, high, size, wanted = open_tasks.pop()
-        if not wanted:
+    # (rows, depth of the current key, its range, number of rows, [(position, offset in the rows)])
+    tasks = [([], 0, low, high, n, [(p, p) for p in sorted(set(wanted)) if 0 <= p < n])]
+    small: list[tuple[list[tuple[int, int, int]], list[tuple[int, int]]]] = []
+    while tasks:
+        path, depth, low, high, size, inside = tasks.pop()
+        if not inside:
             continue
+        ranges = [*path, (depth, low, high)]
         if size <= SMALL:
-            rows = part.orderBy(*keys).collect()  # at most SMALL rows
-            found.update({position: tuple(rows[offset]) for position, offset in wanted})
+            small.append((ranges, inside))
             continue
-        key = F.col(keys[depth])
+        part = table.where(_within(keys, ranges))
         if low == high:
-            if depth + 1 == len(keys):
-                found.update({position: tuple(part.first()) for position, _ in wanted})
+            if depth + 1 == len(keys):  # equal tuples
+                found.update({p: tuple(bound for _, bound, _ in ranges) for p, _ in inside})
                 continue
             following = keys[depth + 1]
             below, above = part.agg(F.min(following), F.max(following)).first()
-            open_tasks.append((part, depth + 1, below, above, size, wanted))
+            tasks.append((ranges, depth + 1, below, above, size, inside))
             continue
         width = -(-(high - low + 1) // BUCKETS)
         bucket = F.expr(f"(`{keys[depth]}` - ({low}L)) div {width}L")  # exact integer division
-        counts = sorted(part.groupBy(bucket.alias("b")).count().collect())
         passed = 0
-        for b, count in counts:
-            inside = [(p, o - passed) for p, o in wanted if passed <= o < passed + count]
-            if inside:
-                left, right = low + b * width, min(high, low + (b + 1) * width - 1)
-                open_tasks.append((part.where(key.between(left, right)), depth, left, right, count, inside))
+        for b, count in sorted(part.groupBy(bucket.alias("b")).count().collect()):
+            here = [(p, o - passed) for p, o in inside if passed <= o < passed + count]
+            left = low + b * width
+            tasks.append((path, depth, left, min(high, left + width - 1), count, here))
             passed += count
-    return [found.get(p) for p in positions]
+    if small:  # one scan for all small buckets: at most SMALL rows per position
+        conditions = [_within(keys, ranges) for ranges, _ in small]
+        rows = sorted(tuple(r) for r in table.where(reduce(lambda a, b: a | b, conditions)).collect())
+        for ranges, inside in small:
+            bucket_rows = [r for r in rows if all(low <= r[depth] <= high for depth, low, high in ranges)]
+            found.update({p: bucket_rows[offset] for p, offset in inside})
+    return [found.get(p) for p in wanted]
+
+
+def _within(keys: list[str], ranges: list[tuple[int, int, int]]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(keys[depth]).between(low, high) for depth, low, high in ranges])
 
 
 def precedes(keys: list[str], cut: tuple | None) -> Column:

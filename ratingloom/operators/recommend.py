@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ratingloom.operators.encoding import decode, lookup, page
-from ratingloom.staging import broadcast_if_small, one_value, stage
+from ratingloom.staging import one_value, stage
 
 Recommend = Callable[[DataFrame, int], DataFrame]
 
@@ -47,7 +47,7 @@ def recommend_known(
         "known-users",
     )
     recs = recommend(known.select("user_idx"), k)
-    named = decode(recs, items_encoder, "item_idx", "item_id").join(broadcast_if_small(known), "user_idx")
+    named = decode(recs, items_encoder, "item_idx", "item_id").join(known, "user_idx")
     return add_metadata(named, catalogue, "Item ").select("user_id", "rank", "item_id", "score", "title", "genres")
 
 
@@ -91,7 +91,7 @@ def similar_items(
         ),
         "known-items",
     )
-    found = similar(known.select("item_idx"), k).join(broadcast_if_small(known), "item_idx")
+    found = similar(known.select("item_idx"), k).join(known, "item_idx")
     named = decode(found, items_encoder, "similar_idx", "similar_item_id")
     return add_metadata(named, catalogue, column="similar_item_id").select(
         "item_id", "rank", "similar_item_id", "similarity", "title", "genres"
@@ -102,8 +102,13 @@ def user_history(
     requests: DataFrame, matrix: DataFrame, users: DataFrame, items_encoder: DataFrame, catalogue: DataFrame
 ) -> DataFrame:
     """``(user_id, item_id, rating, title)`` of the train items of the requested users."""
-    known = lookup(requests.select("user_id").distinct(), users, "user_id", "user_idx")
-    mine = matrix.join(known.where(F.col("user_idx").isNotNull()), "user_idx")
+    known = stage(
+        lookup(requests.select("user_id").distinct(), users, "user_id", "user_idx").where(
+            F.col("user_idx").isNotNull()
+        ),
+        "known-users",
+    )
+    mine = matrix.join(known, "user_idx")
     named = decode(mine, items_encoder, "item_idx", "item_id").withColumnRenamed("value", "rating")
     default = F.concat(F.lit("Item "), F.col("item_id").cast("string"))
     titles = catalogue.select("item_id", F.coalesce("title", default).alias("title"))

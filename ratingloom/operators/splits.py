@@ -7,7 +7,8 @@ Inputs should be stored tables, since finding the cuts scans them a few times.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,6 +17,7 @@ from ratingloom.operators.ordering import keys_at, precedes
 PARTS = ("train", "val", "test")
 TIME_KEYS = ["timestamp", "user_id", "item_id"]
 HASH_KEYS = ["_hash", "user_id", "item_id"]
+HASH_BOUNDS = (0, 16**15 - 1)
 
 
 def _check(ratios: Sequence[float]) -> None:
@@ -23,8 +25,14 @@ def _check(ratios: Sequence[float]) -> None:
         raise ValueError(f"ratios must sum to 1.0, got {sum(ratios)}")
 
 
-def _label(df: DataFrame, keys: list[str], ends: list[int], names: Sequence[str]) -> DataFrame:
-    cuts = keys_at(df, keys, ends)
+def _label(
+    df: DataFrame,
+    keys: list[str],
+    ends: Callable[[int], list[int]],
+    names: Sequence[str],
+    bounds: tuple[int, int] | None = None,
+) -> DataFrame:
+    cuts = keys_at(df, keys, ends, bounds)
     part = F.lit(names[-1])
     for name, cut in reversed(list(zip(names, cuts))):
         part = F.when(precedes(keys, cut), F.lit(name)).otherwise(part)
@@ -38,8 +46,8 @@ def _hashed(df: DataFrame, seed: int) -> DataFrame:
     return df.withColumn("_hash", F.conv(digits, 16, 10).cast("long"))
 
 
-def _three_ends(n: int, train: float, val: float) -> list[int]:
-    return [int(n * train), int(n * (train + val))]
+def _three_ends(train: float, val: float) -> Callable[[int], list[int]]:
+    return lambda n: [int(n * train), int(n * (train + val))]
 
 
 def temporal_split(
@@ -47,7 +55,7 @@ def temporal_split(
 ) -> DataFrame:
     """Add ``split``: oldest rows are train, the next validation, the newest test."""
     _check((train, val, test))
-    return _label(interactions, TIME_KEYS, _three_ends(interactions.count(), train, val), PARTS)
+    return _label(interactions, TIME_KEYS, _three_ends(train, val), PARTS)
 
 
 def random_split(
@@ -55,18 +63,19 @@ def random_split(
 ) -> DataFrame:
     """The same cut rule over a seeded random order that does not depend on the partitioning."""
     _check((train, val, test))
-    ends = _three_ends(interactions.count(), train, val)
-    return _label(_hashed(interactions, seed), HASH_KEYS, ends, PARTS).drop("_hash")
+    hashed = _hashed(interactions, seed)
+    return _label(hashed, HASH_KEYS, _three_ends(train, val), PARTS, HASH_BOUNDS).drop("_hash")
 
 
 def nway_split(interactions: DataFrame, ratios: Sequence[float], seed: int = 42) -> DataFrame:
     """Add ``part`` 0..len(ratios)-1; every part but the last has ``int(n * ratio)`` rows."""
     _check(ratios)
-    n, ends = interactions.count(), []
-    for ratio in ratios[:-1]:
-        ends.append((ends[-1] if ends else 0) + int(n * ratio))
+
+    def ends(n: int) -> list[int]:
+        return list(accumulate(int(n * ratio) for ratio in ratios[:-1]))
+
     names = [str(i) for i in range(len(ratios))]
-    labelled = _label(_hashed(interactions, seed), HASH_KEYS, ends, names)
+    labelled = _label(_hashed(interactions, seed), HASH_KEYS, ends, names, HASH_BOUNDS)
     return labelled.withColumn("part", F.col("split").cast("int")).drop("_hash", "split")
 
 

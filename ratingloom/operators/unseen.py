@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from ratingloom.operators.topk import with_rank
-from ratingloom.staging import broadcast_if_small, stage
+from ratingloom.staging import BROADCAST_ROWS, broadcast_if_small, stage
 
 CHUNK = 65_536  # longest array built when positions are expanded
 
@@ -23,7 +23,7 @@ def _expand(requests: DataFrame, keys: list[str], upto: str, limit: int) -> Data
     return pieces.select(*keys, F.explode(F.sequence(low, high)).alias("pos"))
 
 
-def first_unseen(
+def unseen_candidates(
     requests: DataFrame,
     ranked: DataFrame,
     seen: DataFrame,
@@ -31,11 +31,12 @@ def first_unseen(
     by: tuple[str, ...] = (),
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """For every request the first ``k`` entries of its ranked list that the user has not seen.
+    """Unseen entries of ranked lists that include the first ones every request asks for.
 
-    ``requests`` ``(user_idx, *by)`` distinct; ``ranked`` stored ``(*by, pos, item_idx)`` with pos
-    1.. per list and every item in one list only; ``seen`` distinct ``(user_idx, item_idx)``.
-    Returns ``(user_idx, *by, item_idx, *carry, rank)`` with ``carry`` taken from ``ranked``.
+    ``requests`` ``(user_idx, *by[, quota])`` distinct, with at most ``k`` entries wanted per row
+    (``quota`` lowers that); ``ranked`` stored ``(*by, pos, item_idx, *carry)`` with pos 1.. per
+    list and every item in one list only; ``seen`` distinct ``(user_idx, item_idx)``.
+    Returns ``(user_idx, *by, item_idx, pos, *carry)``.
 
     Nearly all users are served by the head of the list. Only seen pairs on items of that head
     matter, which drops almost all of ``seen`` before any shuffle. A user with c seen entries
@@ -44,30 +45,44 @@ def first_unseen(
     user costs in proportion to what they have seen.
     """
     keys = ["user_idx", *by]
+    if "quota" not in requests.columns:
+        requests = requests.withColumn("quota", F.lit(k))
     longest = ranked.agg(F.max("pos")).first()[0] or 0
-    cut = max(4 * k, 32)
+    cut = max(2 * k, 32)
     rounds = []
     while True:
-        head = broadcast_if_small(ranked.where(F.col("pos") <= cut))
+        head = ranked.where(F.col("pos") <= cut)
+        if by:
+            head = broadcast_if_small(head)
+        elif cut <= BROADCAST_ROWS:  # one list: at most ``cut`` rows
+            head = F.broadcast(head)
         seen_head = stage(
             seen.join(head.select("item_idx", "pos", *by), "item_idx").select(*keys, "pos"), "seen-head"
         )
         counts = seen_head.groupBy(*keys).agg(F.count("*").alias("_c"))
         needs = requests.join(counts, keys, "left").withColumn("_c", F.coalesce("_c", F.lit(0)))
         ready = F.lit(True) if cut >= longest else F.col("_c") <= cut - k
-        upto = F.least(F.col("_c") + k, F.lit(cut)).cast("long").alias("_upto")
+        upto = F.least(F.col("_c") + F.col("quota"), F.lit(cut)).cast("long").alias("_upto")
         candidates = _expand(needs.where(ready).select(*keys, upto), keys, "_upto", cut)
         free = candidates.join(seen_head, [*keys, "pos"], "left_anti")
         rounds.append(free.join(head, [*by, "pos"]).select(*keys, "item_idx", "pos", *carry))
         if cut >= longest:
             break
-        # Only users with many seen entries in the head are left; requests outside are dropped.
         crowded = counts.where(F.col("_c") > cut - k).select(*keys)
-        requests = stage(requests.join(crowded, keys, "left_semi"), "crowded")
-        if requests.isEmpty():
+        if crowded.isEmpty():
             break
-        users = requests.select("user_idx").distinct()
+        crowded = stage(crowded, "crowded")
+        # Only users with many seen entries in the head are left.
+        requests = stage(requests.join(crowded, keys, "left_semi"), "requests")
+        users = stage(requests.select("user_idx").distinct(), "crowded-users")
         seen = seen.join(users, "user_idx", "left_semi")
         cut *= 4
-    every = reduce(DataFrame.unionByName, rounds)
-    return with_rank(every, keys, [F.asc("pos")], k).drop("pos")
+    return reduce(DataFrame.unionByName, rounds)
+
+
+def first_unseen(
+    requests: DataFrame, ranked: DataFrame, seen: DataFrame, k: int, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """``(user_idx, item_idx, *carry, rank)``: the first ``k`` unseen entries of one list per user."""
+    every = unseen_candidates(requests, ranked, seen, k, carry=carry)
+    return with_rank(every, ["user_idx"], [F.asc("pos")], k).drop("pos")

@@ -517,8 +517,9 @@ def _test_lists(w: Workspace) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 def _prediction_pairs(w: Workspace) -> DataFrame:
     """Test ratings with the mean train rating of their item as prediction."""
-    means = features.item_stats(w.train).select("item_id", F.col("avg_rating").alias("y_pred"))
-    return splits.part_of(w.labelled, "test").join(means, "item_id").select(F.col("rating").alias("y_true"), "y_pred")
+    means = stage(features.item_stats(w.train).select("item_id", F.col("avg_rating").alias("y_pred")), "item-means")
+    test = splits.part_of(w.labelled, "test")
+    return test.join(means, "item_id").select(F.col("rating").alias("y_true"), "y_pred")
 
 
 @query

@@ -113,7 +113,7 @@ class Workspace:
         rated = self.matrix
         if self.value_column != "rating":
             rated = stage(features.interaction_matrix(self.encoded_part("train")), "rating-matrix")
-        return HybridModel(rated, self.scores, self.ranked, self.genre_index, self.params.hybrid_weight)
+        return HybridModel(rated, self.ranked, self.genre_index, self.params.hybrid_weight)
 
     @cached_property
     def als(self) -> FactorModel:

@@ -1,7 +1,10 @@
 """Intermediate tables in the shared work folder.
 
-A staged table cuts lineage: it is written once as Parquet, read back with an exact
-size, and survives the loss of any executor.
+A staged table cuts lineage: it is written once as Parquet and survives the loss of any
+executor. Its exact size is known to the optimizer, which broadcasts it in a join only below
+``spark.sql.autoBroadcastJoinThreshold``; above, the join shuffles, and since the stored side
+reads straight into the shuffle, adaptive execution can split a skewed key. Joins with
+interactions therefore go to stored tables and carry no hint.
 """
 
 from __future__ import annotations
@@ -40,15 +43,12 @@ def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataF
 
 
 def fits_broadcast(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a *stored* table of fixed-width columns has few enough rows to be broadcast."""
+    """Whether a stored table, or a filter of one, of fixed-width columns may be broadcast."""
     return stored.count() <= max_rows
 
 
 def broadcast_if_small(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a stored table only when its size is proven small.
-
-    Larger tables are returned as they are: the join then shuffles, with adaptive skew splitting.
-    """
+    """Hint for a *filtered* stored table, whose size the optimizer overestimates. Counts it first."""
     return F.broadcast(stored) if fits_broadcast(stored, max_rows) else stored
 
 

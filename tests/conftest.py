@@ -1,0 +1,47 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from ratingloom.session import build_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "tests",
+        "local[8]",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def rows():
+    """Sorted tuples of a DataFrame with doubles rounded to 6 places."""
+
+    def collect(df, *columns):
+        selected = df.select(*columns) if columns else df
+        return sorted(
+            (tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in selected.collect()),
+            key=lambda r: tuple((v is None, v) for v in r),
+        )
+
+    return collect
+
+
+@pytest.fixture
+def ratings(spark):
+    def make(values, schema="user_id long, item_id long, rating double, timestamp long"):
+        return spark.createDataFrame(values, schema)
+
+    return make

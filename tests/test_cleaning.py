@@ -1,0 +1,83 @@
+import pytest
+
+from ratingloom import schemas
+from ratingloom.operators import cleaning
+
+RAW = "userId long, movieId long, rating double, timestamp long"
+
+
+def test_range_is_inclusive(spark, rows):
+    raw = spark.createDataFrame([(1, 1, 4.0, 1), (1, 2, 0.0, 2), (2, 1, 6.0, 3), (2, 2, 3.5, 4)], RAW)
+    assert cleaning.clean_ratings(raw).count() == 2
+    edges = spark.createDataFrame([(1, 1, 0.5, 1), (1, 2, 5.0, 2)], RAW)
+    assert cleaning.clean_ratings(edges).count() == 2
+
+
+def test_latest_rating_wins(spark, rows):
+    raw = spark.createDataFrame([(1, 1, 3.0, 100), (1, 1, 4.0, 200), (2, 2, 5.0, 300)], RAW)
+    assert rows(cleaning.clean_ratings(raw)) == [(1, 1, 4.0, 200), (2, 2, 5.0, 300)]
+
+
+def test_equal_times_keep_the_higher_rating(spark, rows):
+    raw = spark.createDataFrame([(1, 1, 2.0, 100), (1, 1, 3.0, 100)], RAW)
+    assert rows(cleaning.latest_per_pair(raw)) == [(1, 1, 3.0, 100)]
+
+
+def test_other_columns_stay_with_their_row(spark, rows):
+    raw = spark.createDataFrame([(1, 1, 2.0, 100, "old"), (1, 1, 1.0, 200, "new")], RAW + ", note string")
+    assert rows(cleaning.latest_per_pair(raw)) == [(1, 1, 1.0, 200, "new")]
+
+
+def test_null_and_nan_rows_are_dropped(spark, rows):
+    raw = spark.createDataFrame([(1, 1, None, 1), (1, 2, float("nan"), 2), (1, 3, 3.0, 3)], RAW)
+    assert rows(cleaning.drop_incomplete(raw)) == [(1, 3, 3.0, 3)]
+    assert rows(cleaning.cleaning_audit(raw)) == [(3, 1, 2)]
+
+
+def test_invalid_newer_rating_does_not_win(spark, rows):
+    raw = spark.createDataFrame([(1, 1, 3.0, 100), (1, 1, 9.0, 200)], RAW)
+    assert rows(cleaning.clean_ratings(raw)) == [(1, 1, 3.0, 100)]
+    assert rows(cleaning.cleaning_audit(raw)) == [(2, 1, 1)]
+
+
+@pytest.mark.parametrize(
+    "values, threshold, expected",
+    [
+        ([1.0, 2.5, 3.5, 4.0, 5.0], 3.5, [0, 0, 1, 1, 1]),
+        ([1.0, 2.0, 3.0, 4.0, 5.0], 4.0, [0, 0, 0, 1, 1]),
+        ([float("nan"), 4.0], 3.5, [0, 1]),
+    ],
+)
+def test_implicit_flag(spark, values, threshold, expected):
+    raw = spark.createDataFrame([(1, i, v, i) for i, v in enumerate(values)], RAW)
+    flagged = cleaning.to_implicit(raw, threshold).orderBy("movieId").collect()
+    assert [r.interaction for r in flagged] == expected
+
+
+def test_binarize_gives_floats(spark):
+    values = [1.0, 2.0, 3.0, 3.5, 4.0, 5.0]
+    raw = spark.createDataFrame([(1, i, v, i) for i, v in enumerate(values)], RAW)
+    out = cleaning.binarize(raw)
+    assert dict(out.dtypes)["interaction"] == "float"
+    assert [r.interaction for r in out.orderBy("movieId").collect()] == [0, 0, 0, 1, 1, 1]
+
+
+def test_implicit_ratio(spark, rows):
+    raw = spark.createDataFrame([(1, i, v, i) for i, v in enumerate([1.0, 4.0, 5.0])], RAW)
+    assert rows(cleaning.implicit_ratio(raw)) == [(2, 3, 0.667)]
+
+
+def test_year_and_title(spark):
+    titles = ["Toy (1995)", "No year", "T (1995) ", "A (1990) (2000)"]
+    items = spark.createDataFrame([(i, t, "A|B") for i, t in enumerate(titles)], schemas.ITEMS)
+    out = cleaning.standardise_items(items).orderBy("item_id").collect()
+    assert [r.year for r in out] == [1995, None, None, 2000]
+    assert [r.title_clean for r in out] == ["Toy", "No year", "T (1995) ", "A (1990)"]
+
+
+def test_summary_and_standard_columns(spark, rows):
+    raw = spark.createDataFrame([(1, 1, 4.0, 1), (1, 2, 3.0, 2), (2, 1, 2.0, 3)], RAW)
+    items = spark.createDataFrame([(1, "X (2001)", ""), (2, "Y", "")], schemas.ITEMS)
+    standard = cleaning.standardise_ratings(raw, "implicit")
+    assert standard.columns == ["user_id", "item_id", "rating", "timestamp", "interaction"]
+    assert rows(cleaning.dataset_summary(standard, cleaning.standardise_items(items))) == [(3, 2, 2, 2, 1)]
