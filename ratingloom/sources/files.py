@@ -77,5 +77,5 @@ def load_als(path: str) -> ALSModel:
 
 def nested_recommendations(recs: DataFrame, key: str = "user_id") -> DataFrame:
     """One row per user with the ordered list; a list holds at most the requested number of rows."""
-    entry = F.struct(*[c for c in ["rank", *recs.columns] if c != key and (c != "rank" or c in recs.columns)])
+    entry = F.struct("rank", *[c for c in recs.columns if c not in (key, "rank")])
     return recs.groupBy(key).agg(F.sort_array(F.collect_list(entry)).alias("recommendations"))
