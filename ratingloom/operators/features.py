@@ -78,12 +78,12 @@ def item_stats(interactions: DataFrame) -> DataFrame:
 def item_popularity(
     interactions: DataFrame, time_decay: bool = True, decay: float = 0.95, recency_weight: float = 0.3
 ) -> DataFrame:
-    """Popularity of every item in [.., 1], from count, mean rating and age of the last event.
+    """Popularity of every item, at most 1, from count, mean rating and age of the last event.
 
-    The interactions are aggregated once; everything after is on the item table, and the
-    global maxima are scalar subqueries over the same aggregate.
+    The interactions are read and aggregated once into a stored item table; the global maxima
+    are scalar subqueries over that table.
     """
-    stats = item_stats(interactions)
+    stats = stage(item_stats(interactions), "item-stats")
     count_score = F.col("interaction_count") / one_value(stats, F.max("interaction_count"))
     rating_score = (F.col("avg_rating") - 1) / 4  # ratings from 1 to 5
     score = count_score * rating_score

@@ -6,7 +6,10 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
 from ratingloom.operators.neighbours import blocked_top_n, similar_by_dot
-from ratingloom.staging import stage
+from ratingloom.staging import stage, work_folder
+
+BLOCK_CELLS = 5_000_000  # cells per user or item block
+MAX_BLOCKS = 2048  # cells are grouped by pairs of blocks, so their number grows with the square
 
 
 def fit_als(
@@ -19,10 +22,18 @@ def fit_als(
 ) -> ALSModel:
     """Factorise raw values; Spark applies the confidence ``1 + alpha * value`` itself.
 
-    Spark ML ids are ints: a larger index fails the cast instead of wrapping. Long runs cut
-    their lineage every ten iterations when a checkpoint folder is set.
+    ``matrix`` is a stored table. Spark ML ids are ints: a larger index fails the cast instead of
+    wrapping. The number of blocks follows the number of cells, and the lineage is cut every ten
+    iterations in the checkpoint folder.
     """
+    context = matrix.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(work_folder(matrix.sparkSession))
+    blocks = min(MAX_BLOCKS, max(10, -(-matrix.count() // BLOCK_CELLS)))
     als = ALS(
+        numUserBlocks=blocks,
+        numItemBlocks=blocks,
+        checkpointInterval=10,
         rank=factors,
         regParam=regularization,
         maxIter=iterations,

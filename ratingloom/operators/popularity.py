@@ -11,7 +11,7 @@ from ratingloom.staging import one_value, stage
 
 def item_scores(matrix: DataFrame, item_encoder: DataFrame) -> DataFrame:
     """``(item_idx, total, score)``: sum of values per item, divided by the largest sum."""
-    totals = matrix.groupBy("item_idx").agg(F.sum("value").alias("total"))
+    totals = stage(matrix.groupBy("item_idx").agg(F.sum("value").alias("total")), "item-totals")
     known = item_encoder.select(F.col("idx").alias("item_idx"))
     every = known.join(totals, "item_idx", "left").select(
         "item_idx", F.coalesce("total", F.lit(0.0)).alias("total")

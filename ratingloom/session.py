@@ -16,10 +16,19 @@ RUNTIME_SETTINGS = {
 }
 
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
+
 def tune_session(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings; static cluster settings stay untouched."""
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
+    context = spark.sparkContext
+    if not context.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        # Shuffles start with a few partitions per core and are merged to size at run time,
+        # so that large ones fit in memory and small ones stay cheap.
+        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(INITIAL_PARTITIONS, str(max(configured, 4 * context.defaultParallelism)))
     return spark
 
 
