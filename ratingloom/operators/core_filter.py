@@ -7,38 +7,41 @@ from pyspark.sql import DataFrame, functions as F
 from ratingloom.staging import stage
 
 
-def _rare(interactions: DataFrame, key: str, minimum: int) -> DataFrame:
-    counts = interactions.groupBy(key).count()
-    return stage(counts.where(F.col("count") < minimum).select(key), f"rare-{key}")
-
-
 def core_filter(
     interactions: DataFrame, min_user: int = 5, min_item: int = 5, max_rounds: int = 1000
 ) -> DataFrame:
     """Largest sub-table in which every user has ``min_user`` rows and every item ``min_item``.
 
-    The interactions are never rewritten per round. Only the ids that fell out are stored,
-    so each round is two column-pruned scans with map-side counting, and the lineage stays flat.
-    ``interactions`` should be a stored table.
+    A round only stores the ids that fell out, so it is two column-pruned scans with map-side
+    counting and the lineage stays flat. The interactions are rewritten only when half of them
+    are gone, so that later rounds scan what is left. ``interactions`` should be a stored table.
     """
     minimum = {"user_id": min_user, "item_id": min_item}
     dropped: dict[str, DataFrame] = {}
-    kept = interactions
+    base = kept = interactions
+    base_rows = rows = interactions.count()
 
     clean_keys = 0
     for _ in range(max_rounds):
         for key in minimum:
-            rare = _rare(kept, key, minimum[key])
-            if rare.isEmpty():
+            counts = kept.groupBy(key).agg(F.count("*").alias("n"))
+            rare = stage(counts.where(F.col("n") < minimum[key]), f"rare-{key}")
+            lost = rare.agg(F.sum("n")).first()[0]
+            if lost is None:
                 clean_keys += 1
             else:
                 # Dropping ids of one side leaves the counts of that side's other ids alone.
                 clean_keys = 1
+                if rows < base_rows / 2:
+                    base, base_rows = stage(kept, "core-rest"), rows
+                    dropped.clear()
                 # One stored list per side keeps the plan at two anti joins.
-                dropped[key] = stage(dropped[key].unionByName(rare), f"dropped-{key}") if key in dropped else rare
-                kept = interactions
-                for side, ids in dropped.items():
-                    kept = kept.join(ids, side, "left_anti")
+                ids = rare.select(key)
+                dropped[key] = stage(dropped[key].unionByName(ids), f"dropped-{key}") if key in dropped else ids
+                rows -= lost
+                kept = base
+                for side, gone in dropped.items():
+                    kept = kept.join(gone, side, "left_anti")
             if clean_keys == 2:
                 return kept
     raise RuntimeError(f"the core did not settle within {max_rounds} rounds")

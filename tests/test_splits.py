@@ -150,3 +150,11 @@ def test_page(ratings, rows):
     assert rows(encoding.page(encoder, 2, 1)) == [(2, 5), (3, 5)]
     with pytest.raises(ValueError):
         encoding.page(encoder, 0)
+
+
+def test_core_unravels_a_long_chain(ratings):
+    """One end of a path starts a cascade that removes it row by row, until half is rewritten and all is gone."""
+    path = [(n // 2, (n + 1) // 2, 1.0, 1) for n in range(40)]
+    block = [(100 + u, 100 + i, 1.0, 1) for u in range(2) for i in range(2)]
+    kept = core_filter(ratings(path + block), 2, 2)
+    assert {(r.user_id, r.item_id) for r in kept.collect()} == {(u, i) for u, i, _, _ in block}
