@@ -76,9 +76,9 @@ class FactorModel:
             F.col("qid").alias("user_idx"), F.col("cid").alias("item_idx"), "score", "rank"
         )
 
-    def similar_items(self, n: int = 10) -> DataFrame:
+    def similar_items(self, n: int = 10, items: DataFrame | None = None) -> DataFrame:
         """``(item_idx, similar_idx, similarity, rank)`` by raw dot product of factors."""
-        return similar_by_dot(self.items, self.rank, n, "cid", "cvec")
+        return similar_by_dot(self.items, self.rank, n, "cid", "cvec", items)
 
     def predict(self, pairs: DataFrame) -> DataFrame:
         """Add ``prediction`` to (user_idx, item_idx) pairs; pairs without factors are dropped."""

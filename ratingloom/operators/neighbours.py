@@ -148,10 +148,23 @@ def _drop_keys(best):
     return run
 
 
-def similar_by_dot(vectors: DataFrame, width: int, n: int = 10, vec_id: str = "id", vector: str = "vector") -> DataFrame:
-    """``(item_idx, similar_idx, similarity, rank)`` by raw dot product, without the row itself."""
+def similar_by_dot(
+    vectors: DataFrame,
+    width: int,
+    n: int = 10,
+    vec_id: str = "id",
+    vector: str = "vector",
+    items: DataFrame | None = None,
+) -> DataFrame:
+    """``(item_idx, similar_idx, similarity, rank)`` by raw dot product, without the row itself.
+
+    ``items`` ``(item_idx)`` limits for which rows neighbours are wanted.
+    """
     queries = vectors.select(F.col(vec_id).cast("long").alias("qid"), F.col(vector).alias("qvec"))
     corpus = vectors.select(F.col(vec_id).cast("long").alias("cid"), F.col(vector).alias("cvec"))
+    if items is not None:
+        wanted = items.select(F.col("item_idx").alias("qid"))
+        queries = stage(queries.join(wanted, "qid", "left_semi"), "query-vectors")
     found = blocked_top_n(queries, corpus, n, width, exclude_self=True)
     return found.select(
         F.col("qid").alias("item_idx"), F.col("cid").alias("similar_idx"), F.col("score").alias("similarity"), "rank"

@@ -58,7 +58,8 @@ def popular_items(popularity: DataFrame, catalogue: DataFrame, n: int = 10) -> D
     ranked = top.select(  # the window sees n rows
         F.row_number().over(Window.orderBy(*order)).alias("rank"), "item_id", F.col("popularity_score").alias("score")
     )
-    return catalogue.join(F.broadcast(ranked), "item_id", "right").select("rank", "item_id", "score", "title", "genres")
+    described = catalogue.join(F.broadcast(ranked.select("item_id")), "item_id", "left_semi")  # n rows
+    return ranked.join(described, "item_id", "left").select("rank", "item_id", "score", "title", "genres")
 
 
 def recommend_cold(

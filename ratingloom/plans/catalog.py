@@ -52,9 +52,9 @@ def workspace(spark: SparkSession, folder: str, variant: str = "main") -> Worksp
             "random": (Params(temporal_split=False), False),
             "implicit": (Params(feedback_type="implicit"), False),
         }[variant]
-        _workspaces[key] = Workspace(
-            driver_tables.order_ratings(spark, folder), driver_tables.part_items(spark, folder), params, core
-        )
+        sibling = None if variant == "main" else workspace(spark, folder)
+        ratings, items = driver_tables.order_ratings(spark, folder), driver_tables.part_items(spark, folder)
+        _workspaces[key] = Workspace(ratings, items, params, core, sibling)
     return _workspaces[key]
 
 
@@ -300,6 +300,14 @@ def confidence_explicit(spark, folder):
     return features.confidence_matrix(workspace(spark, folder).encoded_part("train"))
 
 
+@query
+def confidence_events(spark, folder):
+    """Event counts as implicit feedback: one interaction per event, event types as items."""
+    events = driver_tables.table(spark, folder, "events").select("user_id", F.col("event_type").alias("item_id"))
+    users, kinds = encoding.fit_encoder(events, "user_id"), encoding.fit_encoder(events, "item_id")
+    return features.confidence_matrix(encoding.encode(events.withColumn("interaction", F.lit(1)), users, kinds))
+
+
 @query
 def confidence_stats(spark, folder):
     return features.confidence_stats(workspace(spark, folder).encoded_part("train"))
@@ -463,10 +471,7 @@ def recommend_all(spark, folder):
 def similar_items_batch(spark, folder):
     w = workspace(spark, folder)
 
-    def similar(wanted: DataFrame, k: int) -> DataFrame:
-        return neighbours.similar_by_genre(wanted, w.genre_index, k)
-
-    return recommend.similar_items(_parts(spark, folder), w.item_ids, w.catalogue, similar, TOP)
+    return recommend.similar_items(_parts(spark, folder), w.item_ids, w.catalogue, w.similar, TOP)
 
 
 @query

@@ -375,6 +375,10 @@ ORACLE: dict[str, str] = {
     + "SELECT user_idx, item_idx, sum(CASE WHEN rating >= 3.5 THEN 41e0 ELSE 1e0 END) AS confidence FROM encoded WHERE split = 'train' GROUP BY ALL",
     "confidence_explicit": _with(*MAIN)
     + f"SELECT user_idx, item_idx, {_r('sum(1 + 40e0 * rating / (SELECT max(rating) FROM train))', 'confidence')} FROM encoded WHERE split = 'train' GROUP BY user_idx, item_idx",
+    "confidence_events": """
+SELECT user_idx, item_idx, count(*) * 41e0 AS confidence FROM (
+  SELECT dense_rank() OVER (ORDER BY user_id) - 1 AS user_idx, dense_rank() OVER (ORDER BY event_type) - 1 AS item_idx
+  FROM events) GROUP BY user_idx, item_idx""",
     "confidence_stats": _with(*MAIN)
     + "SELECT round(avg(c), 2) AS mean_confidence, round(max(c), 2) AS max_confidence FROM (SELECT 1 + 40e0 * rating / (SELECT max(rating) FROM train) AS c FROM encoded WHERE split = 'train')",
     "rating_stats": _with(*MAIN)

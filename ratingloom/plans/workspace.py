@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
-from ratingloom.operators import cleaning, encoding, features, popularity, registry, splits, tuning
+from ratingloom.operators import cleaning, encoding, features, neighbours, popularity, registry, splits, tuning
 from ratingloom.operators.core_filter import core_filter
 from ratingloom.operators.evaluation import IMPLICIT_THRESHOLD, evaluate_model, test_matrix
 from ratingloom.operators.genres import GenreIndex, unique_items
@@ -17,23 +17,42 @@ from ratingloom.staging import stage
 
 
 class Workspace:
-    """Stored steps of one run over raw ratings and items."""
-
-    def __init__(self, ratings: DataFrame, items: DataFrame, params: Params = Params(), core: bool = True):
+    """Stored steps of one run over raw ratings and items.
+
+    ``sibling`` is another run over the same raw tables with the same rating range; its cleaned
+    tables are used again.
+    """
+
+    def __init__(
+        self,
+        ratings: DataFrame,
+        items: DataFrame,
+        params: Params = Params(),
+        core: bool = True,
+        sibling: Workspace | None = None,
+    ):
         self.raw_ratings, self.raw_items, self.params, self.core = ratings, items, params, core
+        self.sibling = sibling
 
     @cached_property
     def interactions(self) -> DataFrame:
         p = self.params
+        if self.sibling:
+            base = self.sibling.interactions.select("user_id", "item_id", "rating", "timestamp")
+            return cleaning.standardise_ratings(base, p.feedback_type, p.rating_threshold)
         cleaned = cleaning.clean_ratings(self.raw_ratings, p.min_rating, p.max_rating)
         return stage(cleaning.standardise_ratings(cleaned, p.feedback_type, p.rating_threshold), "interactions")
 
     @cached_property
     def items(self) -> DataFrame:
+        if self.sibling:
+            return self.sibling.items
         return stage(cleaning.standardise_items(self.raw_items), "items")
 
     @cached_property
     def catalogue(self) -> DataFrame:
+        if self.sibling:
+            return self.sibling.catalogue
         return stage(unique_items(self.items), "catalogue")
 
     @cached_property
@@ -129,9 +148,15 @@ class Workspace:
             return popularity.recommend_popular_unseen(users, self.ranked, seen, k)
         if self.params.model_type == "hybrid":
             return self.hybrid.recommend(users, k, exclude_seen)
+        return self.als.recommend(users, seen, k)
+
+    def similar(self, items: DataFrame, k: int) -> DataFrame:
+        """Neighbours of items ``(item_idx)``: by factors for ALS, else by genres, else the popular ones."""
         if self.params.model_type == "als":
-            return self.als.recommend(users, seen, k)
-        raise ValueError(f"unknown model type: {self.params.model_type}")
+            return self.als.similar_items(k, items)
+        if self.genre_index.vocabulary.isEmpty():
+            return popularity.similar_popular(items, self.ranked, k)
+        return neighbours.similar_by_genre(items, self.genre_index, k)
 
     @cached_property
     def metrics(self) -> DataFrame:
@@ -146,6 +171,10 @@ class Workspace:
             self.matrix, self.validation_matrix, n_trials or p.n_trials, p.search_metric, p.random_seed, p.rating_threshold
         )
 
+    @cached_property
+    def metadata(self) -> DataFrame:
+        return stage(features.feature_metadata(self.train, self.users, self.item_ids, self.params.feedback_type), "metadata")
+
     def register(self, run_id: str) -> DataFrame:
         """Registry event of this run under the configured model name and stage."""
         p = self.params

@@ -5,8 +5,10 @@ from ratingloom import schemas
 from ratingloom.functions import bands
 from ratingloom.operators import banding, encoding, recommend, registry, tuning
 from ratingloom.params import Params
+from ratingloom.plans import outputs
 from ratingloom.plans.workspace import Workspace
 from ratingloom.sources import files
+from ratingloom.staging import stage
 
 RATINGS = [
     (1, 10, 5.0, 1), (1, 20, 3.0, 2), (2, 10, 4.0, 3), (2, 30, 2.0, 4), (3, 20, 4.0, 5),
@@ -82,10 +84,40 @@ def test_pages_and_counts(spark, space, rows):
     assert rows(recommend.model_counts(space.users, space.item_ids)) == [(4, 3)]
 
 
-def test_unknown_model_type(space):
-    other = Workspace(space.raw_ratings, space.raw_items, Params(model_type="svd"), core=False)
+def test_parameters():
     with pytest.raises(ValueError):
-        other.recommend(other.users, 5)
+        Params(model_type="svd")
+    with pytest.raises(ValueError):
+        Params(feedback_type="other")
+    sections = {"feedback": {"type": "implicit"}, "split": None, "eval": {"k_values": [3]}, "other": {"x": 1}}
+    params = Params.from_sections(sections)
+    assert (params.feedback_type, params.k_values, params.train_ratio) == ("implicit", (3,), 0.8)
+
+
+def test_similar_by_model(spark, space, rows):
+    wanted = stage(spark.createDataFrame([(0,)], "item_idx long"), "items")
+    by_genre = space.similar(wanted, 1)
+    factors = Workspace(
+        space.raw_ratings, space.raw_items, Params(model_type="als", factors=2, iterations=2), False, sibling=space
+    )
+    plain = Workspace(space.raw_ratings, space.raw_items.withColumn("genres", F.lit("")), Params(), core=False)
+    for found in (by_genre, factors.similar(wanted, 1), plain.similar(wanted, 1)):
+        assert [(r.item_idx, r["rank"]) for r in found.collect()] == [(0, 1)]
+
+
+def test_saved_run(spark, space, tmp_path, rows):
+    outputs.save_run(space, str(tmp_path), "run-1")
+    assert spark.read.parquet(f"{tmp_path}/interactions").count() == 10
+    assert {r.split for r in spark.read.parquet(f"{tmp_path}/splits").select("split").distinct().collect()} == {
+        "train", "val", "test"
+    }
+    assert rows(files.load_encoder(spark, f"{tmp_path}/items-encoder"), "id") == [(10,), (20,), (30,)]
+    assert files.load_matrix(spark, f"{tmp_path}/train-matrix").count() == 8
+    assert files.read_json(spark, f"{tmp_path}/metadata").first().n_interactions == 8
+    by_k = files.read_csv(spark, f"{tmp_path}/metrics-by-k", "k int, precision double, recall double, ndcg double, map double")
+    assert [r.k for r in by_k.orderBy("k").collect()] == [5, 10, 20]
+    outputs.save_run(space, str(tmp_path), "run-2")
+    assert spark.read.parquet(f"{tmp_path}/runs").select("run_id").distinct().count() == 2
 
 
 def test_whole_chain(spark, tmp_path):
