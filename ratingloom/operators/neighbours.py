@@ -20,39 +20,41 @@ BLOCK_BYTES = 32 * 1024 * 1024  # vectors of one block
 CHUNK_CELLS = 4_000_000  # scores held at once inside a task
 
 
-def _dot(queries: list[np.ndarray], corpus: list[np.ndarray]) -> Callable[[int, int], np.ndarray]:
-    left, right = np.vstack(queries).astype(np.float64), np.vstack(corpus).astype(np.float64)
-    return lambda i, j: left[i:j] @ right.T
+def _best_of_block(kernel: str, n: int, cells: int, scale: float):
+    """Function from two blocks to the n best corpus rows of every query.
 
+    Everything it calls is defined inside, so that workers need no copy of this package.
+    """
 
-def _set_cosine(queries: list[np.ndarray], corpus: list[np.ndarray]) -> Callable[[int, int], np.ndarray]:
-    """Cosine of 0/1 vectors given as lists of set positions; the small term keeps empty sets at 0."""
-    owners = np.repeat(np.arange(len(corpus)), [len(c) for c in corpus])
-    members = np.concatenate(corpus) if len(owners) else np.empty(0, dtype=np.int64)
-    norm = np.sqrt(np.array([len(c) or 1 for c in corpus], dtype=np.float64))
-
-    def scores(i: int, j: int) -> np.ndarray:
-        part = queries[i:j]
-        # Only values that occur in these queries become dense columns.
-        columns = np.unique(np.concatenate(part)) if any(len(p) for p in part) else np.empty(0, dtype=np.int64)
-        left = np.zeros((len(part), len(columns)))
-        for row, values in enumerate(part):
-            left[row, np.searchsorted(columns, values)] = 1.0
-        right = np.zeros((len(columns), len(corpus)))
-        at = np.searchsorted(columns, members)
-        known = at < len(columns)
-        known[known] = columns[at[known]] == members[known]
-        right[at[known], owners[known]] = 1.0
-        own = np.sqrt(np.array([len(p) for p in part], dtype=np.float64))
-        return (left @ right) / (own[:, None] * norm[None, :] + 1e-8)
-
-    return scores
-
-
-KERNELS = {"dot": _dot, "set_cosine": _set_cosine}
-
+    def dot(queries: list[np.ndarray], corpus: list[np.ndarray]) -> Callable[[int, int], np.ndarray]:
+        left, right = np.vstack(queries).astype(np.float64), np.vstack(corpus).astype(np.float64)
+        return lambda i, j: left[i:j] @ right.T
+
+    def set_cosine(queries: list[np.ndarray], corpus: list[np.ndarray]) -> Callable[[int, int], np.ndarray]:
+        # Cosine of 0/1 vectors given as lists of set positions; the small term keeps empty sets at 0.
+        owners = np.repeat(np.arange(len(corpus)), [len(c) for c in corpus])
+        members = np.concatenate(corpus) if len(owners) else np.empty(0, dtype=np.int64)
+        norm = np.sqrt(np.array([len(c) or 1 for c in corpus], dtype=np.float64))
+
+        def scores(i: int, j: int) -> np.ndarray:
+            part = queries[i:j]
+            # Only values that occur in these queries become dense columns.
+            columns = np.unique(np.concatenate(part))
+            left = np.zeros((len(part), len(columns)))
+            for row, values in enumerate(part):
+                left[row, np.searchsorted(columns, values)] = 1.0
+            at = np.searchsorted(columns, members)
+            known = at < len(columns)
+            known[known] = columns[at[known]] == members[known]
+            right = np.zeros((len(columns), len(corpus)))
+            right[at[known], owners[known]] = 1.0
+            own = np.sqrt(np.array([len(p) for p in part], dtype=np.float64))
+            return (left @ right) / (own[:, None] * norm[None, :] + 1e-8)
+
+        return scores
+
+    score_rows_of = {"dot": dot, "set_cosine": set_cosine}[kernel]
 
-def _best_of_block(kernel: str, n: int):
     def best(queries: pd.DataFrame, corpus: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"qid": [], "cid": [], "score": []}).astype({"qid": "int64", "cid": "int64"})
         if queries.empty or corpus.empty:
@@ -60,20 +62,22 @@ def _best_of_block(kernel: str, n: int):
         corpus = corpus.sort_values("cid", ascending=False)  # equal scores: higher id first
         ids = corpus["cid"].to_numpy()
         rising = ids[::-1]
-        score_rows = KERNELS[kernel](list(queries["qvec"]), list(corpus["cvec"]))
+        score_rows = score_rows_of(list(queries["qvec"]), list(corpus["cvec"]))
         skipped = list(queries["skip"])
-        step = max(1, CHUNK_CELLS // len(ids))
+        step = max(1, cells // len(ids))
         out_q, out_c, out_s = [], [], []
         for start in range(0, len(queries), step):
             block = score_rows(start, min(start + step, len(queries)))
-            keys = np.floor(block * SCORE_SCALE + 0.5)
+            keys = np.floor(block * scale + 0.5)
             for row in range(len(block)):
                 values = keys[row]
                 skip = skipped[start + row]
                 if skip is not None and len(skip):
+                    skip = np.asarray(skip)
                     at = np.searchsorted(rising, skip)
-                    at = at[(at < len(ids))]
-                    at = at[np.isin(rising[at], skip)]
+                    inside = at < len(ids)
+                    at, skip = at[inside], skip[inside]
+                    at = at[rising[at] == skip]
                     values[len(ids) - 1 - at] = -np.inf
                 if len(values) > n:
                     bound = np.partition(values, len(values) - n)[len(values) - n]
@@ -85,13 +89,11 @@ def _best_of_block(kernel: str, n: int):
                 out_q.append(np.full(len(near), queries["qid"].iat[start + row]))
                 out_c.append(ids[near])
                 out_s.append(block[row, near])
-        if not out_q:
-            return empty
         return pd.DataFrame(
             {"qid": np.concatenate(out_q), "cid": np.concatenate(out_c), "score": np.concatenate(out_s)}
         )
 
-    return best
+    return lambda queries, corpus: best(queries[["qid", "qvec", "skip"]], corpus[["cid", "cvec"]])
 
 
 def _block_count(rows: int, width: int, parallel: int) -> int:
@@ -135,19 +137,12 @@ def blocked_top_n(
     best = (
         left.groupBy("qb", "cb")
         .cogroup(right.groupBy("qb", "cb"))
-        .applyInPandas(_drop_keys(_best_of_block(kernel, n)), "qid long, cid long, score double")
+        .applyInPandas(_best_of_block(kernel, n, CHUNK_CELLS, SCORE_SCALE), "qid long, cid long, score double")
     )
     keyed = best.withColumn("_key", score_key(F.col("score")))
     return with_rank(keyed, ["qid"], [F.desc("_key"), F.desc("cid")], n).drop("_key")
 
 
-def _drop_keys(best):
-    def run(queries: pd.DataFrame, corpus: pd.DataFrame) -> pd.DataFrame:
-        return best(queries[["qid", "qvec", "skip"]], corpus[["cid", "cvec"]])
-
-    return run
-
-
 def similar_by_dot(
     vectors: DataFrame,
     width: int,

@@ -1,6 +1,8 @@
 """Every registered query against its SQL equivalent on the smallest tables."""
 
 import os
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -51,3 +53,18 @@ def test_entry(spark):
 def test_no_product_in_list_plans(spark, name):
     plan = contract.queries()[name](spark, FOLDER)._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Python workers started elsewhere cannot import the library."""
+    root = os.path.dirname(os.path.abspath(contract.__file__))
+    script = f"""
+import sys; sys.path.insert(0, {root!r})
+from ratingloom.session import build_session
+import __spark_entry__ as contract
+spark = build_session("other", "local[2]", **{{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2"}})
+assert contract.queries()["similar_dot"](spark, {FOLDER!r}).count() > 0
+assert contract.queries()["similar_genre"](spark, {FOLDER!r}).count() > 0
+"""
+    found = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert found.returncode == 0, found.stderr[-2000:]
