@@ -15,11 +15,6 @@ Recommend = Callable[[DataFrame, int], DataFrame]
 IMPLICIT_THRESHOLD = 0.5
 
 
-def test_matrix(encoded_test: DataFrame, value: str = "rating") -> DataFrame:
-    """Held-out cells inside the model's index range (encoding has dropped unknown ids)."""
-    return encoded_test.groupBy("user_idx", "item_idx").agg(F.sum(value).alias("value"))
-
-
 def relevant_pairs(matrix: DataFrame, threshold: float = 3.5) -> DataFrame:
     """``(user, item)`` with a value of at least ``threshold``."""
     liked = matrix.where((F.col("value") >= threshold) & ~F.isnan("value"))

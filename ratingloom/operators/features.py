@@ -9,8 +9,13 @@ from ratingloom.staging import one_value, stage
 DAY = 24 * 3600
 
 
-def interaction_matrix(encoded: DataFrame, value: str = "rating") -> DataFrame:
-    """Coordinate form ``(user_idx, item_idx, value)``; repeated cells are summed, zeros stay."""
+def interaction_matrix(encoded: DataFrame, value: str = "rating", unique: bool = False) -> DataFrame:
+    """Coordinate form ``(user_idx, item_idx, value)``; repeated cells are summed, zeros stay.
+
+    Cells known to be ``unique``, as after cleaning, need no aggregation and hence no shuffle.
+    """
+    if unique:
+        return encoded.select("user_idx", "item_idx", F.col(value).cast("double").alias("value"))
     return encoded.groupBy("user_idx", "item_idx").agg(F.sum(F.col(value).cast("double")).alias("value"))
 
 

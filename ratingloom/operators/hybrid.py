@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ratingloom.operators.genres import GenreIndex, preferences, signature_scores, signature_weights
+from ratingloom.operators.genres import GenreIndex, preferences, signature_weights
 from ratingloom.operators.ordering import global_rank
+from ratingloom.operators.signature_blocks import promising_signatures
 from ratingloom.operators.topk import score_key, with_rank
 from ratingloom.operators.unseen import first_unseen, unseen_candidates
 from ratingloom.staging import fits_broadcast, stage
@@ -34,10 +35,9 @@ class HybridModel:
         starts = stage(placed.groupBy("sig").agg(F.min("_at").alias("_first")), "signature-starts")
         lists = placed.join(starts, "sig").withColumn("pos", F.col("_at") - F.col("_first") + 1)
         self.lists = stage(lists.select("sig", "pos", "item_idx", "score", "place"), "signature-lists")
-        best = self.lists.where(F.col("pos") == 1)
-        self.best = stage(
-            best.select("sig", F.col("score").alias("_score"), F.col("place").alias("_place")), "signature-best"
-        )
+        best = self.lists.where(F.col("pos") == 1).select("sig", "score", "place")
+        named = index.signatures.where(F.col("size") > 0)
+        self.best = stage(named.join(best, "sig"), "signature-best")
         # A user without any rating above 0 has no preferences at all and keeps the plain score.
         self.raters = stage(self.weights.where(F.col("n_rated") > 0).select("user_idx").distinct(), "raters")
 
@@ -63,12 +63,13 @@ class HybridModel:
         unseen items can matter, and none when a reaches k.
         """
         prefs = self.preferences.join(users, "user_idx", "left_semi")
-        touched = _of_users(self.weights.select("user_idx", "sig"), users)
-        scored = signature_scores(prefs, touched, self.index).join(self.best, "sig")
+        touched = self.weights.select("user_idx", "sig").where(F.lit(exclude_seen))
+        scored = promising_signatures(prefs, _of_users(touched, users), self.best, k, self.weight, users.count())
+        best = self.best.select("sig", F.col("score").alias("_score"), F.col("place").alias("_place"))
+        scored = scored.join(best, "sig")
         scored = scored.withColumn("_key", score_key(self._blend(F.col("_score"), F.col("content"))))
-        untouched = (1 - F.col("touched")) if exclude_seen else F.lit(1)
         order = Window.partitionBy("user_idx").orderBy(F.desc("_key"), F.asc("_place"))
-        ahead = F.coalesce(F.sum(untouched).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        ahead = F.coalesce(F.sum(1 - F.col("touched")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         chosen = stage(
             scored.withColumn("quota", (k - ahead).cast("int"))
             .where(F.col("quota") > 0)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ratingloom.operators import cleaning, encoding, features, neighbours, popularity, registry, splits, tuning
 from ratingloom.operators.core_filter import core_filter
-from ratingloom.operators.evaluation import IMPLICIT_THRESHOLD, evaluate_model, test_matrix
+from ratingloom.operators.evaluation import IMPLICIT_THRESHOLD, evaluate_model
 from ratingloom.operators.genres import GenreIndex, unique_items
 from ratingloom.operators.hybrid import HybridModel
 from ratingloom.operators.latent import FactorModel, fit_als
@@ -57,15 +57,17 @@ class Workspace:
 
     @cached_property
     def labelled(self) -> DataFrame:
-        """Interactions of the dense core with their part of the split, stored by part."""
+        """Interactions of the dense core with their part of the split.
+
+        A temporal split is a cheap row-wise condition over the stored rows and is not stored again.
+        """
         p = self.params
         kept = self.interactions
         if self.core:
             kept = stage(core_filter(kept, p.min_user_interactions, p.min_item_interactions), "core")
         if p.temporal_split:
-            labelled = splits.temporal_split(kept, p.train_ratio, p.val_ratio, p.test_ratio)
-        else:
-            labelled = splits.random_split(kept, p.train_ratio, p.val_ratio, p.test_ratio, p.random_seed)
+            return splits.temporal_split(kept, p.train_ratio, p.val_ratio, p.test_ratio)
+        labelled = splits.random_split(kept, p.train_ratio, p.val_ratio, p.test_ratio, p.random_seed)
         return stage(labelled, "labelled", partition_by=("split",))
 
     @cached_property
@@ -92,17 +94,21 @@ class Workspace:
     def value_column(self) -> str:
         return "interaction" if self.params.feedback_type == "implicit" else "rating"
 
+    def _cells(self, part: str, value: str) -> DataFrame:
+        # Cleaning has left one row per pair, so the stored part is the matrix.
+        return features.interaction_matrix(self.encoded_part(part), value, unique=True)
+
     @cached_property
     def matrix(self) -> DataFrame:
-        return stage(features.interaction_matrix(self.encoded_part("train"), self.value_column), "train-matrix")
+        return self._cells("train", self.value_column)
 
     @cached_property
     def validation_matrix(self) -> DataFrame:
-        return stage(features.interaction_matrix(self.encoded_part("val"), self.value_column), "val-matrix")
+        return self._cells("val", self.value_column)
 
     @cached_property
     def test_matrix(self) -> DataFrame:
-        return stage(test_matrix(self.encoded_part("test"), self.value_column), "test-matrix")
+        return self._cells("test", self.value_column)
 
     @cached_property
     def seen(self) -> DataFrame:
@@ -129,10 +135,7 @@ class Workspace:
     @cached_property
     def hybrid(self) -> HybridModel:
         """Preferences come from the ratings, also when the matrix holds binary values."""
-        rated = self.matrix
-        if self.value_column != "rating":
-            rated = stage(features.interaction_matrix(self.encoded_part("train")), "rating-matrix")
-        return HybridModel(rated, self.ranked, self.genre_index, self.params.hybrid_weight)
+        return HybridModel(self._cells("train", "rating"), self.ranked, self.genre_index, self.params.hybrid_weight)
 
     @cached_property
     def als(self) -> FactorModel:

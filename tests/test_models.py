@@ -185,17 +185,18 @@ def test_blend_for_some_users_only(spark, world):
     assert {r.user_idx for r in model.recommend(wanted, 3).collect()} == {4, 6}
 
 
-def test_blend_without_broadcast_bound(spark, world, monkeypatch):
-    """The way taken when the signature table is too large to broadcast gives the same lists."""
-    import ratingloom.staging as staging
+def test_blend_over_many_blocks(spark, world, monkeypatch):
+    from ratingloom.operators import signature_blocks
 
     plain, _, _, model, dense = world
-    expected = {(r.user_idx, r["rank"], r.item_idx) for r in model.recommend(users_of(spark, 14), 10).collect()}
-    monkeypatch.setattr(staging, "fits_broadcast", lambda *a, **k: False)
-    for module in ("ratingloom.operators.genres", "ratingloom.operators.hybrid"):
-        monkeypatch.setattr(f"{module}.fits_broadcast", lambda *a, **k: False)
-    got = {(r.user_idx, r["rank"], r.item_idx) for r in model.recommend(users_of(spark, 14), 10).collect()}
-    assert got == expected
+    for name, value in (("USER_BLOCK", 3), ("SIGNATURE_BLOCK", 5), ("CHUNK_CELLS", 10)):
+        monkeypatch.setattr(signature_blocks, name, value)
+    got = {}
+    for r in model.recommend(users_of(spark, 14), 4).collect():
+        got.setdefault(r.user_idx, []).append((r["rank"], r.item_idx))
+    for u in range(14):
+        seen = {i for i, v in enumerate(dense[u]) if v}
+        assert [i for _, i in sorted(got.get(u, []))] == [i for i, _ in plain.recommend(u, 4, seen)], u
 
 
 def test_content_scores(spark, world):
