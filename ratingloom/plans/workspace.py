@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
@@ -167,13 +168,29 @@ class Workspace:
         threshold = p.rating_threshold if p.feedback_type == "explicit" else IMPLICIT_THRESHOLD
         return stage(evaluate_model(self.recommend, self.test_matrix, p.k_values, threshold), "metrics")
 
-    def tune(self, n_trials: int | None = None) -> DataFrame:
+    def tune(self, n_trials: int | None = None, parameters: list[dict] | None = None) -> DataFrame:
         """Trials of the parameter search on the validation part."""
         p = self.params
         return tuning.search(
-            self.matrix, self.validation_matrix, n_trials or p.n_trials, p.search_metric, p.random_seed, p.rating_threshold
+            self.matrix,
+            self.validation_matrix,
+            n_trials or p.n_trials,
+            p.search_metric,
+            p.random_seed,
+            p.rating_threshold if p.feedback_type == "explicit" else IMPLICIT_THRESHOLD,
+            parameters,
         )
 
+    def tuned(self, trials: DataFrame | None = None) -> Workspace:
+        """This run with the best parameters found, on the same stored steps; itself when there is no search."""
+        if self.params.model_type != "als" or not self.params.search_enabled:
+            return self
+        best = tuning.best_parameters(self.tune() if trials is None else trials)
+        other = Workspace(self.raw_ratings, self.raw_items, replace(self.params, **best), self.core, self.sibling)
+        changed = {"params", "als", "metrics"}
+        other.__dict__.update({name: step for name, step in self.__dict__.items() if name not in changed})
+        return other
+
     @cached_property
     def metadata(self) -> DataFrame:
         return stage(features.feature_metadata(self.train, self.users, self.item_ids, self.params.feedback_type), "metadata")

@@ -176,6 +176,17 @@ def test_search_returns_a_trial_per_set(spark, space):
     assert tuning.best_parameters(trials)["factors"] == 4
 
 
+def test_tuned_run_takes_the_best_trial(spark, space):
+    params = Params(model_type="als", factors=2, iterations=1, search_metric="precision_at_5")
+    run = Workspace(space.raw_ratings, space.raw_items, params, False, sibling=space)
+    small = [{"factors": f, "regularization": 0.1, "iterations": 2, "alpha": 1.0} for f in (4, 6)]
+    trials = run.tune(parameters=small)
+    tuned = run.tuned(trials)
+    assert tuned.params.factors == tuning.best_parameters(trials)["factors"] in (4, 6)
+    assert tuned.als.rank == tuned.params.factors and tuned.encoded is run.encoded
+    assert space.tuned() is space
+
+
 # --- bands --------------------------------------------------------------------
 
 
