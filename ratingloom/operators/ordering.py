@@ -54,7 +54,10 @@ def keys_at(
     if bounds:
         n, (low, high) = table.count(), bounds
     else:
-        n, low, high = table.agg(F.count("*"), F.min(keys[0]), F.max(keys[0])).first()
+        missing = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in keys])
+        n, low, high, nulls = table.agg(F.count("*"), F.min(keys[0]), F.max(keys[0]), F.count_if(missing)).first()
+        if nulls:
+            raise ValueError(f"{nulls} rows have a null in {keys}; clean them first")
     wanted = positions(n)
     found: dict[int, tuple] = {}
     # (rows, depth of the current key, its range, number of rows, [(position, offset in the rows)])

@@ -1,6 +1,7 @@
 """Plans that must hold when one key owns a third of the rows."""
 
 import random
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from ratingloom.operators import encoding, features, splits
 from ratingloom.operators.cleaning import latest_per_pair
 from ratingloom.operators.core_filter import core_filter
 from ratingloom.operators.genres import GenreIndex, signature_weights
-from ratingloom.staging import stage
+from ratingloom.staging import stage, work_folder
 
 SETTINGS = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -92,3 +93,12 @@ def test_train_part_pushes_the_time_bound_down(hot):
     labelled = stage(splits.temporal_split(hot), "labelled", partition_by=("split",))
     plan = splits.part_of(labelled, "train").select("user_id")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(split" in plan and "ReadSchema: struct<user_id:bigint>" in plan
+
+
+def test_a_cluster_needs_a_shared_folder():
+    """Without a setting a local folder is only used in local mode."""
+    context = SimpleNamespace(master="yarn", applicationId="a", getCheckpointDir=lambda: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        work_folder(SimpleNamespace(conf={}, sparkContext=context))
+    shared = SimpleNamespace(conf={"spark.checkpoint.dir": "hdfs://shared/"}, sparkContext=context)
+    assert work_folder(shared) == "hdfs://shared/ratingloom-a"

@@ -158,3 +158,13 @@ def test_core_unravels_a_long_chain(ratings):
     block = [(100 + u, 100 + i, 1.0, 1) for u in range(2) for i in range(2)]
     kept = core_filter(ratings(path + block), 2, 2)
     assert {(r.user_id, r.item_id) for r in kept.collect()} == {(u, i) for u, i, _, _ in block}
+
+
+def test_null_times_are_refused(ratings):
+    with pytest.raises(ValueError, match="1 rows have a null"):
+        splits.temporal_split(ratings([(1, 1, 4.0, None), (1, 2, 4.0, 3)]))
+
+
+def test_no_rows(ratings):
+    assert splits.temporal_split(ratings([])).count() == 0
+    assert splits.random_split(ratings([])).count() == 0
