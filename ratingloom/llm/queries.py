@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratingloom.llm import chat, decontamination, language_id, packing, token_counts
+from ratingloom.llm import chat, decontamination, language_id, packing, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,20 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def toxicity_model(spark: SparkSession, documents: DataFrame, sf_dir: str, folds: int = 5, fold: int = 0):
+    """Fit on the documents and labels outside the fold."""
+    learned = lambda df: df.where(~language_id.held_out(F.col("doc_id"), folds, fold))
+    labels = learned(_table(spark, sf_dir, "labels"))
+    return toxicity.fit(learned(documents), "doc_id", "text", labels, "doc_id", "toxic")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(documents, "text", toxicity_model(spark, documents, sf_dir))
+    held_out = language_id.held_out(F.col("doc_id"), 5, 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", toxicity.toxic().cast("int").alias("predicted"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = packing.pack_texts(_table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer_path(), end_id=1)
     digest = F.crc32("ids").alias("ids_crc32")
@@ -80,6 +94,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
