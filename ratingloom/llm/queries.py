@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratingloom.llm import ann, chat, decontamination, language_id, packing, token_counts, toxicity
+from ratingloom.llm import ann, chat, decontamination, html_extraction, language_id, packing, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,12 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_extraction.extract(pages, "html", html_extraction.fit(pages, "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = language_id.held_out(F.col("doc_id"), 4, 2)
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
     "op7_decontamination": op7_decontamination,
+    "op8_html_extraction": op8_html_extraction,
     "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
 }
