@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratingloom.llm import ann, chat, decontamination, html_extraction, language_id, packing, token_counts, toxicity
+from ratingloom.llm import ann, chat, decontamination, html_extraction, jaccard_join, language_id, packing, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,11 @@ def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 20 == 0, 20)
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_join.similar_texts(_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text")
+    return found.select("doc_id", "class_id", "copy_id", "n_links")
+
+
 def toxicity_model(spark: SparkSession, documents: DataFrame, sf_dir: str, folds: int = 5, fold: int = 0):
     """Fit on the documents and labels outside the fold."""
     learned = lambda df: df.where(~language_id.held_out(F.col("doc_id"), folds, fold))
@@ -105,6 +110,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
