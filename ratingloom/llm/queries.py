@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratingloom.llm import ann, chat, decontamination, html_extraction, jaccard_join, language_id, packing, token_counts, toxicity
+from ratingloom.llm import ann, chat, decontamination, html_extraction, jaccard_join, language_id, packing, suffix_tree, token_counts, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,14 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "copy_id", "n_links")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = language_id.held_out(F.col("doc_id"), 7, 2)
+    tree, counts = suffix_tree.fit(documents.where(~held_out), "text")
+    scored = suffix_tree.score(documents, "doc_id", "text", tree, counts)
+    return scored.withColumn("held_out", held_out)
+
+
 def toxicity_model(spark: SparkSession, documents: DataFrame, sf_dir: str, folds: int = 5, fold: int = 0):
     """Fit on the documents and labels outside the fold."""
     learned = lambda df: df.where(~language_id.held_out(F.col("doc_id"), folds, fold))
@@ -111,6 +119,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
