@@ -4,10 +4,10 @@ Every text is a set of hashed ``WORDS``-grams; texts with equal sets form a copy
 with a weight. A set is embedded in ``COORDINATES`` MinHash tokens. A run samples each token position
 with probability 1 / (threshold * COORDINATES) and sends a set to one node per sampled position, keyed by its
 token there, so two sets meet where they share a sampled token. Nodes of up to ``SMALL`` sets are compared by brute
-force. In a larger node, sets whose mean similarity to witnesses of the node is over ``CROWDED`` times the
-threshold (splitting would not part them) are compared with the whole node, in blocks; the others are split
-again on tokens that the node samples. Runs are added until the chance to have met is at least
-``recall`` for a pair at the threshold, given the sampled positions and the deepest split.
+force. A larger node is cut by set size first. Then sets whose mean similarity to witnesses of the node is over
+``CROWDED`` times the threshold (splitting would not part them) are compared with the whole node, in blocks; the
+others are split again on tokens that the node samples. Runs are added until the chance to have met is at
+least ``recall`` for a pair at the threshold, given the sampled positions and the depth of the splits.
 
 Pairs are never rows. A pair that meets in several nodes belongs to the smallest one; both sides carry their
 list of nodes, so each node knows its own pairs. Where a sketch lets a pair pass, the texts
@@ -32,11 +32,11 @@ from ratingloom.llm.text import ALNUM, LOWER, mix, slices, spans_hash, windows,
 WORDS = 5
 THRESHOLD = (4, 5)  # numerator and denominator
 COORDINATES = 64
-SMALL = 128
+SMALL = 256
 BLOCK = 512
 WITNESSES = 8
-CROWDED = 0.9
-RECALL = 0.9999
+CROWDED = 0.6
+RECALL = 0.999
 SLACK = 0.25  # a pair passes the sketch if its estimate is at most this much below the threshold
 PAIR_WORDS = 1 << 21  # 64-bit words of pair bit sets at a time
 SEED = 0x5EED
@@ -153,6 +153,14 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(sizes, "node")
 
 
+def _banded(wide: DataFrame, join: Join) -> DataFrame:
+    """Nodes cut by set size: a set goes to the band of its size and to the next one. Similar sets differ in size by
+    the threshold's factor at most, so they share a band, and nothing is lost."""
+    band = F.floor(F.log(F.col("n")) / math.log(1 / join.similarity) + 1e-9)
+    placed = wide.select("node", "set", F.explode(F.array(band, band + 1)).alias("band"))
+    return placed.select(F.xxhash64("node", "band").bitwiseAND(F.lit(-2).cast("long")).alias("node"), "set")
+
+
 def _split(wide: DataFrame, join: Join) -> DataFrame:
     """Rows of wide nodes: for each set whether it is crowded there (child null), and the children of the others."""
     drawn = F.pmod(F.xxhash64("set", "node"), F.lit(WITNESSES))
@@ -162,26 +170,24 @@ def _split(wide: DataFrame, join: Join) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["node", "set", "crowded", "child"]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            node = batch.column(0).to_numpy().view(_U)
-            tokens = _matrix(batch.column(2))
-            lists = batch.column(3)
-            share = np.zeros(len(node))
-            for i, seen in enumerate(lists.to_pylist()):
-                share[i] = (np.frombuffer(b"".join(seen), "<u4").reshape(-1, COORDINATES) == tokens[i]).mean()
-            crowded = share >= limit
-            none = pa.nulls(len(node), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(crowded), none], names=names)
-            for position in range(COORDINATES):
-                own = mix(node + _U(position + 1) * _U(0x9E3779B97F4A7C15))
-                chosen = np.flatnonzero((own < _U(int(sample * 2.0**64))) & ~crowded)
-                if len(chosen):
-                    child = mix(own[chosen] ^ mix(tokens[chosen, position].astype(_U))) & ~_U(1)
-                    rows = pa.array(chosen)
-                    parts = [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.zeros(len(chosen), bool))]
-                    yield pa.RecordBatch.from_arrays([*parts, pa.array(child.view(np.int64))], names=names)
+        positions = mix(np.arange(1, COORDINATES + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 2_000):
+                batch = whole.slice(at, 2_000)
+                node = batch.column(0).to_numpy().view(_U)
+                tokens = _matrix(batch.column(2))
+                lists = batch.column(3)
+                size = np.diff(lists.offsets.to_numpy())
+                seen = _matrix(lists.flatten())
+                same = (seen == np.repeat(tokens, size, axis=0)).mean(axis=1)
+                crowded = np.add.reduceat(same, np.cumsum(size) - size) / size >= limit
+                own = mix(node[:, None] + positions[None, :])
+                row, position = np.nonzero((own < _U(int(sample * 2.0**64))) & ~crowded[:, None])
+                child = mix(own[row, position] ^ mix(tokens[row, position].astype(_U))) & ~_U(1)
+                rows = pa.array(np.concatenate([np.arange(len(node)), row]))
+                children = pa.array(np.concatenate([np.zeros(len(node), np.int64), child.view(np.int64)]), mask=np.arange(len(rows)) < len(node))
+                marks = pa.array(np.concatenate([crowded, np.zeros(len(row), bool)]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), marks, children], names=names)
 
     joined = wide.join(witnesses, "node").select("node", "set", "tokens", "witnesses")
     return joined.mapInArrow(run, "node long, set long, crowded boolean, child long")
@@ -196,33 +202,50 @@ def chance(depth: int, similarity: float) -> float:
 
 
 def _paths(sets: DataFrame, join: Join) -> DataFrame:
-    """Nodes to compare: node, set, size, crowded (compare it with the whole node; always so in small nodes)."""
+    """Nodes to compare: node, set, size, crowded (compare it with the whole node; always so in small nodes).
+
+    The first batch of runs is enough for trees of depth 2. Sets that were in deeper trees so often that
+    the rest of their nodes is not enough go through further runs, as many as their depth asks for.
+    """
     draw = np.random.default_rng(SEED)
-    parts, run, depth, missed, done = [], 0, 2, 1.0, 0
-    slots: list[tuple[int, int]] = []
-    while missed > 1 - join.recall:
-        while missed > 1 - join.recall:
+    parts, run, depth, before = [], 0, 2, 0
+    while sets is not None:
+        slots: list[tuple[int, int]] = []
+        while (1 - chance(depth, join.similarity)) ** (before + len(slots)) > 1 - join.recall:
             slots += [(run * COORDINATES + p, p) for p in np.flatnonzero(draw.random(COORDINATES) < join.sample).tolist()]
             run += 1
-            missed = (1 - chance(depth, join.similarity)) ** len(slots)
-        rows, level = _roots(sets, slots[done:]), 1
-        done = len(slots)
+        rows, level, deep = _roots(sets, slots), 1, None
         while True:
             sized = staging.stage(_sized(rows), "nodes")
             parts.append(sized.where(F.col("size") <= join.small).select("node", "set", "size", F.lit(True).alias("crowded")))
             wide = sized.where(F.col("size") > join.small)
             if wide.isEmpty():
                 break
+            if level == 1:
+                rows = _banded(wide.join(sets.select("set", "n"), "set"), join)
+                level = 2
+                continue
             wide = staging.stage(wide.join(sets.select("set", "tokens"), "set"), "wide")
             split = staging.stage(_split(wide.select("node", "set", "tokens"), join), "split")
             own = split.where(F.col("child").isNull())
             sizes = wide.select("node", "size").distinct()
             held = own.groupBy("node").agg(F.max("crowded").alias("any")).where("any").select("node")
             parts.append(own.join(held, "node", "left_semi").join(sizes, "node").select("node", "set", "size", "crowded"))
+            if level == 2:
+                # a set is in a band twice for one slot
+                deep = own.where(~F.col("crowded")).groupBy("set").agg(F.count("*").alias("times"))
             rows = split.where(F.col("child").isNotNull()).select(F.col("child").alias("node"), "set")
             level += 1
-        depth = max(depth, level)
-        missed = (1 - chance(depth, join.similarity)) ** len(slots)
+        reached = max(level - 1, 1)  # the cut by size loses nothing
+        before += len(slots)
+        if deep is None or reached <= depth:
+            break
+        depth = reached
+        short = math.log1p(-chance(depth, join.similarity)) - math.log1p(-join.similarity)
+        missed = before * math.log1p(-join.similarity) + F.least(F.col("times"), F.lit(before)) * short
+        sets = staging.stage(sets.join(deep.where(missed > math.log(1 - join.recall)), "set", "left_semi"), "again")
+        if sets.isEmpty():
+            break
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
