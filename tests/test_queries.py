@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as contract
 
 FOLDER = os.environ.get("QUERY_SF_DIR", "/root/testdata/sf0.001")
-TABLES = "customer part orders lineitem embeddings events"
+TABLES = "customer part orders lineitem embeddings events documents benchmark pages labels conversations"
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 
