@@ -24,10 +24,16 @@ def keep_valid_range(ratings: DataFrame, low: float = 0.5, high: float = 5.0) ->
 def latest_per_pair(ratings: DataFrame, user: str = "userId", item: str = "movieId") -> DataFrame:
     """Keep the newest row of every (user, item); equal times keep the higher rating.
 
-    An aggregate rather than a window: every map task keeps one row per pair, so a pair
-    repeated any number of times never gathers in one task.
+    Aggregates rather than a window: every map task keeps one row per pair, so a pair
+    repeated any number of times never gathers in one task. The four usual columns take two hash
+    aggregates. Further columns are part of the order after the rating, and need one sorted aggregate.
     """
     rest = [c for c in ratings.columns if c not in (user, item, "timestamp", "rating")]
+    if not rest:
+        when = F.coalesce("timestamp", F.lit(-(2**63)))  # a missing time is before all others
+        best = ratings.groupBy(user, item, "timestamp").agg(F.max("rating").alias("rating"))
+        newest = best.groupBy(user, item).agg(F.max("timestamp").alias("timestamp"), F.max_by("rating", when).alias("rating"))
+        return newest.select(*ratings.columns)
     newest = F.max(F.struct("timestamp", "rating", *rest)).alias("_newest")
     kept = ratings.groupBy(user, item).agg(newest)
     return kept.select(*[c if c in (user, item) else F.col(f"_newest.{c}") for c in ratings.columns])

@@ -7,14 +7,13 @@ from pyspark.sql import DataFrame, functions as F
 from ratingloom.staging import stage
 
 
-def core_filter(
-    interactions: DataFrame, min_user: int = 5, min_item: int = 5, max_rounds: int = 1000
-) -> DataFrame:
+def core_filter(interactions: DataFrame, min_user: int = 5, min_item: int = 5) -> DataFrame:
     """Largest sub-table in which every user has ``min_user`` rows and every item ``min_item``.
 
     A round only stores the ids that fell out, so it is two column-pruned scans with map-side
     counting and the lineage stays flat. The interactions are rewritten only when half of them
-    are gone, so that later rounds scan what is left. ``interactions`` should be a stored table.
+    are gone, so that later rounds scan what is left. Every round drops an id or is the last, so any
+    chain settles. ``interactions`` should be a stored table.
     """
     minimum = {"user_id": min_user, "item_id": min_item}
     dropped: dict[str, DataFrame] = {}
@@ -22,7 +21,7 @@ def core_filter(
     base_rows = rows = interactions.count()
 
     clean_keys = 0
-    for _ in range(max_rounds):
+    while True:
         for key in minimum:
             counts = kept.groupBy(key).agg(F.count("*").alias("n"))
             rare = stage(counts.where(F.col("n") < minimum[key]), f"rare-{key}")
@@ -44,7 +43,6 @@ def core_filter(
                     kept = kept.join(gone, side, "left_anti")
             if clean_keys == 2:
                 return kept
-    raise RuntimeError(f"the core did not settle within {max_rounds} rounds")
 
 
 def core_audit(before: DataFrame, after: DataFrame) -> DataFrame:

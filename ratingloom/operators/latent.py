@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, functions as F
 
@@ -9,7 +11,7 @@ from ratingloom.operators.neighbours import blocked_top_n, similar_by_dot
 from ratingloom.staging import stage, work_folder
 
 BLOCK_CELLS = 5_000_000  # cells per user or item block
-MAX_BLOCKS = 2048  # cells are grouped by pairs of blocks, so their number grows with the square
+LEAST_BLOCKS = 4
 
 
 def fit_als(
@@ -19,17 +21,19 @@ def fit_als(
     iterations: int = 15,
     alpha: float = 40.0,
     seed: int = 42,
+    block_cells: int = BLOCK_CELLS,
 ) -> ALSModel:
     """Factorise raw values; Spark applies the confidence ``1 + alpha * value`` itself.
 
     ``matrix`` is a stored table. Spark ML ids are ints: a larger index fails the cast instead of
-    wrapping. The number of blocks follows the number of cells, and the lineage is cut every ten
-    iterations in the checkpoint folder.
+    wrapping. A block holds about ``block_cells`` cells, however many blocks that takes (Spark groups the cells
+    by pairs of blocks, so very large inputs want larger blocks). One user's or item's cells are in one
+    block, as Spark's solver has it. The lineage is cut every ten iterations in the checkpoint folder.
     """
     context = matrix.sparkSession.sparkContext
     if not context.getCheckpointDir():
         context.setCheckpointDir(work_folder(matrix.sparkSession))
-    blocks = min(MAX_BLOCKS, max(10, -(-matrix.count() // BLOCK_CELLS)))
+    blocks = max(LEAST_BLOCKS, -(-matrix.count() // block_cells))
     als = ALS(
         numUserBlocks=blocks,
         numItemBlocks=blocks,
@@ -80,6 +84,72 @@ class FactorModel:
         """``(item_idx, similar_idx, similarity, rank)`` by raw dot product of factors."""
         return similar_by_dot(self.items, self.rank, n, "cid", "cvec", items)
 
+    def user_residuals(self, matrix: DataFrame, alpha: float, regularization: float) -> DataFrame:
+        """``(user_idx, residual)``: how far each user's factors are from solving the user's ridge system for
+        the stored item factors, relative to its right side. The last half-step of a fit solves all of them.
+        """
+        rank = self.rank
+
+        def squares(batches):
+            total = np.zeros((rank, rank))
+            for batch in batches:
+                y = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, rank).astype(float)
+                total += y.T @ y
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["m"])
+
+        parts = self.items.select("cvec").mapInArrow(squares, "m binary").collect()  # one row per task
+        gram = sum((np.frombuffer(r["m"]).reshape(rank, rank) for r in parts), np.zeros((rank, rank)))
+        cells = matrix.where(F.col("value") != 0).join(self.items.withColumnRenamed("cid", "item_idx"), "item_idx")
+        cells = cells.join(self.users.withColumnRenamed("qid", "user_idx"), "user_idx").select("user_idx", "value", "cvec", "qvec")
+
+        def residuals(batches):
+            at, x, left, right, liked = None, None, None, None, 0
+
+            def done():
+                gap = left + gram @ x + regularization * liked * x - right
+                return at, float(np.abs(gap).max() / max(np.abs(right).max(), 1e-12))
+
+            for batch in batches:
+                user, value = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+                y, own = (batch.column(i).flatten().to_numpy(zero_copy_only=False).reshape(-1, rank).astype(float) for i in (2, 3))
+                confidence = alpha * np.abs(value)
+                positive = value > 0
+                moved = (confidence * (y * own).sum(axis=1))[:, None] * y
+                target = (positive * (1 + confidence))[:, None] * y
+                begins = np.append(0, np.flatnonzero(np.diff(user)) + 1) if len(user) else np.zeros(0, int)
+                rows = []
+                for b, e in zip(begins, np.append(begins[1:], len(user))):
+                    if at != user[b]:
+                        if at is not None:
+                            rows.append(done())
+                        at, x, left, right, liked = int(user[b]), own[b], 0.0, 0.0, 0
+                    left, right, liked = left + moved[b:e].sum(axis=0), right + target[b:e].sum(axis=0), liked + int(positive[b:e].sum())
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["user_idx", "residual"])
+            if at is not None:
+                last = done()
+                yield pa.RecordBatch.from_arrays([pa.array([last[0]]), pa.array([last[1]])], names=["user_idx", "residual"])
+
+        dealt = cells.repartition("user_idx").sortWithinPartitions("user_idx")
+        return dealt.mapInArrow(residuals, "user_idx long, residual double")
+
+    def list_checks(self, lists: DataFrame, k: int, among_items: bool = False) -> DataFrame:
+        """``(qid, n, sound, own)`` of lists ``(qid, cid, score, rank)``: their length, whether ranks are 1..n, scores
+        fall and are the dot products of the stored factors, and whether a list names its own row."""
+        side = self.items.select(F.col("cid").alias("qid"), F.col("cvec").alias("qvec")) if among_items else self.users
+        product = F.aggregate(
+            F.zip_with("qvec", "cvec", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x
+        )
+        rows = lists.join(side, "qid").join(self.items, "cid")
+        near = F.abs(product - F.col("score")) <= 1e-6 * (1 + F.abs(product))
+        listed = F.array_sort(F.collect_list(F.struct("rank", "score")))  # k rows
+        found = rows.groupBy("qid").agg(
+            F.count("*").alias("n"), F.min(near).alias("near"), F.max(F.col("qid") == F.col("cid")).alias("own"), listed.alias("l")
+        )
+        ranks = F.col("l.rank") == F.transform(F.sequence(F.lit(1), F.col("n").cast("int")), lambda r: r)
+        falling = F.col("l.score") == F.reverse(F.array_sort("l.score"))
+        return found.select("qid", "n", (F.col("near") & ranks & falling).alias("sound"), "own")
+
     def predict(self, pairs: DataFrame) -> DataFrame:
         """Add ``prediction`` to (user_idx, item_idx) pairs; pairs without factors are dropped."""
         ids = {c: F.col(c).cast("int") for c in ("user_idx", "item_idx")}

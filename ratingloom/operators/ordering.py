@@ -110,6 +110,13 @@ def precedes(keys: list[str], cut: tuple | None) -> Column:
         here = F.col(keys[i]) < F.lit(cut[i])
         return here if i + 1 == len(keys) else here | ((F.col(keys[i]) == F.lit(cut[i])) & compare(i + 1))
 
-    # The plain bound on the first key can be pushed down to the scan.
+    # As a filter, the plain bound on the first key is pushed down to the scan.
     return (F.col(keys[0]) <= F.lit(cut[0])) & compare(0)
 
+
+def follows(keys: list[str], cut: tuple | None) -> Column:
+    """Whether a row's key tuple is ``cut`` or sorts after it (nothing does when there is no cut)."""
+    if cut is None:
+        return F.lit(False)
+    return (F.col(keys[0]) >= F.lit(cut[0])) & ~precedes(keys, cut)
+

@@ -51,11 +51,21 @@ def best_run(runs: DataFrame, metric: str, maximize: bool = True) -> DataFrame:
     )
 
 
-def register(runs: DataFrame, model_name: str, stage_name: str, at: Column) -> DataFrame:
-    """Registry events for runs ``(run_id, metric, value)``.
+def all_metrics(runs: DataFrame) -> DataFrame:
+    """``(run_id, metrics)``: every metric of a run as a map; of repeated keys the largest number."""
+    measured = runs.where((F.col("kind") == "metric") & F.col("number").isNotNull())
+    single = measured.groupBy("run_id", "key").agg(F.max("number").alias("number"))
+    entries = F.sort_array(F.collect_list(F.struct("key", "number")))
+    return single.groupBy("run_id").agg(F.map_from_entries(entries).alias("metrics"))
+
+
+def register(runs: DataFrame, model_name: str, stage_name: str, at: Column, metrics: DataFrame | None = None) -> DataFrame:
+    """Registry events for runs ``(run_id, metric, value)``; with the runs' ``all_metrics``, those too.
 
     The version is the head of a hash over the row, with the value in whole millionths.
     """
+    if metrics is not None:
+        runs = runs.join(metrics, "run_id", "left")
     millionths = F.round(F.col("value") * 1_000_000).cast("long").cast("string")
     text = F.concat_ws("|", F.lit(model_name), "run_id", "metric", millionths)
     return runs.select(
@@ -66,19 +76,24 @@ def register(runs: DataFrame, model_name: str, stage_name: str, at: Column) -> D
         "metric",
         "value",
         at.alias("registered_at"),
+        *(["metrics"] if metrics is not None else []),
     )
 
 
 def current_stages(events: DataFrame) -> DataFrame:
-    """Stage of every version now: its latest event, archived when a later version took the stage.
+    """Stage of every version now: its latest event, archived when another version took the stage after it.
 
-    Events are ``(model_name, version, stage, registered_at, ...)``.
+    Events are ``(model_name, version, stage, registered_at, ...)``. A version that lost its stage stays archived
+    whatever becomes of the one that took it, until an event of its own promotes it again. Of versions that took
+    a stage at the same time the smaller one has it.
     """
     latest = with_rank(
         events, ["model_name", "version"], [F.desc("registered_at"), F.asc("stage")], 1, name="_n"
     ).drop("_n")
-    holder = F.row_number().over(
-        Window.partitionBy("model_name", "stage").orderBy(F.desc("registered_at"), F.asc("version"))
-    )
-    now = F.when((holder > 1) & (F.col("stage") != ARCHIVED), ARCHIVED).otherwise(F.col("stage"))
-    return latest.withColumn("stage", now)
+    taken = events.groupBy("model_name", "stage", "version").agg(F.max("registered_at").alias("_at"))
+    order = Window.partitionBy("model_name", "stage").orderBy(F.desc("_at"), F.asc("version"))
+    last = taken.withColumn("_n", F.row_number().over(order)).where(F.col("_n") == 1)
+    holders = last.select("model_name", "stage", F.col("version").alias("_holder"))
+    lost = (F.col("_holder") != F.col("version")) & (F.col("stage") != ARCHIVED)
+    now = F.when(lost, ARCHIVED).otherwise(F.col("stage"))
+    return latest.join(holders, ["model_name", "stage"]).withColumn("stage", now).select(*events.columns)

@@ -8,11 +8,13 @@ Inputs should be stored tables, since finding the cuts scans them a few times.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import DataFrame, functions as F
 
-from ratingloom.operators.ordering import keys_at, precedes
+from ratingloom.operators.ordering import follows, keys_at, precedes
+from ratingloom.staging import stage
 
 PARTS = ("train", "val", "test")
 TIME_KEYS = ["timestamp", "user_id", "item_id"]
@@ -25,18 +27,36 @@ def _check(ratios: Sequence[float]) -> None:
         raise ValueError(f"ratios must sum to 1.0, got {sum(ratios)}")
 
 
-def _label(
+@dataclass(frozen=True)
+class Cuts:
+    """Key tuples of the first rows of all parts but the first, in the order by ``keys``."""
+
+    keys: list[str]
+    names: Sequence[str]
+    at: list[tuple | None]
+
+    def label(self, df: DataFrame) -> DataFrame:
+        """Add ``split`` to every row."""
+        part = F.lit(self.names[-1])
+        for name, cut in reversed(list(zip(self.names, self.at))):
+            part = F.when(precedes(self.keys, cut), F.lit(name)).otherwise(part)
+        return df.withColumn("split", part)
+
+    def part(self, df: DataFrame, name: str) -> DataFrame:
+        """The rows of one part, by comparisons that reach the scan."""
+        i = list(self.names).index(name)
+        rows = df.where(follows(self.keys, self.at[i - 1])) if i else df
+        return rows.where(precedes(self.keys, self.at[i])) if i < len(self.at) else rows
+
+
+def _cuts(
     df: DataFrame,
     keys: list[str],
     ends: Callable[[int], list[int]],
     names: Sequence[str],
     bounds: tuple[int, int] | None = None,
-) -> DataFrame:
-    cuts = keys_at(df, keys, ends, bounds)
-    part = F.lit(names[-1])
-    for name, cut in reversed(list(zip(names, cuts))):
-        part = F.when(precedes(keys, cut), F.lit(name)).otherwise(part)
-    return df.withColumn("split", part)
+) -> Cuts:
+    return Cuts(keys, names, keys_at(df, keys, ends, bounds))
 
 
 def _hashed(df: DataFrame, seed: int) -> DataFrame:
@@ -54,8 +74,13 @@ def temporal_split(
     interactions: DataFrame, train: float = 0.8, val: float = 0.1, test: float = 0.1
 ) -> DataFrame:
     """Add ``split``: oldest rows are train, the next validation, the newest test."""
+    return temporal_cuts(interactions, train, val, test).label(interactions)
+
+
+def temporal_cuts(interactions: DataFrame, train: float = 0.8, val: float = 0.1, test: float = 0.1) -> Cuts:
+    """Where a temporal split cuts."""
     _check((train, val, test))
-    return _label(interactions, TIME_KEYS, _three_ends(train, val), PARTS)
+    return _cuts(interactions, TIME_KEYS, _three_ends(train, val), PARTS)
 
 
 def random_split(
@@ -63,8 +88,8 @@ def random_split(
 ) -> DataFrame:
     """The same cut rule over a seeded random order that does not depend on the partitioning."""
     _check((train, val, test))
-    hashed = _hashed(interactions, seed)
-    return _label(hashed, HASH_KEYS, _three_ends(train, val), PARTS, HASH_BOUNDS).drop("_hash")
+    hashed = stage(_hashed(interactions, seed), "hashed")
+    return _cuts(hashed, HASH_KEYS, _three_ends(train, val), PARTS, HASH_BOUNDS).label(hashed).drop("_hash")
 
 
 def nway_split(interactions: DataFrame, ratios: Sequence[float], seed: int = 42) -> DataFrame:
@@ -75,7 +100,8 @@ def nway_split(interactions: DataFrame, ratios: Sequence[float], seed: int = 42)
         return list(accumulate(int(n * ratio) for ratio in ratios[:-1]))
 
     names = [str(i) for i in range(len(ratios))]
-    labelled = _label(_hashed(interactions, seed), HASH_KEYS, ends, names, HASH_BOUNDS)
+    hashed = stage(_hashed(interactions, seed), "hashed")
+    labelled = _cuts(hashed, HASH_KEYS, ends, names, HASH_BOUNDS).label(hashed)
     return labelled.withColumn("part", F.col("split").cast("int")).drop("_hash", "split")
 
 

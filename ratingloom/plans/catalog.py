@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ratingloom import schemas
 from ratingloom.operators import (
     banding,
     cleaning,
@@ -19,22 +21,19 @@ from ratingloom.operators import (
     recommend,
     registry,
     splits,
-    tuning,
 )
 from ratingloom.operators.core_filter import core_audit, core_filter
 from ratingloom.params import Params
 from ratingloom.plans.workspace import Workspace
 from ratingloom.session import tune_session
-from ratingloom.sources import driver_tables
-from ratingloom.staging import stage
+from ratingloom.sources import driver_tables, files
+from ratingloom.staging import stage, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 DIGITS = 6  # published doubles
 TOP = 10
 DEPTH = 20  # list length behind the metric queries
-# The smaller ALS keeps the registered queries short; the defaults stay in Params.
-ALS = {"factors": 16, "iterations": 5}
 
 _workspaces: dict[tuple[str, str, str], Workspace] = {}
 
@@ -44,17 +43,16 @@ def workspace(spark: SparkSession, folder: str, variant: str = "main") -> Worksp
     key = (spark.sparkContext.applicationId, folder, variant)
     if key not in _workspaces:
         tune_session(spark)
-        params, core = {
-            "main": (Params(**ALS), False),
-            "cored": (Params(), True),
+        params = {
+            "main": Params(),
             # A short training period leaves users and items that the model does not know.
-            "early": (Params(train_ratio=0.1, val_ratio=0.1, test_ratio=0.8), False),
-            "random": (Params(temporal_split=False), False),
-            "implicit": (Params(feedback_type="implicit"), False),
+            "early": Params(train_ratio=0.1, val_ratio=0.1, test_ratio=0.8),
+            "random": Params(temporal_split=False),
+            "implicit": Params(feedback_type="implicit"),
         }[variant]
         sibling = None if variant == "main" else workspace(spark, folder)
-        ratings, items = driver_tables.order_ratings(spark, folder), driver_tables.part_items(spark, folder)
-        _workspaces[key] = Workspace(ratings, items, params, core, sibling)
+        ratings, items = driver_tables.dirty_ratings(spark, folder), driver_tables.part_items(spark, folder)
+        _workspaces[key] = Workspace(ratings, items, params, sibling=sibling)
     return _workspaces[key]
 
 
@@ -80,7 +78,11 @@ def query(fn: Query) -> Query:
 
 
 def _raw(spark: SparkSession, folder: str) -> DataFrame:
-    return driver_tables.order_ratings(spark, folder)
+    return driver_tables.dirty_ratings(spark, folder)
+
+
+def _stored_copy(spark: SparkSession, name: str) -> str:
+    return f"{work_folder(spark)}/copy-{name}-{uuid.uuid4().hex}"
 
 
 # --- sources and cleaning -------------------------------------------------------------------
@@ -88,7 +90,49 @@ def _raw(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def scan_ratings(spark, folder):
-    return _raw(spark, folder)
+    return driver_tables.order_ratings(spark, folder)
+
+
+@query
+def scan_csv_ratings(spark, folder):
+    """The ratings written as CSV with the columns in another order, and read back by name."""
+    path = _stored_copy(spark, "ratings-csv")
+    files.write_csv(driver_tables.order_ratings(spark, folder).select("timestamp", "movieId", "rating", "userId"), path)
+    return files.read_ratings_csv(spark, path)
+
+
+@query
+def scan_csv_items(spark, folder):
+    path = _stored_copy(spark, "items-csv")
+    files.write_csv(driver_tables.part_items(spark, folder).select("genres", "movieId", "title"), path)
+    return files.read_items_csv(spark, path)
+
+
+@query
+def csv_audit(spark, folder):
+    """Rows of a file in which some ratings and ids are no numbers, by the column that could not be read."""
+    path = _stored_copy(spark, "broken-csv")
+    rows = driver_tables.order_ratings(spark, folder)
+    rating = F.when(F.col("movieId") % 10 == 3, "good").otherwise(F.col("rating").cast("string"))
+    user = F.when(F.col("movieId") % 10 == 4, F.concat(F.col("userId").cast("string"), F.lit(".5"))).otherwise(
+        F.concat(F.col("userId").cast("string"), F.lit(".0"))
+    )
+    files.write_csv(rows.withColumn("rating", rating).withColumn("userId", user), path)
+    return files.csv_audit(spark, path, schemas.RATINGS)
+
+
+@query
+def parquet_copy(spark, folder):
+    path = _stored_copy(spark, "parquet")
+    files.write_parquet(driver_tables.order_ratings(spark, folder), path)
+    return files.read_parquet(spark, path, schemas.RATINGS)
+
+
+@query
+def json_copy(spark, folder):
+    path = _stored_copy(spark, "json")
+    files.write_json(driver_tables.part_items(spark, folder), path)
+    return files.read_json(spark, path, schemas.ITEMS)
 
 
 @query
@@ -108,7 +152,7 @@ def clean_range(spark, folder):
 
 @query
 def clean_latest(spark, folder):
-    return cleaning.latest_per_pair(_raw(spark, folder))
+    return cleaning.latest_per_pair(driver_tables.order_ratings(spark, folder))
 
 
 @query
@@ -218,6 +262,27 @@ def encode_ignore(spark, folder):
     return encoding.encode(splits.part_of(w.labelled, "test"), w.users, w.item_ids)
 
 
+@query
+def encode_checked(spark, folder):
+    """Training rows under the raising encoder."""
+    w = workspace(spark, folder)
+    return encoding.encode(w.train, w.users, w.item_ids, unknown="error")
+
+
+@query
+def encoder_copy(spark, folder):
+    path = _stored_copy(spark, "encoder")
+    files.save_encoder(workspace(spark, folder).item_ids, path)
+    return files.load_encoder(spark, path)
+
+
+@query
+def matrix_copy(spark, folder):
+    path = _stored_copy(spark, "matrix")
+    files.save_matrix(workspace(spark, folder).matrix, path)
+    return files.load_matrix(spark, path)
+
+
 @query
 def decode_items(spark, folder):
     w = workspace(spark, folder)
@@ -361,9 +426,9 @@ def user_genre_prefs(spark, folder):
 
 @query
 def content_scores(spark, folder):
-    """Content score of every held-out pair."""
+    """Content score of every rated pair, trained on or held out."""
     w = workspace(spark, folder)
-    return genres.content_scores(w.test_matrix, w.hybrid.preferences, w.genre_index)
+    return genres.content_scores(w.encoded, w.hybrid.preferences, w.genre_index)
 
 
 @query
@@ -406,16 +471,46 @@ def similar_popular(spark, folder):
     return popularity.similar_popular(_all_items(w), w.ranked, TOP)
 
 
-TRIALS = [
-    {"factors": 16, "regularization": 0.01, "iterations": 5, "alpha": 40.0},
-    {"factors": 16, "regularization": 0.1, "iterations": 5, "alpha": 10.0},
-]
+@query
+def tuning_trials(spark, folder):
+    """Every drawn trial of the parameter search."""
+    return workspace(spark, folder).tune()
 
 
 @query
-def tuning_trials(spark, folder):
+def als_factors_check(spark, folder):
+    """Whether each user's factors solve that user's system for the final item factors."""
     w = workspace(spark, folder)
-    return tuning.search(w.matrix, w.validation_matrix, parameters=TRIALS)
+    p = w.params
+    found = w.als.user_residuals(w.matrix, p.alpha, p.regularization)
+    return found.select("user_idx", (F.col("residual") <= 1e-3).alias("solved"))
+
+
+@query
+def rec_als_check(spark, folder):
+    """Whether each user's list has the right length, rising ranks, falling scores that are dot products, no seen item."""
+    w = workspace(spark, folder)
+    recs = stage(w.als.recommend(_all_users(w), w.seen, TOP), "als-lists")
+    pairs = recs.select(F.col("user_idx").alias("qid"), F.col("item_idx").alias("cid"), "score", "rank")
+    checked = w.als.list_checks(pairs, TOP).withColumnRenamed("qid", "user_idx")
+    seen = recs.join(w.seen, ["user_idx", "item_idx"], "left_semi").groupBy("user_idx").agg(F.count("*").alias("n_seen"))
+    known = w.seen.groupBy("user_idx").agg(F.count("*").alias("n_known"))
+    n_items = w.als.items.agg(F.count("*")).scalar()
+    rows = checked.join(known, "user_idx").join(seen, "user_idx", "left")
+    right = F.col("n") == F.least(F.lit(TOP), n_items - F.col("n_known"))
+    return rows.select("user_idx", (F.col("sound") & right & F.col("n_seen").isNull()).alias("sound"))
+
+
+@query
+def similar_als_check(spark, folder):
+    """The same for each item's neighbours, among which the item itself may not be."""
+    w = workspace(spark, folder)
+    found = stage(w.als.similar_items(TOP), "als-neighbours")
+    pairs = found.select(F.col("item_idx").alias("qid"), F.col("similar_idx").alias("cid"), F.col("similarity").alias("score"), "rank")
+    checked = w.als.list_checks(pairs, TOP, among_items=True).withColumnRenamed("qid", "item_idx")
+    n_items = w.als.items.agg(F.count("*")).scalar()
+    right = F.col("n") == F.least(F.lit(TOP), n_items - 1)
+    return checked.select("item_idx", (F.col("sound") & right & ~F.col("own")).alias("sound"))
 
 
 # --- requests -------------------------------------------------------------------------------
@@ -606,8 +701,9 @@ def evaluate_model(spark, folder):
 
 @query
 def evaluate_full_chain(spark, folder):
-    """Cleaning, dense core, split, encoding, popularity model and its evaluation."""
-    return workspace(spark, folder, "cored").metrics
+    """Cleaning, dense core, split, encoding, popularity model and its evaluation, from the raw tables on."""
+    ratings, items = driver_tables.dirty_ratings(spark, folder), driver_tables.part_items(spark, folder)
+    return Workspace(ratings, items).metrics
 
 
 @query
@@ -677,13 +773,47 @@ def best_run(spark, folder):
     return registry.best_run(_runs(spark, folder), "ndcg_at_10")
 
 
+# run, metric of the version, stage, time: promotions, demotions and promotions again
+EVENTS = [
+    ("popularity-temporal", "ndcg_at_10", "Production", 1),
+    ("popularity-random", "ndcg_at_10", "Production", 2),
+    ("popularity-random", "ndcg_at_10", "Staging", 3),
+    ("popularity-temporal", "ndcg_at_10", "Staging", 4),
+    ("popularity-random", "ndcg_at_10", "Production", 5),
+    ("popularity-temporal", "precision_at_10", "Production", 6),
+    ("popularity-random", "ndcg_at_10", "Archived", 7),
+    ("popularity-temporal", "ndcg_at_10", "Production", 8),
+    ("popularity-random", "precision_at_10", "Production", 9),
+    ("popularity-random", "precision_at_10", "Archived", 10),
+    ("popularity-temporal", "precision_at_10", "Staging", 11),
+    ("popularity-random", "ndcg_at_10", "Production", 12),
+]
+
+
 @query
 def registry_current(spark, folder):
-    """Both runs registered one after the other, the random split last."""
-    found = _runs(spark, folder).where(F.col("key") == "ndcg_at_10")
-    runs = found.select("run_id", F.col("key").alias("metric"), F.round("number", DIGITS).alias("value"))
-    order = F.when(F.col("run_id") == "popularity-temporal", 1).otherwise(2)
-    return registry.current_stages(registry.register(runs, Params().model_name, Params().stage, order))
+    """Stages after the events above, with a metric kept beside the one that names the version."""
+    rows = stage(_runs(spark, folder), "run-rows")
+    kept = registry.all_metrics(rows)
+    events = None
+    for run_id, metric, name, at in EVENTS:
+        own = rows.where((F.col("run_id") == run_id) & (F.col("key") == metric))
+        run = own.select("run_id", F.col("key").alias("metric"), F.round("number", DIGITS).alias("value"))
+        event = registry.register(run, Params().model_name, name, F.lit(at), kept)
+        events = event if events is None else events.unionByName(event)
+    current = registry.current_stages(stage(events, "registry-events"))
+    recall = F.col("metrics")["recall_at_10"].alias("recall_at_10")
+    return current.select("model_name", "version", "stage", "run_id", "metric", "value", "registered_at", recall)
+
+
+@query
+def run_metrics(spark, folder):
+    """The stored rows of both runs, appended one after the other."""
+    path = _stored_copy(spark, "runs")
+    for name in ("popularity-temporal", "popularity-random"):
+        registry.append_rows(_runs(spark, folder).where(F.col("run_id") == name), path)
+    rows = spark.read.schema(registry.RUNS).parquet(path)
+    return rows.where(F.col("key").isin("ndcg_at_10", "precision_at_10", "recall_at_10")).select("run_id", "kind", "key", "number")
 
 
 @query

@@ -8,17 +8,26 @@ from __future__ import annotations
 
 import re
 
-RAW = """
+ORDERS = """
 raw AS (
   SELECT o_custkey AS "userId", l_partkey AS "movieId", ceil(l_quantity / 5) / 2 AS rating,
          CAST(epoch(l_shipdate) AS BIGINT) AS "timestamp"
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
+RAW = """
+raw AS (
+  SELECT o_custkey AS "userId", l_partkey AS "movieId",
+         CASE WHEN (o_custkey + l_partkey) % 41 = 0 THEN NULL WHEN (o_custkey + l_partkey) % 43 = 0 THEN CAST('NaN' AS DOUBLE)
+              ELSE ceil(l_quantity / 5) / 2 END AS rating,
+         CAST(epoch(l_shipdate) AS BIGINT) AS "timestamp"
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+
 RAW_ITEMS = """
 raw_items AS (
-  SELECT p_partkey AS "movieId", concat(p_name, ' (', CAST(1950 + p_size AS VARCHAR), ')') AS title,
-         concat(p_type, '|', replace(p_name, ' ', '|')) AS genres
-  FROM part)"""
+  SELECT p_partkey AS "movieId",
+         CASE WHEN p_partkey % 17 = 0 THEN p_name ELSE concat(p_name, ' (', CAST(1950 + p_size AS VARCHAR), ')') END AS title,
+         CASE WHEN p_partkey % 23 = 0 THEN '(no genres listed)' ELSE concat(p_type, '|', replace(p_name, ' ', '|')) END AS genres
+  FROM part WHERE p_partkey % 29 <> 0)"""
 
 
 def _latest(low: float, high: float) -> str:
@@ -98,7 +107,7 @@ scores AS MATERIALIZED (
 GENRES = """
 item_genres AS MATERIALIZED (
   SELECT DISTINCT i.idx AS item_idx, trim(g.genre) AS genre
-  FROM item_ids i JOIN (SELECT item_id, unnest(string_split(genres, '|')) AS genre FROM items) g ON g.item_id = i.id),
+  FROM item_ids i JOIN (SELECT item_id, unnest(string_split(genres, '|')) AS genre FROM items WHERE genres <> '(no genres listed)') g ON g.item_id = i.id),
 sizes AS (SELECT item_idx, count(*) AS size FROM item_genres GROUP BY item_idx)"""
 
 PREFS = """
@@ -191,14 +200,14 @@ def _r(expression: str, name: str | None = None) -> str:
     return f"round({expression}, 6) + 0.0 AS {name}"
 
 
-def _chain(train: float = 0.8, val: float = 0.1, order: str = TIME_ORDER, source: str = "inter") -> list[str]:
-    return [RAW, INTER, _split(source, train, val, order), ENCODERS]
+def _chain(train: float = 0.8, val: float = 0.1, order: str = TIME_ORDER) -> list[str]:
+    return [RAW, INTER, _core("inter", 5, 5, 8), _split("cored", train, val, order), ENCODERS]
 
 
 MAIN = _chain()
 MAIN_ITEMS = [*MAIN, RAW_ITEMS, ITEMS]
 EARLY = _chain(0.1, 0.1)
-SPLIT = [RAW, INTER, _split("inter", 0.8, 0.1, TIME_ORDER)]
+SPLIT = [RAW, INTER, _core("inter", 5, 5, 8), _split("cored", 0.8, 0.1, TIME_ORDER)]
 EVALUATED = [*MAIN, SCORES, PLAIN, RELEVANT, _top("plain", "recs", 20, users=USERS_WITH_TEST), _per_user("recs", K)]
 HYBRID_PARTS = [*MAIN_ITEMS, SCORES, GENRES, PREFS, HYBRID]
 
@@ -244,21 +253,35 @@ COLD = f"""SELECT c.c_custkey AS user_id, p.rank, p.item_id, {_r('p.score')}, t.
 FROM (SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT id FROM users)) c
 CROSS JOIN popular p LEFT JOIN items t ON t.item_id = p.item_id"""
 
-def _metric_of(order: str) -> str:
-    """Mean NDCG at 10 of the popularity model over one split order, as a scalar statement."""
+def _run_of(name: str, order: str) -> str:
+    """Mean metrics of the popularity model over one split order, as a one-row statement."""
     parts = [*_chain(order=order), SCORES, PLAIN, RELEVANT, _top("plain", "recs", 20, users=USERS_WITH_TEST), _per_user("recs", K)]
-    return f"({_with(*parts)} SELECT avg(ndcg_at_10) FROM per_user)"
+    means = ", ".join(f"avg({m}_at_10) AS {m}_at_10" for m in ("ndcg", "precision", "recall"))
+    return f"SELECT '{name}' AS run_id, * FROM ({_with(*parts)} SELECT {means} FROM per_user)"
 
 
 RUN_VALUES = f"""
 runs AS MATERIALIZED (
-  SELECT 'popularity-temporal' AS run_id, {_metric_of(TIME_ORDER)} AS value, 1 AS seq
-  UNION ALL SELECT 'popularity-random', {_metric_of(_hash_order(42))}, 2)"""
+  {_run_of("popularity-temporal", TIME_ORDER)}
+  UNION ALL {_run_of("popularity-random", _hash_order(42))})"""
+
+# Versions are told by run and metric.
+REGISTRY = """
+versions AS (
+  SELECT run_id, 'ndcg_at_10' AS metric, ndcg_at_10 AS value, recall_at_10 FROM runs
+  UNION ALL SELECT run_id, 'precision_at_10', precision_at_10, recall_at_10 FROM runs),
+events(run_id, metric, stage, seq) AS (VALUES
+  ('popularity-temporal', 'ndcg_at_10', 'Production', 1), ('popularity-random', 'ndcg_at_10', 'Production', 2),
+  ('popularity-random', 'ndcg_at_10', 'Staging', 3), ('popularity-temporal', 'ndcg_at_10', 'Staging', 4),
+  ('popularity-random', 'ndcg_at_10', 'Production', 5), ('popularity-temporal', 'precision_at_10', 'Production', 6),
+  ('popularity-random', 'ndcg_at_10', 'Archived', 7), ('popularity-temporal', 'ndcg_at_10', 'Production', 8),
+  ('popularity-random', 'precision_at_10', 'Production', 9), ('popularity-random', 'precision_at_10', 'Archived', 10),
+  ('popularity-temporal', 'precision_at_10', 'Staging', 11), ('popularity-random', 'ndcg_at_10', 'Production', 12)),
+latest AS (
+  SELECT * FROM events e WHERE seq = (SELECT max(seq) FROM events o WHERE o.run_id = e.run_id AND o.metric = e.metric))"""
 
 IMPLICIT = [
-    RAW,
-    INTER,
-    _split("inter", 0.8, 0.1, TIME_ORDER),
+    *SPLIT,
     ENCODERS.replace("sum(rating)", "sum(CASE WHEN rating >= 3.5 THEN 1.0e0 ELSE 0.0e0 END)"),
     SCORES,
     PLAIN,
@@ -267,19 +290,6 @@ IMPLICIT = [
     _per_user("recs", K),
 ]
 
-CORED = [
-    RAW,
-    INTER,
-    _core("inter", 5, 5, 8),
-    _split("cored", 0.8, 0.1, TIME_ORDER),
-    ENCODERS,
-    SCORES,
-    PLAIN,
-    RELEVANT,
-    _top("plain", "recs", 20, users=USERS_WITH_TEST),
-    _per_user("recs", K),
-]
-
 SAMPLE = [
     *MAIN,
     SCORES,
@@ -297,12 +307,18 @@ NORMALIZED = 'SELECT user_id, item_id, rating, "timestamp", {} FROM train t'
 AVERAGED = f"SELECT {_averages(K)}, count(*) AS n_users_evaluated FROM per_user"
 
 ORACLE: dict[str, str] = {
-    "scan_ratings": _with(RAW) + "SELECT * FROM raw",
+    "scan_ratings": _with(ORDERS) + "SELECT * FROM raw",
     "scan_items": _with(RAW_ITEMS) + "SELECT * FROM raw_items",
+    "scan_csv_ratings": _with(ORDERS) + "SELECT * FROM raw",
+    "scan_csv_items": _with(RAW_ITEMS) + "SELECT * FROM raw_items",
+    "csv_audit": _with(ORDERS)
+    + """SELECT CASE "movieId" % 10 WHEN 3 THEN 'rating' WHEN 4 THEN 'userId' END AS reason, count(*) AS n_rows FROM raw GROUP BY 1""",
+    "parquet_copy": _with(ORDERS) + "SELECT * FROM raw",
+    "json_copy": _with(RAW_ITEMS) + "SELECT * FROM raw_items",
     "clean_dropna": _with(RAW)
     + 'SELECT * FROM raw WHERE "userId" IS NOT NULL AND "movieId" IS NOT NULL AND rating IS NOT NULL AND NOT isnan(rating) AND "timestamp" IS NOT NULL',
     "clean_range": _with(RAW) + "SELECT * FROM raw WHERE rating BETWEEN 1.0 AND 4.5",
-    "clean_latest": _with(RAW) + _latest(-1e300, 1e300),
+    "clean_latest": _with(ORDERS) + _latest(-1e300, 1e300),
     "clean_ratings": _with(RAW) + _latest(1.0, 4.5),
     "clean_audit": _with(RAW)
     + f"SELECT count(*) AS initial_count, (SELECT count(*) FROM ({_latest(1.0, 4.5)})) AS final_count, count(*) - (SELECT count(*) FROM ({_latest(1.0, 4.5)})) AS removed FROM raw",
@@ -323,7 +339,7 @@ ORACLE: dict[str, str] = {
   (SELECT count(DISTINCT user_id) FROM inter) - count(DISTINCT user_id) AS users_removed,
   (SELECT count(DISTINCT item_id) FROM inter) - count(DISTINCT item_id) AS items_removed,
   count(*) AS final_interactions, count(DISTINCT user_id) AS final_users, count(DISTINCT item_id) AS final_items FROM cored""",
-    "split_temporal": _with(*SPLIT) + "SELECT * FROM labelled",
+    "split_temporal": _with(RAW, INTER, _split("inter", 0.8, 0.1, TIME_ORDER)) + "SELECT * FROM labelled",
     "split_random": _with(RAW, INTER, _split("inter", 0.8, 0.1, _hash_order(42))) + "SELECT * FROM labelled",
     "split_nway": _with(RAW, INTER)
     + f"""SELECT user_id, item_id, rating, "timestamp", CAST(CASE
@@ -337,6 +353,13 @@ ORACLE: dict[str, str] = {
     "encode_items": _with(*MAIN) + "SELECT * FROM item_ids",
     "encode_ignore": _with(*EARLY)
     + """SELECT user_id, item_id, rating, "timestamp", user_idx, item_idx FROM encoded WHERE split = 'test'""",
+    "encode_checked": _with(*MAIN)
+    + """SELECT user_id, item_id, rating, "timestamp", user_idx, item_idx FROM encoded WHERE split = 'train'""",
+    "encoder_copy": _with(*MAIN) + "SELECT * FROM item_ids",
+    "matrix_copy": _with(*MAIN) + f"SELECT user_idx, item_idx, {_r('value')} FROM matrix",
+    "als_factors_check": _with(*MAIN) + "SELECT idx AS user_idx, TRUE AS solved FROM users",
+    "rec_als_check": _with(*MAIN) + "SELECT idx AS user_idx, TRUE AS sound FROM users",
+    "similar_als_check": _with(*MAIN) + "SELECT idx AS item_idx, TRUE AS sound FROM item_ids",
     "decode_items": _with(*MAIN)
     + f"SELECT item_idx, user_idx, {_r('value')}, id AS item_id FROM matrix JOIN item_ids ON idx = item_idx",
     "lookup_idx": _with(*EARLY) + "SELECT c_custkey AS id, idx FROM customer LEFT JOIN users ON id = c_custkey",
@@ -388,12 +411,12 @@ SELECT user_idx, item_idx, count(*) * 41e0 AS confidence FROM (
     "rec_popularity": _with(*MAIN, SCORES, PLAIN, _top("plain", "recs", 10))
     + f"SELECT user_idx, item_idx, {_r('score')}, rank FROM recs",
     "genre_vocab": _with(RAW_ITEMS, ITEMS)
-    + "SELECT genre, row_number() OVER (ORDER BY genre) - 1 AS genre_idx FROM (SELECT DISTINCT trim(unnest(string_split(genres, '|'))) AS genre FROM items)",
+    + "SELECT genre, row_number() OVER (ORDER BY genre) - 1 AS genre_idx FROM (SELECT DISTINCT trim(unnest(string_split(genres, '|'))) AS genre FROM items WHERE genres <> '(no genres listed)')",
     "genre_features": _with(*MAIN_ITEMS, GENRES) + "SELECT * FROM item_genres",
     "user_genre_prefs": _with(*MAIN_ITEMS, GENRES, PREFS) + f"SELECT user_idx, genre, {_r('pref')} FROM prefs",
     "content_scores": _with(*MAIN_ITEMS, GENRES, PREFS)
     + f"""SELECT t.user_idx, t.item_idx, {_r('coalesce(sum(p.pref) / sqrt(max(s.size)), 0)', 'content')}
-FROM test t LEFT JOIN item_genres g USING (item_idx) LEFT JOIN sizes s USING (item_idx)
+FROM encoded t LEFT JOIN item_genres g USING (item_idx) LEFT JOIN sizes s USING (item_idx)
 LEFT JOIN prefs p ON p.user_idx = t.user_idx AND p.genre = g.genre GROUP BY t.user_idx, t.item_idx""",
     "rec_hybrid": _with(*HYBRID_PARTS, _top("blended", "recs", 10))
     + f"SELECT user_idx, item_idx, {_r('score')}, rank FROM recs",
@@ -459,7 +482,7 @@ ON d.user_idx = i."user" """,
   (SELECT round(sqrt(avg((y_true - y_pred) * (y_true - y_pred))), 6) FROM pairs) AS rmse,
   (SELECT round(avg(abs(y_true - y_pred)), 6) FROM pairs) AS mae FROM per_user""",
     "evaluate_model": _with(*EVALUATED) + AVERAGED,
-    "evaluate_full_chain": _with(*CORED) + AVERAGED,
+    "evaluate_full_chain": _with(*EVALUATED) + AVERAGED,
     "evaluate_sample": _with(*SAMPLE) + AVERAGED,
     "evaluate_users": _with(*EVALUATED)
     + 'SELECT "user", '
@@ -478,12 +501,17 @@ ON d.user_idx = i."user" """,
         for k in K
     ),
     "best_run": _with(RUN_VALUES)
-    + f"SELECT run_id, 'ndcg_at_10' AS metric, {_r('value')} FROM runs ORDER BY value DESC, run_id LIMIT 1",
-    "registry_current": _with(RUN_VALUES)
+    + f"SELECT run_id, 'ndcg_at_10' AS metric, {_r('ndcg_at_10', 'value')} FROM runs ORDER BY ndcg_at_10 DESC, run_id LIMIT 1",
+    "registry_current": _with(RUN_VALUES, REGISTRY)
     + """SELECT 'als_recommender' AS model_name,
-  substr(md5(concat('als_recommender|', run_id, '|ndcg_at_10|', CAST(CAST(round(round(value, 6) * 1000000) AS BIGINT) AS VARCHAR))), 1, 8) AS version,
-  CASE WHEN seq = (SELECT max(seq) FROM runs) THEN 'Production' ELSE 'Archived' END AS stage,
-  run_id, 'ndcg_at_10' AS metric, round(value, 6) + 0.0 AS value, CAST(seq AS INTEGER) AS registered_at FROM runs""",
+  substr(md5(concat('als_recommender|', run_id, '|', metric, '|', CAST(CAST(round(round(value, 6) * 1000000) AS BIGINT) AS VARCHAR))), 1, 8) AS version,
+  CASE WHEN stage <> 'Archived' AND EXISTS (
+    SELECT 1 FROM events o
+    WHERE (o.run_id <> l.run_id OR o.metric <> l.metric) AND o.stage = l.stage AND o.seq > l.seq) THEN 'Archived' ELSE stage END AS stage,
+  run_id, metric, round(value, 6) + 0.0 AS value, CAST(seq AS INTEGER) AS registered_at, round(recall_at_10, 6) + 0.0 AS recall_at_10
+FROM latest l JOIN versions USING (run_id, metric)""",
+    "run_metrics": _with(RUN_VALUES)
+    + "UNPIVOT (SELECT run_id, 'metric' AS kind, round(ndcg_at_10, 6) + 0.0 AS ndcg_at_10, round(precision_at_10, 6) + 0.0 AS precision_at_10, round(recall_at_10, 6) + 0.0 AS recall_at_10 FROM runs) ON ndcg_at_10, precision_at_10, recall_at_10 INTO NAME key VALUE number",
     "score_bands": _with(*HYBRID_PARTS, _top("blended", "recs", 10))
     + "SELECT CASE WHEN score >= 0.8 THEN 'Tres recommande' WHEN score >= 0.6 THEN 'Recommande' ELSE 'A decouvrir' END AS band, count(*) AS n FROM recs GROUP BY 1",
     "similarity_bands": _with(*MAIN_ITEMS, GENRES, SIMILAR)

@@ -56,6 +56,23 @@ class Workspace:
             return self.sibling.catalogue
         return stage(unique_items(self.items), "catalogue")
 
+    @cached_property
+    def kept(self) -> DataFrame:
+        """Interactions of the dense core."""
+        p = self.params
+        if not self.core:
+            return self.interactions
+        limits = lambda run: (run.core, run.params.min_user_interactions, run.params.min_item_interactions)
+        if self.sibling and limits(self.sibling) == limits(self):
+            base = self.sibling.kept.select("user_id", "item_id", "rating", "timestamp")
+            return cleaning.standardise_ratings(base, p.feedback_type, p.rating_threshold)
+        return stage(core_filter(self.interactions, p.min_user_interactions, p.min_item_interactions), "core")
+
+    @cached_property
+    def cuts(self) -> splits.Cuts:
+        p = self.params
+        return splits.temporal_cuts(self.kept, p.train_ratio, p.val_ratio, p.test_ratio)
+
     @cached_property
     def labelled(self) -> DataFrame:
         """Interactions of the dense core with their part of the split.
@@ -63,16 +80,15 @@ class Workspace:
         A temporal split is a cheap row-wise condition over the stored rows and is not stored again.
         """
         p = self.params
-        kept = self.interactions
-        if self.core:
-            kept = stage(core_filter(kept, p.min_user_interactions, p.min_item_interactions), "core")
         if p.temporal_split:
-            return splits.temporal_split(kept, p.train_ratio, p.val_ratio, p.test_ratio)
-        labelled = splits.random_split(kept, p.train_ratio, p.val_ratio, p.test_ratio, p.random_seed)
+            return self.cuts.label(self.kept)
+        labelled = splits.random_split(self.kept, p.train_ratio, p.val_ratio, p.test_ratio, p.random_seed)
         return stage(labelled, "labelled", partition_by=("split",))
 
     @cached_property
     def train(self) -> DataFrame:
+        if self.params.temporal_split:
+            return self.cuts.part(self.kept, "train")
         return splits.part_of(self.labelled, "train")
 
     @cached_property
@@ -198,5 +214,6 @@ class Workspace:
     def register(self, run_id: str) -> DataFrame:
         """Registry event of this run under the configured model name and stage."""
         p = self.params
-        best = registry.best_run(registry.metric_rows(self.metrics, run_id), p.search_metric)
-        return registry.register(best, p.model_name, p.stage, F.current_timestamp())
+        rows = registry.metric_rows(self.metrics, run_id)
+        best = registry.best_run(rows, p.search_metric)
+        return registry.register(best, p.model_name, p.stage, F.current_timestamp(), registry.all_metrics(rows))

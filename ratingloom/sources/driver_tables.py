@@ -1,13 +1,16 @@
 """Ratings and items derived from order and part tables.
 
 A customer rates the parts they ordered: the quantity becomes a half-step rating and
-the shipping date its time.
+the shipping date its time. Some items have no year or no genres, some parts are in no catalogue, and
+``dirty_ratings`` has ratings that are null or NaN.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ratingloom.functions.titles import NO_GENRES
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
@@ -24,9 +27,18 @@ def order_ratings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def dirty_ratings(spark: SparkSession, folder: str) -> DataFrame:
+    key = F.col("userId") + F.col("movieId")
+    rating = F.when(key % 41 == 0, None).when(key % 43 == 0, float("nan")).otherwise(F.col("rating"))
+    return order_ratings(spark, folder).withColumn("rating", rating)
+
+
 def part_items(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "part").select(
-        F.col("p_partkey").alias("movieId"),
-        F.concat(F.col("p_name"), F.lit(" ("), (1950 + F.col("p_size")).cast("string"), F.lit(")")).alias("title"),
-        F.concat_ws("|", F.col("p_type"), F.replace(F.col("p_name"), F.lit(" "), F.lit("|"))).alias("genres"),
+    key, name = F.col("p_partkey"), F.col("p_name")
+    dated = F.concat(name, F.lit(" ("), (1950 + F.col("p_size")).cast("string"), F.lit(")"))
+    listed = F.concat_ws("|", F.col("p_type"), F.replace(name, F.lit(" "), F.lit("|")))
+    return table(spark, folder, "part").where(key % 29 != 0).select(
+        key.alias("movieId"),
+        F.when(key % 17 == 0, name).otherwise(dated).alias("title"),
+        F.when(key % 23 == 0, NO_GENRES).otherwise(listed).alias("genres"),
     )
