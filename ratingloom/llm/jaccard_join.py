@@ -38,6 +38,7 @@ WITNESSES = 8
 CROWDED = 0.6
 RECALL = 0.999
 SLACK = 0.25  # a pair passes the sketch if its estimate is at most this much below the threshold
+MARK_BITS, MOST_MARKS, MARK_SEGMENT = 16, 1 << 29, 1 << 15
 PAIR_WORDS = 1 << 21  # 64-bit words of pair bit sets at a time
 SEED = 0x5EED
 
@@ -157,40 +158,61 @@ def _banded(wide: DataFrame, join: Join) -> DataFrame:
     """Nodes cut by set size: a set goes to the band of its size and to the next one. Similar sets differ in size by
     the threshold's factor at most, so they share a band, and nothing is lost."""
     band = F.floor(F.log(F.col("n")) / math.log(1 / join.similarity) + 1e-9)
-    placed = wide.select("node", "set", F.explode(F.array(band, band + 1)).alias("band"))
-    return placed.select(F.xxhash64("node", "band").bitwiseAND(F.lit(-2).cast("long")).alias("node"), "set")
+    placed = wide.select("node", "set", "tokens", F.explode(F.array(band, band + 1)).alias("band"))
+    return placed.select(F.xxhash64("node", "band").bitwiseAND(F.lit(-2).cast("long")).alias("node"), "set", "tokens")
 
 
-def _split(wide: DataFrame, join: Join) -> DataFrame:
-    """Rows of wide nodes: for each set whether it is crowded there (child null), and the children of the others."""
+LEVEL_ROWS = "node long, set long, size long, crowded boolean, child long, tokens binary"
+
+
+def _level(rows: DataFrame, join: Join) -> DataFrame:
+    """One level of nodes ``(node, set, tokens)``: for each set its node's size and whether it is crowded there
+    (always so in small nodes), and, with ``child`` not null, the children of the sets that are not."""
     drawn = F.pmod(F.xxhash64("set", "node"), F.lit(WITNESSES))
-    witnesses = wide.groupBy("node", drawn.alias("w")).agg(F.min_by("tokens", F.xxhash64("set")).alias("tokens"))
-    witnesses = witnesses.groupBy("node").agg(F.collect_list("tokens").alias("witnesses"))
-    limit, sample = CROWDED * join.similarity, join.sample
+    order = F.xxhash64("set")
+    witnesses = [F.min_by("tokens", F.when(drawn == w, order)).alias(f"w{w}") for w in range(WITNESSES)]
+    known = rows.groupBy("node").agg(F.count("*").alias("size"), *witnesses).where("size > 1")
+    listed = F.when(F.col("size") > join.small, F.array_compact(F.array(*(f"w{w}" for w in range(WITNESSES)))))
+    known = known.select("node", "size", listed.alias("witnesses"))
+    limit, sample, small = CROWDED * join.similarity, join.sample, join.small
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["node", "set", "crowded", "child"]
+        names = ["node", "set", "size", "crowded", "child", "tokens"]
         positions = mix(np.arange(1, COORDINATES + 1, dtype=_U) * _U(0x9E3779B97F4A7C15))
         for whole in batches:
             for at in range(0, whole.num_rows, 2_000):
                 batch = whole.slice(at, 2_000)
-                node = batch.column(0).to_numpy().view(_U)
-                tokens = _matrix(batch.column(2))
-                lists = batch.column(3)
-                size = np.diff(lists.offsets.to_numpy())
-                seen = _matrix(lists.flatten())
-                same = (seen == np.repeat(tokens, size, axis=0)).mean(axis=1)
-                crowded = np.add.reduceat(same, np.cumsum(size) - size) / size >= limit
-                own = mix(node[:, None] + positions[None, :])
-                row, position = np.nonzero((own < _U(int(sample * 2.0**64))) & ~crowded[:, None])
-                child = mix(own[row, position] ^ mix(tokens[row, position].astype(_U))) & ~_U(1)
-                rows = pa.array(np.concatenate([np.arange(len(node)), row]))
-                children = pa.array(np.concatenate([np.zeros(len(node), np.int64), child.view(np.int64)]), mask=np.arange(len(rows)) < len(node))
-                marks = pa.array(np.concatenate([crowded, np.zeros(len(row), bool)]))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), marks, children], names=names)
-
-    joined = wide.join(witnesses, "node").select("node", "set", "tokens", "witnesses")
-    return joined.mapInArrow(run, "node long, set long, crowded boolean, child long")
+                rows = batch.num_rows
+                wide = np.flatnonzero(batch.column(2).to_numpy() > small)
+                crowded = np.ones(rows, bool)
+                extra, child = wide[:0], np.zeros(0, _U)
+                if len(wide):
+                    part = batch.take(pa.array(wide))
+                    node = part.column(0).to_numpy().view(_U)
+                    tokens, lists = _matrix(part.column(3)), part.column(4)
+                    size = np.diff(lists.offsets.to_numpy())
+                    same = (_matrix(lists.flatten()) == np.repeat(tokens, size, axis=0)).mean(axis=1)
+                    crowded[wide] = np.add.reduceat(same, np.cumsum(size) - size) / size >= limit
+                    own = mix(node[:, None] + positions[None, :])
+                    row, position = np.nonzero((own < _U(int(sample * 2.0**64))) & ~crowded[wide][:, None])
+                    child = mix(own[row, position] ^ mix(tokens[row, position].astype(_U))) & ~_U(1)
+                    extra = wide[row]
+                children = np.concatenate([np.zeros(rows, np.int64), child.view(np.int64)])
+                chosen = pa.array(np.concatenate([np.arange(rows), extra]))
+                new = np.arange(len(chosen)) >= rows
+                carried = batch.column(3).take(pa.array(np.concatenate([np.zeros(rows, np.int64), extra]), mask=~new))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(i).take(chosen) for i in range(3)),
+                        pa.array(np.concatenate([crowded, np.zeros(len(extra), bool)])),
+                        pa.array(children, mask=~new),
+                        carried,
+                    ],
+                    names=names,
+                )
+
+    joined = rows.join(known, "node").select("node", "set", "size", "tokens", "witnesses")
+    return joined.mapInArrow(run, LEVEL_ROWS)
 
 
 def chance(depth: int, similarity: float) -> float:
@@ -214,29 +236,24 @@ def _paths(sets: DataFrame, join: Join) -> DataFrame:
         while (1 - chance(depth, join.similarity)) ** (before + len(slots)) > 1 - join.recall:
             slots += [(run * COORDINATES + p, p) for p in np.flatnonzero(draw.random(COORDINATES) < join.sample).tolist()]
             run += 1
-        rows, level, deep = _roots(sets, slots), 1, None
-        while True:
-            sized = staging.stage(_sized(rows), "nodes")
-            parts.append(sized.where(F.col("size") <= join.small).select("node", "set", "size", F.lit(True).alias("crowded")))
-            wide = sized.where(F.col("size") > join.small)
-            if wide.isEmpty():
-                break
-            if level == 1:
-                rows = _banded(wide.join(sets.select("set", "n"), "set"), join)
-                level = 2
-                continue
-            wide = staging.stage(wide.join(sets.select("set", "tokens"), "set"), "wide")
-            split = staging.stage(_split(wide.select("node", "set", "tokens"), join), "split")
-            own = split.where(F.col("child").isNull())
-            sizes = wide.select("node", "size").distinct()
+        first = staging.stage(_sized(_roots(sets, slots)), "nodes")
+        small = F.col("size") <= join.small
+        parts.append(first.where(small).select("node", "set", "size", F.lit(True).alias("crowded")))
+        wide = first.where(~small)
+        level, deep = 0, None
+        rows = None if wide.isEmpty() else _banded(wide.join(sets.select("set", "n", "tokens"), "set"), join)
+        while rows is not None:
+            level += 1
+            found = staging.stage(_level(rows, join), "level")
+            own = found.where(F.col("child").isNull())
             held = own.groupBy("node").agg(F.max("crowded").alias("any")).where("any").select("node")
-            parts.append(own.join(held, "node", "left_semi").join(sizes, "node").select("node", "set", "size", "crowded"))
-            if level == 2:
+            parts.append(own.join(held, "node", "left_semi").select("node", "set", "size", "crowded"))
+            if level == 1:
                 # a set is in a band twice for one slot
                 deep = own.where(~F.col("crowded")).groupBy("set").agg(F.count("*").alias("times"))
-            rows = split.where(F.col("child").isNotNull()).select(F.col("child").alias("node"), "set")
-            level += 1
-        reached = max(level - 1, 1)  # the cut by size loses nothing
+            children = found.where(F.col("child").isNotNull())
+            rows = None if children.isEmpty() else children.select(F.col("child").alias("node"), "set", "tokens")
+        reached = max(level, 1)  # the cut by size loses nothing
         before += len(slots)
         if deep is None or reached <= depth:
             break
@@ -252,6 +269,41 @@ def _paths(sets: DataFrame, join: Join) -> DataFrame:
     return out
 
 
+def _maybe_wanted(source: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``source`` whose ``print`` may be among ``wanted``: a bit map of ``MARK_BITS`` bits a print, and of
+    ``MOST_MARKS`` bits at most, is broadcast, so the texts of all other rows are never shuffled."""
+    bits = min(MOST_MARKS, max(1 << 16, MARK_BITS * wanted.count()))
+    bits -= bits % MARK_SEGMENT
+    place = F.pmod(F.col("print"), F.lit(bits)).alias("place")
+    marks = wanted.select(place).select((F.col("place") / MARK_SEGMENT).cast("long").alias("segment"), "place")
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            segment, at = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for k in np.unique(segment).tolist():
+                own = held.setdefault(k, np.zeros(MARK_SEGMENT, bool))
+                own[at[segment == k] - k * MARK_SEGMENT] = True
+        if held:
+            parts = [np.packbits(x).tobytes() for x in held.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(parts, pa.binary())], names=["segment", "bits"])
+
+    whole = np.zeros(bits // 8, np.uint8)
+    for r in marks.repartition("segment").mapInArrow(draw, "segment long, bits binary").collect():
+        whole[r["segment"] * MARK_SEGMENT // 8 :][: MARK_SEGMENT // 8] |= np.frombuffer(r["bits"], np.uint8)
+    known = source.sparkSession.sparkContext.broadcast(whole)
+    numbered = source.select("*", place)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = known.value
+        for batch in batches:
+            at = batch.column(batch.num_columns - 1).to_numpy()
+            inside = (marked[at >> 3] >> (7 - (at & 7))) & 1
+            yield batch.filter(pa.array(inside.astype(bool)))
+
+    return numbered.mapInArrow(keep, numbered.schema).drop("place")
+
+
 def _dealt(rows: DataFrame, join: Join, columns: list[str]) -> DataFrame:
     """Nodes cut into blocks, and each row sent to every pair of blocks that holds its own."""
     blocks = F.when(F.col("size") <= join.small, 1).otherwise(F.ceil(F.col("size") / join.block)).cast("int")
@@ -436,6 +488,7 @@ def similar_texts(df: DataFrame, key: str, text: str, join: Join = Join()) -> Da
     active = staging.stage(_grouped(dealt, _active(join), "node long, a int, b int, own int, set long, crowded boolean"), "active")
     wanted = staging.stage(active.select("set").distinct().join(cards.select("set", "least"), "set"), "wanted")
     source = df.select(df[f"`{key}`"].alias("id"), F.xxhash64(df[f"`{text}`"]).alias("print"), df[f"`{text}`"].cast("string").alias("t"))
+    source = _maybe_wanted(source, wanted.select("least.print"))
     same = source["id"].eqNullSafe(wanted["least"]["id"]) & (source["print"] == wanted["least"]["print"])
     texts = staging.stage(source.join(wanted, same).select("set", "t").dropDuplicates(["set"]), "found")
     compared = active.join(cards.select("set", "entries", "copies"), "set").join(texts, "set")
