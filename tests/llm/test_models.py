@@ -1,0 +1,219 @@
+"""Language identification, toxicity and language model scores."""
+
+import collections
+import math
+import random
+import re
+
+import numpy as np
+import pytest
+from conftest import plain_words, sentence
+from pyspark.sql import functions as F
+
+from ratingloom.llm import language_id, suffix_tree, toxicity
+
+LANGUAGES = {"xa": "the of and was with ing tion er".split(), "xb": "der und ein ich sch keit ung zu".split(), "xc": "él ñor ción que los mente ado ía".split()}
+
+
+def foreign(draw, name, n):
+    return " ".join("".join(draw.choice(LANGUAGES[name]) for _ in range(draw.randint(1, 3))) for _ in range(n))
+
+
+def test_languages_of_held_out_texts(spark):
+    draw = random.Random(1)
+    rows = [(i, foreign(draw, n, draw.randint(3, 60)), n) for i, n in enumerate(draw.choices(list(LANGUAGES), [8, 2, 1], k=900))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = language_id.held_out(F.col("doc_id"), 4, 2)
+    model = language_id.fit(df.where(~held), "text", "lang")
+    got = language_id.identify(df.where(held), "text", model).collect()
+    assert len(got) > 100 and np.mean([r.lang == r.lang_pred for r in got]) > 0.97
+    assert all(0 < r.score <= 1 for r in got)
+
+
+def test_texts_without_letters_are_unknown(spark):
+    df = spark.createDataFrame([(1, "abc abc", "xa"), (2, "ñññ", "xb"), (3, "no", None)], "doc_id long, text string, lang string")
+    model = language_id.fit(df, "text", "lang")
+    odd = [(1, None, "s"), (2, "", "s"), (3, "12 — !!", "s"), (4, "abc", "s"), (5, "…ñ", "s"), (6, "𝒳" * 3, "s"), (6, "abc " * 200_000, "s")]
+    asked = spark.createDataFrame(odd, "doc_id long, text string, score string")
+    got = {(r.doc_id, (r.text or "")[:3]): (r.lang_pred, r.score) for r in language_id.identify(asked, "text", model).collect()}
+    assert [got[k][0] for k in sorted(got)] == ["und", "und", "und", "xa", "xb", "xa", got[(6, "𝒳𝒳𝒳")][0]]
+    assert got[(1, "")][1] == 0.0 and got[(6, "𝒳𝒳𝒳")][0] in ("xa", "xb")
+
+
+def test_no_labelled_rows_no_language(spark):
+    df = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
+    model = language_id.fit(df, "text", "lang")
+    assert language_id.identify(df, "text", model).first().lang_pred == "und"
+    assert language_id.identify(df.where("false"), "text", model).count() == 0
+
+
+def test_language_features_match_a_plain_count():
+    table = language_id.letter_table()
+    text = "Ab, é1 É"
+    data, offsets = np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())])
+    feature, owner = language_id.grams(data, offsets, table)
+    folded = re.sub(r"[^a-zé]+", " ", text.lower())
+    letters = len(folded.replace(" ", ""))
+    assert len(feature) == letters + (len(folded) - 1) + (len(folded) - 2) and set(owner.tolist()) == {0}
+
+
+BAD = ["vileword", "nastyterm", "uglyname"]
+
+
+def labelled(n, seed):
+    draw = random.Random(seed)
+    rows, labels = [], []
+    for i in range(n):
+        bad = draw.random() < 0.15
+        words = sentence(draw, draw.randint(10, 80)).split()
+        if bad:
+            for _ in range(draw.randint(1, 4)):
+                words.insert(draw.randrange(len(words)), draw.choice(BAD) + draw.choice(["", "s", "ish", "!"]))
+        rows.append((i, " ".join(words)))
+        if draw.random() < 0.5:
+            labels.append((i, int(bad), int(bad)))
+    return rows, labels
+
+
+def test_toxic_texts_from_positive_and_unlabelled_ones(spark):
+    rows, labels = labelled(3000, 2)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels + [(None, 1, 1), (5, None, 0)], "doc_id long, toxic int, text int")
+    held = language_id.held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(df.where(~held), "doc_id", "text", marks.where(~held), "doc_id", "toxic")
+    truth = {i: int(any(b in t for b in BAD)) for i, t in rows}
+    got = toxicity.score(df.where(held), "text", model).collect()
+    hit = [(truth[r.doc_id], int(r.score >= 0.5)) for r in got]
+    assert all(0 <= r.score <= 1 for r in got)
+    assert np.mean([a == b for a, b in hit]) > 0.97
+    assert sum(a & b for a, b in hit) >= 0.9 * sum(a for a, _ in hit)
+
+
+def test_toxicity_of_odd_texts_and_without_positives(spark):
+    rows, labels = labelled(800, 3)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int, x int")
+    model = toxicity.fit(df, "doc_id", "text", marks, "doc_id", "toxic")
+    odd = [(1, None, "a"), (2, "", "a"), (3, "... 12", "a"), (3, "... 12", "a"), (4, "lo ka " * 100_000 + BAD[0] + " " + BAD[1], "a")]
+    scored = toxicity.score(spark.createDataFrame(odd, "doc_id long, text string, score string"), "text", model)
+    got = [r.score for r in scored.orderBy("doc_id").collect()]
+    assert len(set(got[:4])) == 1 and got[0] < 0.5 <= got[4]
+    assert toxicity.fit(df, "doc_id", "text", marks.where("toxic = 0"), "doc_id", "toxic") is None
+    assert {r.score for r in toxicity.score(df, "text", None).collect()} == {0.0}
+    assert toxicity.score(df.where("false"), "text", model).count() == 0
+
+
+def test_risk_gradient_is_that_of_the_loss():
+    """With a non-negative second term, one step from zero lowers the estimator."""
+    draw = np.random.default_rng(0)
+    rows = lambda n, p: toxicity.Rows(np.flatnonzero(draw.random((n, 6)) < p) % 6, np.arange(1, n + 1))
+    positive = toxicity.Rows(np.array([0, 1] * 50), np.arange(2, 102, 2))
+    unlabelled = toxicity.Rows(np.concatenate([[0, 1] * 10, [2, 3] * 90]), np.arange(2, 202, 2))
+    w, b = toxicity.train(positive, unlabelled, 6, 0.1, 0)
+    assert w[0] > 0 and w[1] > 0 and w[0] + w[1] + b > 0 > w[2] + w[3] + b and w[4] == 0 and rows(3, 0.5).ends[-1] == 3
+
+
+def tokens(text):
+    return plain_words(text, r"[^\x20\x09-\x0D]+")
+
+
+def base_scores(train, asked):
+    count = collections.Counter()
+    for t in train:
+        count.update(tokens(t))
+        count[None] += 1
+    n, v = sum(count.values()), len(count)
+    out = {}
+    for k, t in asked:
+        own = [*tokens(t), None]
+        out[k] = (len(own), sum(count[w] > 0 for w in own), n, sum(math.log10((count[w] + 1) / (n + v + 1)) for w in own))
+    return out
+
+
+def test_base_scores_are_add_one_estimates(spark, monkeypatch):
+    draw = random.Random(4)
+    train = [sentence(draw, draw.randint(0, 40)) for _ in range(300)] + [None, "", "Rare\tONE\x0bTwo\nthree"]
+    asked = [(i, t) for i, t in enumerate([*train[:20], None, "", "unseen words here", "ka", "rare one", "x " * 50_000])]
+    schema = "doc_id long, text string, score string"
+    learn = spark.createDataFrame([(i, t, "s") for i, t in enumerate(train)], schema)
+    for share in (suffix_tree.HEAD_SHARE, 0.01):  # all words broadcast, or most of them joined
+        monkeypatch.setattr(suffix_tree, "HEAD_SHARE", share)
+        tree, counts = suffix_tree.fit(learn, "text")
+        got = suffix_tree.score(spark.createDataFrame([(i, t, "s") for i, t in asked], schema), "doc_id", "text", tree, counts).collect()
+        for r in got:
+            want = base_scores(train, asked)[r.doc_id]
+            assert (r.n_tokens, r.n_known, r.train_tokens) == want[:3] and math.isclose(r.base_score, want[3], rel_tol=1e-9)
+
+
+def plain_tree(train, share):
+    """Next-symbol probability by the definition, with dictionaries."""
+    grams = collections.Counter()
+    texts = [[None, *tokens(t), False] for t in train]
+    for w in texts:
+        for n in range(1, suffix_tree.DEPTH + 2):
+            for i in range(len(w) - n + 1):
+                grams[tuple(w[i : i + n])] += 1
+    count = {g[0]: c for g, c in grams.items() if len(g) == 1 and g[0] is not None}
+    n_tokens, v = sum(count.values()), len(count)
+    least = max(suffix_tree.LEAST_COUNT, share * n_tokens)
+    states = {}
+
+    def p(context, x):
+        while context and context not in states:
+            context = context[1:]
+        if not context:
+            return (count.get(x, 0) + 1) / (n_tokens + v + 1)
+        known, rest, total = states[context]
+        return (known[x] - suffix_tree.DISCOUNT) / total * (x in known) + rest * p(context[1:], x) if x in known else rest * p(context[1:], x)
+
+    for depth in range(1, suffix_tree.DEPTH + 1):
+        level = collections.defaultdict(dict)
+        for g, c in grams.items():
+            if len(g) == depth + 1 and c >= least:
+                level[g[:-1]][g[-1]] = c
+        kept = {}
+        for s, known in level.items():
+            total = grams[s]
+            below = {x: p(s[1:], x) for x in known}
+            gain = sum(c / total * math.log(c / total / below[x]) for x, c in known.items())
+            other, other_below = 1 - sum(known.values()) / total, max(1 - sum(below.values()), 1e-12)
+            gain += other * math.log(other / other_below) if other > 1e-12 else 0
+            if total * gain >= suffix_tree.GAIN + len(known):
+                kept[s] = (known, max(1 - sum(c - suffix_tree.DISCOUNT for c in known.values()) / total, 1e-12), total)
+        states.update(kept)
+    return p, count
+
+
+def test_scores_are_those_of_the_definition(spark):
+    draw = random.Random(6)
+    phrase = sentence(draw, 6)
+    train = [" ".join([sentence(draw, draw.randint(1, 12)), phrase, sentence(draw, 3)]) for _ in range(60)]
+    train += [draw.choice(["aa bb cc", "aa bb dd", "ee bb ff"]) for _ in range(200)]
+    learn = spark.createDataFrame(list(enumerate(train)), "doc_id long, text string").repartition(3)
+    tree, counts = suffix_tree.fit(learn, "text")
+    assert sum(len(x[0]) for x in tree.rests.values()) > 5
+    p, _ = plain_tree(train, suffix_tree.SHARE)
+    asked = [*train[:15], *train[-15:], "zz aa bb cc", "", "bb", phrase + " " + phrase]
+    df = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    for r in suffix_tree.score(df, "doc_id", "text", tree, counts).collect():
+        w = [None, *tokens(asked[r.doc_id]), False]
+        want = sum(math.log10(p(tuple(w[max(0, i - suffix_tree.DEPTH) : i]), w[i])) for i in range(1, len(w)))
+        assert math.isclose(r.score, want, rel_tol=1e-6), (asked[r.doc_id], r.score, want)
+
+
+def test_a_state_is_a_distribution():
+    draw = random.Random(8)
+    train = [draw.choice(["aa bb cc", "aa bb dd", "aa cc"]) for _ in range(80)]
+    p, count = plain_tree(train, suffix_tree.SHARE)
+    total = sum(p(("aa", "bb"), x) for x in [*count, "never seen"])
+    assert math.isclose(total, 1, rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None)]])
+def test_scores_with_little_or_nothing_learned(spark, rows):
+    learn = spark.createDataFrame(rows, "doc_id long, text string")
+    tree, counts = suffix_tree.fit(learn, "text")
+    asked = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None)], "doc_id long, text string")
+    got = suffix_tree.score(asked, "doc_id", "text", tree, counts).collect()
+    assert len(got) == 3 and all(math.isclose(r.score, r.base_score) and r.score <= 0 for r in got)
+    assert suffix_tree.score(asked.where("false"), "doc_id", "text", tree, counts).count() == 0
