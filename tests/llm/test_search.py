@@ -6,8 +6,6 @@ from pyspark.sql import functions as F
 
 from ratingloom.llm import ann
 
-EVERY = F.col("vec_id") % 20 == 0
-
 
 def vectors(seed, n, size, lengths=False):
     draw = np.random.default_rng(seed)
@@ -23,7 +21,7 @@ def frame(spark, rows):
 
 
 def search(spark, rows, k=10, **options):
-    found = ann.nearest(frame(spark, rows), "vec_id", "embedding", EVERY, k, **options).collect()
+    found = ann.nearest(frame(spark, rows), "vec_id", "embedding", F.col("vec_id") % 20 == 0, k, **options).collect()
     by = {}
     for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
         by.setdefault(r.query_id, []).append(r)
@@ -49,7 +47,7 @@ def test_recall_and_exact_scores(spark, lengths):
 
 
 def test_ties_go_to_the_smaller_id_and_a_hot_vector_is_whole(spark):
-    same = [0.5, 0.5, 0.5]
+    same = [0.6, 0.8, 0.0]
     rows = [(i, same) for i in range(400)] + [(1000 + i, v.tolist()) for i, v in enumerate(vectors(2, 100, 3))]
     got = search(spark, rows, k=5, block_rows=120)
     assert [r.vec_id for r in got[0]] == [1, 2, 3, 4, 5] and [r.vec_id for r in got[20]] == [0, 1, 2, 3, 4]
