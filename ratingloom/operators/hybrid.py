@@ -9,12 +9,12 @@ from ratingloom.operators.ordering import global_rank
 from ratingloom.operators.signature_blocks import promising_signatures
 from ratingloom.operators.topk import score_key, with_rank
 from ratingloom.operators.unseen import first_unseen, unseen_candidates
-from ratingloom.staging import fits_broadcast, stage
+from ratingloom.staging import BROADCAST_ROWS, stage
 
 
-def _of_users(rows: DataFrame, users: DataFrame) -> DataFrame:
+def _of_users(rows: DataFrame, users: DataFrame, n_users: int) -> DataFrame:
     """Drop rows of other users where that needs no shuffle; later joins on the user drop the rest."""
-    return rows.join(F.broadcast(users), "user_idx", "left_semi") if fits_broadcast(users) else rows
+    return rows.join(F.broadcast(users), "user_idx", "left_semi") if n_users <= BROADCAST_ROWS else rows
 
 
 class HybridModel:
@@ -44,8 +44,9 @@ class HybridModel:
     def recommend(self, users: DataFrame, k: int = 10, exclude_seen: bool = True) -> DataFrame:
         """``(user_idx, item_idx, score, rank)`` for the given users, a stored table of distinct rows."""
         users = users.select("user_idx")
-        seen = _of_users(self.seen, users) if exclude_seen else self.seen.where(F.lit(False))
-        candidates = self._from_signatures(users, seen, k, exclude_seen).unionByName(
+        n_users = users.count()
+        seen = _of_users(self.seen, users, n_users) if exclude_seen else self.seen.where(F.lit(False))
+        candidates = self._from_signatures(users, n_users, seen, k, exclude_seen).unionByName(
             self._from_popularity(users, seen, k)
         )
         order = [F.desc("_key"), F.asc("place")]
@@ -55,7 +56,9 @@ class HybridModel:
     def _blend(self, popularity: Column, content: Column) -> Column:
         return self.weight * popularity + (1 - self.weight) * content
 
-    def _from_signatures(self, users: DataFrame, seen: DataFrame, k: int, exclude_seen: bool) -> DataFrame:
+    def _from_signatures(
+        self, users: DataFrame, n_users: int, seen: DataFrame, k: int, exclude_seen: bool
+    ) -> DataFrame:
         """Candidates that share a genre with the user.
 
         The best item of a signature stands for it. The best items of wholly unseen signatures
@@ -64,7 +67,7 @@ class HybridModel:
         """
         prefs = self.preferences.join(users, "user_idx", "left_semi")
         touched = self.weights.select("user_idx", "sig").where(F.lit(exclude_seen))
-        scored = promising_signatures(prefs, _of_users(touched, users), self.best, k, self.weight, users.count())
+        scored = promising_signatures(prefs, _of_users(touched, users, n_users), self.best, k, self.weight, n_users)
         best = self.best.select("sig", F.col("score").alias("_score"), F.col("place").alias("_place"))
         scored = scored.join(best, "sig")
         scored = scored.withColumn("_key", score_key(self._blend(F.col("_score"), F.col("content"))))

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from ratingloom.operators.signature_blocks import block_rows
 from ratingloom.operators.topk import SCORE_SCALE, score_key, with_rank
 from ratingloom.staging import stage
 
@@ -35,20 +36,21 @@ def _best_of_block(kernel: str, n: int, cells: int, scale: float):
         owners = np.repeat(np.arange(len(corpus)), [len(c) for c in corpus])
         members = np.concatenate(corpus) if len(owners) else np.empty(0, dtype=np.int64)
         norm = np.sqrt(np.array([len(c) or 1 for c in corpus], dtype=np.float64))
+        # Only members of this block become dense columns; the block is sized for them.
+        columns, at = np.unique(members, return_inverse=True)
+        right = np.zeros((len(columns), len(corpus)))
+        right[at, owners] = 1.0
 
         def scores(i: int, j: int) -> np.ndarray:
             part = queries[i:j]
-            # Only values that occur in these queries become dense columns.
-            columns = np.unique(np.concatenate(part))
-            left = np.zeros((len(part), len(columns)))
-            for row, values in enumerate(part):
-                left[row, np.searchsorted(columns, values)] = 1.0
-            at = np.searchsorted(columns, members)
-            known = at < len(columns)
-            known[known] = columns[at[known]] == members[known]
-            right = np.zeros((len(columns), len(corpus)))
-            right[at[known], owners[known]] = 1.0
             own = np.sqrt(np.array([len(p) for p in part], dtype=np.float64))
+            left = np.zeros((len(part), len(columns)))
+            values = np.concatenate(part)
+            if len(columns) and len(values):
+                row = np.repeat(np.arange(len(part)), [len(p) for p in part])
+                place = np.minimum(np.searchsorted(columns, values), len(columns) - 1)
+                known = columns[place] == values
+                left[row[known], place[known]] = 1.0
             return (left @ right) / (own[:, None] * norm[None, :] + 1e-8)
 
         return scores
@@ -65,30 +67,29 @@ def _best_of_block(kernel: str, n: int, cells: int, scale: float):
         score_rows = score_rows_of(list(queries["qvec"]), list(corpus["cvec"]))
         skipped = list(queries["skip"])
         step = max(1, cells // len(ids))
+        qids = queries["qid"].to_numpy()
         out_q, out_c, out_s = [], [], []
         for start in range(0, len(queries), step):
             block = score_rows(start, min(start + step, len(queries)))
             keys = np.floor(block * scale + 0.5)
-            for row in range(len(block)):
-                values = keys[row]
-                skip = skipped[start + row]
-                if skip is not None and len(skip):
-                    skip = np.asarray(skip)
-                    at = np.searchsorted(rising, skip)
-                    inside = at < len(ids)
-                    at, skip = at[inside], skip[inside]
-                    at = at[rising[at] == skip]
-                    values[len(ids) - 1 - at] = -np.inf
-                if len(values) > n:
-                    bound = np.partition(values, len(values) - n)[len(values) - n]
-                    near = np.flatnonzero(values >= bound)
-                else:
-                    near = np.arange(len(values))
-                near = near[values[near] > -np.inf]
-                near = near[np.argsort(-values[near], kind="stable")][:n]
-                out_q.append(np.full(len(near), queries["qid"].iat[start + row]))
-                out_c.append(ids[near])
-                out_s.append(block[row, near])
+            lists = skipped[start : start + len(block)]
+            sizes = [0 if s is None else len(s) for s in lists]
+            if sum(sizes):
+                row = np.repeat(np.arange(len(block)), sizes)
+                skip = np.concatenate([np.asarray(s) for s, size in zip(lists, sizes) if size])
+                at = np.minimum(np.searchsorted(rising, skip), len(ids) - 1)
+                here = rising[at] == skip
+                keys[row[here], len(ids) - 1 - at[here]] = -np.inf
+            wanted = keys > -np.inf
+            if len(ids) > n:
+                bound = -np.partition(-keys, n - 1, axis=1)[:, n - 1 : n]
+                above, tied = keys > bound, keys == bound
+                places = n - above.sum(axis=1, keepdims=True)
+                wanted &= above | tied & (np.cumsum(tied, axis=1) <= places)
+            row, column = np.nonzero(wanted)
+            out_q.append(qids[start + row])
+            out_c.append(ids[column])
+            out_s.append(block[row, column])
         return pd.DataFrame(
             {"qid": np.concatenate(out_q), "cid": np.concatenate(out_c), "score": np.concatenate(out_s)}
         )
@@ -111,15 +112,20 @@ def blocked_top_n(
     kernel: str = "dot",
     exclude: DataFrame | None = None,
     exclude_self: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
     """``(qid, cid, score, rank)``: the n best corpus rows of every query.
 
     ``queries`` ``(qid, qvec)`` and ``corpus`` ``(cid, cvec)`` are stored tables with unique ids,
-    ``width`` the usual vector length, ``exclude`` distinct pairs ``(qid, cid)`` to leave out.
+    ``width`` the usual vector length, ``exclude`` distinct pairs ``(qid, cid)`` to leave out,
+    ``rows`` at most so many rows in a block.
     """
     parallel = queries.sparkSession.sparkContext.defaultParallelism
-    n_q = _block_count(queries.count(), width, parallel)
-    n_c = _block_count(corpus.count(), width, 1)
+    n_queries, n_corpus = queries.count(), corpus.count()
+    n_q = _block_count(n_queries, width, parallel)
+    n_c = _block_count(n_corpus, width, 1)
+    if rows:
+        n_q, n_c = max(n_q, -(-n_queries // rows)), max(n_c, -(-n_corpus // rows))
     q_block = F.pmod(F.xxhash64("qid"), F.lit(n_q)).alias("qb")
     c_block = F.pmod(F.xxhash64("cid"), F.lit(n_c)).alias("cb")
 
@@ -177,12 +183,14 @@ def similar_by_genre(items: DataFrame, index, n: int = 10) -> DataFrame:
     described = top.join(index.signatures, "sig").select("rep", "genre_ids")
     described = stage(described, "signature-sets")
     reps = stage(top, "signature-reps")
+    longest = index.signatures.agg(F.coalesce(F.max("size"), F.lit(0))).first()[0]
     near = blocked_top_n(
         described.select(F.col("rep").alias("qid"), F.col("genre_ids").alias("qvec")),
         described.select(F.col("rep").alias("cid"), F.col("genre_ids").alias("cvec")),
         n + 1,
-        64,
+        max(longest, 1),
         kernel="set_cosine",
+        rows=block_rows(index.vocabulary.count(), longest),
     )
     first = with_rank(members, ["sig"], [F.desc("item_idx")], n + 1, name="_pos")
     wanted = (

@@ -15,6 +15,7 @@ from ratingloom.operators.topk import SCORE_SCALE
 
 USER_BLOCK = 8192  # users per block
 SIGNATURE_BLOCK = 16_384  # signatures per block
+TABLE_BYTES = 64 * 1024 * 1024  # dense table of a block's sets and their members
 CHUNK_CELLS = 2_000_000  # scores held at once inside a task
 FOUND = "user_idx long, sig long, content double, touched int"
 
@@ -31,39 +32,44 @@ def _promising(k: int, weight: float, cells: int, scale: float):
     def find(users: pd.DataFrame, signatures: pd.DataFrame) -> pd.DataFrame:
         if users.empty or signatures.empty:
             return pd.DataFrame({"user_idx": [], "sig": [], "content": [], "touched": []})
-        signatures = signatures.sort_values("sig")
+        signatures = signatures.sort_values("place")  # equal keys: lower place first
         sig = signatures["sig"].to_numpy()
+        by_sig = np.argsort(sig)
         popularity = weight * signatures["score"].to_numpy()
         root = np.sqrt(signatures["size"].to_numpy())
         owner, member = flat(list(signatures["genre_ids"]))
+        # Only genres of this block become dense columns; the block is sized for them.
+        columns, at = np.unique(member, return_inverse=True)
+        right = np.zeros((len(columns), len(sig)))
+        right[at, owner] = 1.0
         out = []
-        step = max(1, cells // len(sig))
+        step = max(1, cells // max(len(sig), len(columns)))
         for start in range(0, len(users), step):
             part = users.iloc[start : start + step]
             row, genre = flat(list(part["genres"]))
-            columns = np.unique(genre)
+            pref = np.concatenate(list(part["prefs"]))
+            at = np.minimum(np.searchsorted(columns, genre), len(columns) - 1)
+            known = columns[at] == genre
             left = np.zeros((len(part), len(columns)))
-            left[row, np.searchsorted(columns, genre)] = np.concatenate(list(part["prefs"]))
-            at = np.searchsorted(columns, member)
-            known = at < len(columns)
-            known[known] = columns[at[known]] == member[known]
-            right = np.zeros((len(columns), len(sig)))
-            right[at[known], owner[known]] = 1.0
+            left[row[known], at[known]] = pref[known]
             content = (left @ right) / root
             key = np.floor((popularity + (1 - weight) * content) * scale + 0.5)
             key[content <= 0] = -np.inf
             touched = np.zeros(content.shape, dtype=bool)
             row, seen = flat(list(part["touched"]))
-            at = np.searchsorted(sig, seen)
-            inside = at < len(sig)
-            row, seen, at = row[inside], seen[inside], at[inside]
+            at = by_sig[np.minimum(np.searchsorted(sig, seen, sorter=by_sig), len(sig) - 1)]
             same = sig[at] == seen
             touched[row[same], at[same]] = True
-            # k untouched signatures at or above the bound come before everything below it.
-            bound = np.full(len(part), -np.inf)
+            # What k untouched signatures precede cannot matter.
+            wanted = key > -np.inf
             if len(sig) > k:
-                bound = -np.partition(-np.where(touched, -np.inf, key), k - 1, axis=1)[:, k - 1]
-            row, column = np.nonzero((key >= bound[:, None]) & (key > -np.inf))
+                free = np.where(touched, -np.inf, key)
+                bound = -np.partition(-free, k - 1, axis=1)[:, k - 1 : k]
+                tied = key == bound
+                ahead = np.cumsum(tied & ~touched, axis=1) - (tied & ~touched)
+                open_places = k - (free > bound).sum(axis=1, keepdims=True)
+                wanted &= (key > bound) | tied & (ahead < open_places)
+            row, column = np.nonzero(wanted)
             ids = part["user_idx"].to_numpy()
             out.append(
                 pd.DataFrame(
@@ -80,33 +86,40 @@ def _promising(k: int, weight: float, cells: int, scale: float):
     return find
 
 
+def block_rows(vocabulary: int, longest: int, most: int = SIGNATURE_BLOCK, table_bytes: int = TABLE_BYTES) -> int:
+    """Sets per block whose dense table of members fits ``table_bytes``: its columns are members of the
+    block's sets, so there are ``vocabulary`` at most, and at most ``longest`` for each set."""
+    cells = table_bytes // 8
+    return max(1, min(most, max(cells // max(vocabulary, 1), int((cells / max(longest, 1)) ** 0.5))))
+
+
 def promising_signatures(
     prefs: DataFrame, touched: DataFrame, signatures: DataFrame, k: int, weight: float, n_users: int
 ) -> DataFrame:
-    """``(user_idx, sig, content, touched)``: signatures sharing a genre that k untouched ones do not all beat.
+    """``(user_idx, sig, content, touched)``: signatures sharing a genre that k untouched ones do not all precede.
 
     ``prefs`` ``(user_idx, genre_idx, pref)``, ``touched`` ``(user_idx, sig)`` signatures with a seen
-    item, ``signatures`` stored ``(sig, genre_ids, size, score)`` with the score of the best item, and
-    ``n_users`` the number of users, which only sets the number of blocks. The result may hold a few rows more than needed, since blocks do not know each other's bounds.
+    item, ``signatures`` stored ``(sig, genre_ids, size, score, place)`` with score and place of the best item, and
+    ``n_users`` the number of users, which only sets the number of blocks. The result may hold a few rows more
+    than needed, since blocks do not know each other's bounds, but at most k untouched ones per user and block.
     """
     wishes = F.sort_array(F.collect_list(F.struct("genre_idx", "pref")))  # at most the vocabulary
-    marks = touched.groupBy("user_idx").agg(F.collect_list("sig").alias("touched"))  # at most all signatures
-    users = (
-        prefs.groupBy("user_idx")
-        .agg(wishes.alias("w"))
-        .join(marks, "user_idx", "left")
-        .select("user_idx", F.col("w.genre_idx").alias("genres"), F.col("w.pref").alias("prefs"), "touched")
-    )
+    users = prefs.groupBy("user_idx").agg(wishes.alias("w"))
+    users = users.select("user_idx", F.col("w.genre_idx").alias("genres"), F.col("w.pref").alias("prefs"))
     parallel = users.sparkSession.sparkContext.defaultParallelism
     n_u = max(1, -(-n_users // USER_BLOCK), min(parallel, -(-n_users // 512)))
-    n_s = max(1, -(-signatures.count() // SIGNATURE_BLOCK))
+    members = F.explode("genre_ids").alias("g")
+    size = signatures.agg(F.count("*").alias("n"), F.coalesce(F.max("size"), F.lit(0)).alias("longest")).first()
+    vocabulary = signatures.select(members).distinct().count()
+    n_s = max(1, -(-size["n"] // block_rows(vocabulary, size["longest"])))
 
     def every(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
+    block = F.pmod("sig", F.lit(n_s)).cast("int").alias("sb")
+    marks = touched.select("user_idx", "sig", block).groupBy("user_idx", "sb").agg(F.collect_list("sig").alias("touched"))
     left = users.select("*", F.pmod(F.xxhash64("user_idx"), F.lit(n_u)).cast("int").alias("ub"), every(n_s).alias("sb"))
-    right = signatures.select(
-        "sig", "genre_ids", "size", "score", F.pmod("sig", F.lit(n_s)).cast("int").alias("sb"), every(n_u).alias("ub")
-    )
+    left = left.join(marks, ["user_idx", "sb"], "left")
+    right = signatures.select("sig", "genre_ids", "size", "score", "place", block, every(n_u).alias("ub"))
     find = _promising(k, weight, CHUNK_CELLS, SCORE_SCALE)
     return left.groupBy("ub", "sb").cogroup(right.groupBy("ub", "sb")).applyInPandas(find, FOUND)

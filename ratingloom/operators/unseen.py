@@ -56,9 +56,9 @@ def unseen_candidates(
             head = broadcast_if_small(head)
         elif cut <= BROADCAST_ROWS:  # one list: at most ``cut`` rows
             head = F.broadcast(head)
-        seen_head = stage(
-            seen.join(head.select("item_idx", "pos", *by), "item_idx").select(*keys, "pos"), "seen-head"
-        )
+        in_head = seen.join(head.select("item_idx", "pos", *by), "item_idx").select(*keys, "pos")
+        # Other users' history does not count.
+        seen_head = stage(in_head.join(requests.select(*keys), keys, "left_semi"), "seen-head")
         counts = seen_head.groupBy(*keys).agg(F.count("*").alias("_c"))
         needs = requests.join(counts, keys, "left").withColumn("_c", F.coalesce("_c", F.lit(0)))
         ready = F.lit(True) if cut >= longest else F.col("_c") <= cut - k
@@ -68,12 +68,11 @@ def unseen_candidates(
         rounds.append(free.join(head, [*by, "pos"]).select(*keys, "item_idx", "pos", *carry))
         if cut >= longest:
             break
-        crowded = counts.where(F.col("_c") > cut - k).select(*keys)
-        if crowded.isEmpty():
+        # Only requests with many seen entries in the head are left.
+        crowded = needs.where(F.col("_c") > cut - k).drop("_c")
+        requests = stage(crowded, "requests")
+        if requests.isEmpty():
             break
-        crowded = stage(crowded, "crowded")
-        # Only users with many seen entries in the head are left.
-        requests = stage(requests.join(crowded, keys, "left_semi"), "requests")
         users = stage(requests.select("user_idx").distinct(), "crowded-users")
         seen = seen.join(users, "user_idx", "left_semi")
         cut *= 4

@@ -9,6 +9,7 @@ interactions therefore go to stored tables and carry no hint.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,20 +19,32 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # fixed-width columns, so this bounds the broadcast at some tens of megabytes.
 BROADCAST_ROWS = 1_000_000
 
-_local_folders: dict[str, str] = {}
+_folders: dict[str, str] = {}
+
+
+def use_folder(spark: SparkSession, folder: str) -> None:
+    """Stage the tables of this application below ``folder``, which all executors share."""
+    _folders[spark.sparkContext.applicationId] = folder
 
 
 def work_folder(spark: SparkSession) -> str:
-    """Folder for staged tables: the session's checkpoint folder, or a local one in local mode."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """Folder for staged tables: that of ``use_folder``, else the session's checkpoint folder, else, in a
+    session without executors of its own, a temporary one. It stays the same for an application."""
     app = spark.sparkContext.applicationId
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        if app not in _local_folders:
-            _local_folders[app] = tempfile.mkdtemp(prefix="ratingloom-")
-        folder = _local_folders[app]
-    return f"{folder.rstrip('/')}/ratingloom-{app}"
+    if app not in _folders:
+        folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+        if not folder:
+            if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", spark.sparkContext.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="ratingloom-")
+        _folders[app] = folder
+    return f"{_folders[app].rstrip('/')}/ratingloom-{app}"
+
+
+def drop_staged(spark: SparkSession) -> bool:
+    """Delete all staged tables of this application; frames that read them are of no more use."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

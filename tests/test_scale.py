@@ -10,6 +10,8 @@ from ratingloom.operators import encoding, features, splits
 from ratingloom.operators.cleaning import latest_per_pair
 from ratingloom.operators.core_filter import core_filter
 from ratingloom.operators.genres import GenreIndex, signature_weights
+from ratingloom.params import Params
+from ratingloom.plans.workspace import Workspace
 from ratingloom.staging import stage, work_folder
 
 SETTINGS = {
@@ -90,9 +92,12 @@ def test_split_neither_sorts_nor_shuffles(hot):
 
 
 def test_train_part_pushes_the_time_bound_down(hot):
-    labelled = stage(splits.temporal_split(hot), "labelled", partition_by=("split",))
-    plan = splits.part_of(labelled, "train").select("user_id")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(split" in plan and "ReadSchema: struct<user_id:bigint>" in plan
+    raw = hot.withColumnsRenamed({"user_id": "userId", "item_id": "movieId"})
+    items = hot.sparkSession.createDataFrame([(1, "a (2000)", "x")], "movieId long, title string, genres string")
+    run = Workspace(raw, items, Params(min_user_interactions=1, min_item_interactions=1))
+    for frame, bound in ((run.train, "LessThanOrEqual(timestamp"), (run.cuts.part(run.kept, "test"), "GreaterThanOrEqual(timestamp")):
+        plan = frame.select("rating")._jdf.queryExecution().executedPlan().toString()
+        assert bound in plan.split("PushedFilters:")[1].split("]")[0]
 
 
 def test_a_cluster_needs_a_shared_folder():

@@ -46,9 +46,20 @@ def test_core_equals_brute_force(ratings):
     assert {(r.user_id, r.item_id) for r in kept.collect()} == expected
 
 
-def test_core_round_guard(ratings):
-    with pytest.raises(RuntimeError):
-        core_filter(ratings([(1, 1, 1.0, 1), (2, 1, 1.0, 1), (2, 2, 1.0, 1)]), 2, 2, max_rounds=1)
+def test_core_of_a_long_chain_is_empty(ratings):
+    """Every removal starts the next one: no number of rounds is too many."""
+    chain = [(i, i + side, 1.0, i) for i in range(12) for side in (0, 1)]
+    assert core_filter(ratings(chain), 2, 2).count() == 0
+
+
+def test_part_of_a_split_is_the_labelled_part(ratings):
+    table = ratings([(i % 7, i % 11, 4.0, i // 9) for i in range(77)])
+    cuts = splits.temporal_cuts(table, 0.6, 0.2, 0.2)
+    labelled = cuts.label(table)
+    for name in splits.PARTS:
+        want = sorted(tuple(r) for r in splits.part_of(labelled, name).collect())
+        assert sorted(tuple(r) for r in cuts.part(table, name).collect()) == want
+    assert splits.temporal_cuts(table, 1.0, 0.0, 0.0).part(table, "test").count() == 0
 
 
 def test_temporal_sizes_and_order(ratings):
