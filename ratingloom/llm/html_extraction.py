@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ratingloom import staging
 from ratingloom.llm.components import connected_components
-from ratingloom.llm.text import ALNUM, LOWER, mix, slices, spans_hash, windows, word_spans
+from ratingloom.llm.text import ALNUM, LOWER, bound_batches, mix, slices, spans_hash, windows, word_spans
 
 WORDS = 5
 THRESHOLD = (4, 5)  # numerator and denominator
@@ -122,7 +122,7 @@ def _sets(df: DataFrame, key: str, text: str, join: Join) -> DataFrame:
                     names=schema.names,
                 )
 
-    rows = df.select(df[f"`{key}`"].alias("id"), F.xxhash64(df[f"`{text}`"]).alias("print"), df[f"`{text}`"].cast("string").alias("t"))
+    rows = bound_batches(df).select(df[f"`{key}`"].alias("id"), F.xxhash64(df[f"`{text}`"]).alias("print"), df[f"`{text}`"].cast("string").alias("t"))
     return rows.mapInArrow(run, schema)
 
 
@@ -269,12 +269,20 @@ def _paths(sets: DataFrame, join: Join) -> DataFrame:
     return out
 
 
-def _maybe_wanted(source: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``source`` whose ``print`` may be among ``wanted``: a bit map of ``MARK_BITS`` bits a print, and of
-    ``MOST_MARKS`` bits at most, is broadcast, so the texts of all other rows are never shuffled."""
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column has it."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
+def _by_mark(source: DataFrame, wanted: DataFrame, column: str = "print") -> tuple[DataFrame, DataFrame]:
+    """The rows of ``source`` whose ``column`` may be among the prints ``wanted``, and those in which it is not: a bit map
+    of ``MARK_BITS`` bits a print, and of ``MOST_MARKS`` bits at most, is broadcast, so only the first need a shuffle."""
     bits = min(MOST_MARKS, max(1 << 16, MARK_BITS * wanted.count()))
     bits -= bits % MARK_SEGMENT
     place = F.pmod(F.col("print"), F.lit(bits)).alias("place")
+    number = free_name(source, "place")
     marks = wanted.select(place).select((F.col("place") / MARK_SEGMENT).cast("long").alias("segment"), "place")
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,16 +300,19 @@ def _maybe_wanted(source: DataFrame, wanted: DataFrame) -> DataFrame:
     for r in marks.repartition("segment").mapInArrow(draw, "segment long, bits binary").collect():
         whole[r["segment"] * MARK_SEGMENT // 8 :][: MARK_SEGMENT // 8] |= np.frombuffer(r["bits"], np.uint8)
     known = source.sparkSession.sparkContext.broadcast(whole)
-    numbered = source.select("*", place)
+    numbered = source.withColumn(number, F.pmod(F.col(f"`{column}`"), F.lit(bits)))
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = known.value
-        for batch in batches:
-            at = batch.column(batch.num_columns - 1).to_numpy()
-            inside = (marked[at >> 3] >> (7 - (at & 7))) & 1
-            yield batch.filter(pa.array(inside.astype(bool)))
+    def kept(marked: bool) -> DataFrame:
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = known.value
+            for batch in batches:
+                at = batch.column(batch.num_columns - 1).to_numpy()
+                inside = ((held[at >> 3] >> (7 - (at & 7))) & 1).astype(bool)
+                yield batch.filter(pa.array(inside == marked))
+
+        return numbered.mapInArrow(keep, numbered.schema).drop(number)
 
-    return numbered.mapInArrow(keep, numbered.schema).drop("place")
+    return kept(True), kept(False)
 
 
 def _dealt(rows: DataFrame, join: Join, columns: list[str]) -> DataFrame:
@@ -488,7 +499,7 @@ def similar_texts(df: DataFrame, key: str, text: str, join: Join = Join()) -> Da
     active = staging.stage(_grouped(dealt, _active(join), "node long, a int, b int, own int, set long, crowded boolean"), "active")
     wanted = staging.stage(active.select("set").distinct().join(cards.select("set", "least"), "set"), "wanted")
     source = df.select(df[f"`{key}`"].alias("id"), F.xxhash64(df[f"`{text}`"]).alias("print"), df[f"`{text}`"].cast("string").alias("t"))
-    source = _maybe_wanted(source, wanted.select("least.print"))
+    source, _ = _by_mark(source, wanted.select("least.print"))
     same = source["id"].eqNullSafe(wanted["least"]["id"]) & (source["print"] == wanted["least"]["print"])
     texts = staging.stage(source.join(wanted, same).select("set", "t").dropDuplicates(["set"]), "found")
     compared = active.join(cards.select("set", "entries", "copies"), "set").join(texts, "set")
@@ -518,13 +529,15 @@ def similar_texts(df: DataFrame, key: str, text: str, join: Join = Join()) -> Da
 
 def keep_one(df: DataFrame, key: str, text: str, join: Join = Join()) -> DataFrame:
     """The rows of ``df`` without near duplicates: of each class the row with the smallest key stays (of rows that also share
-    the key, one with the smallest hash of the text). Rows and columns are otherwise as they came."""
-    found = similar_texts(df, key, text, join)
-    first = found.where(F.col(key).eqNullSafe(F.col("class_id")) & (F.col("print") == F.col("class_print")))
-    first = first.select(F.col(key).alias("__id"), F.col("print").alias("__print")).distinct()
-    kept = staging.stage(first, "kept")
-    here = F.xxhash64(df[f"`{text}`"])
-    rows = df.withColumn("__own", here)
-    same = rows[f"`{key}`"].eqNullSafe(kept["__id"]) & (rows["__own"] == kept["__print"])
-    once = rows.join(kept, same, "left_semi").dropDuplicates([key, "__own"])
-    return once.select(*(f"`{c}`" for c in df.columns))
+    the key, one with the smallest hash of the text). Rows and columns are otherwise as they came. Only rows that may go
+    are shuffled."""
+    found = staging.stage(similar_texts(df, key, text, join).select(F.col(key).alias("id"), "print", "class_id", "class_print"), "members")
+    first = F.col("id").eqNullSafe(F.col("class_id")) & (F.col("print") == F.col("class_print"))
+    gone = staging.stage(found.where(~first).select("id", "print").distinct(), "gone")
+    repeated = found.where(first).groupBy("id", "print").agg(F.count("*").alias("n")).where("n > 1")
+    doubtful = staging.stage(gone.select("print").unionByName(repeated.select("print")).distinct(), "doubtful")
+    name = free_name(df, "print")
+    maybe, sure = _by_mark(df.withColumn(name, F.xxhash64(df[f"`{text}`"])), doubtful, name)
+    same = maybe[f"`{key}`"].eqNullSafe(gone["id"]) & (maybe[name] == gone["print"])
+    once = maybe.join(gone, same, "left_anti").dropDuplicates([key, name])
+    return sure.unionByName(once).select(*(f"`{c}`" for c in df.columns))

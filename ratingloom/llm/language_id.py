@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ratingloom.llm.text import slices, with_fields
+from ratingloom.llm.text import bound_batches, slices, with_fields
 
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
@@ -82,7 +82,7 @@ def fit(df: DataFrame, text: str, language: str, per_language: int = TRAIN_TEXTS
     ``BUCKETS`` counts for each task and language comes to the driver. Without labelled rows the
     model knows no language.
     """
-    rows = df.select(df[f"`{text}`"].cast("string").alias("t"), df[f"`{language}`"].cast("string").alias("lang"))
+    rows = bound_batches(df).select(df[f"`{text}`"].cast("string").alias("t"), df[f"`{language}`"].cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull())
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)

@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
 from ratingloom.llm.pieces import Encoder
+from ratingloom.llm.text import bound_batches
 from ratingloom.llm.token_counts import first_tier
 
 OUTPUT_IDS = 1 << 20
@@ -220,7 +221,8 @@ def pack_texts(df: DataFrame, key: str, text: str, path: str, end_id: int | None
         if head is not None:
             yield from _packed(_chain(head, stream), limits, schema, key_type[0])
 
-    return df.select(df[f"`{key}`"], df[f"`{text}`"].cast("string").alias("__text")).mapInArrow(run, schema)
+    rows = bound_batches(df).select(df[f"`{key}`"], df[f"`{text}`"].cast("string").alias("__text"))
+    return rows.mapInArrow(run, schema)
 
 
 def pack_examples(df: DataFrame, key: str, ids: str, loss: str, limits: Limits = Limits()) -> DataFrame:
@@ -246,7 +248,7 @@ def pack_examples(df: DataFrame, key: str, ids: str, loss: str, limits: Limits =
         if head is not None:
             yield from _packed(_chain(head, stream), limits, schema, key_type[0])
 
-    return df.select(*(df[f"`{c}`"] for c in (key, ids, loss))).mapInArrow(run, schema)
+    return bound_batches(df).select(*(df[f"`{c}`"] for c in (key, ids, loss))).mapInArrow(run, schema)
 
 
 def _chain(head: Piece, rest: Iterator[Piece]) -> Iterator[Piece]:

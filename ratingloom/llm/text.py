@@ -15,7 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+BATCH_ROWS = 1_000
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -126,8 +127,13 @@ def windows(words: np.ndarray, text_of: np.ndarray, n: int) -> tuple[np.ndarray,
     return mix(h[first] + _U(n)), first
 
 
-def strings(values) -> pa.Array:
-    return pa.array(values, pa.string())
+def bound_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session sends at most ``BATCH_ROWS`` rows to Python at once unless it is set otherwise:
+    rows hold whole texts, and Spark's default of 10,000 rows is meant for short ones."""
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+    return df
 
 
 def with_fields(
@@ -141,7 +147,7 @@ def with_fields(
     new = {f.name for f in fields}
     kept = [c for c in df.columns if c not in new]
     schema = T.StructType([f for f in df.schema.fields if f.name in kept] + fields)
-    carried = df.select(*(f"`{c}`" for c in kept), df[f"`{column}`"].cast("string").alias("__text"))
+    carried = bound_batches(df).select(*(f"`{c}`" for c in kept), df[f"`{column}`"].cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = start()
@@ -149,5 +155,6 @@ def with_fields(
             if batch.num_rows:
                 arrays = [batch.column(i) for i in range(len(kept))]
                 yield pa.RecordBatch.from_arrays(arrays + make(batch.column(len(kept))), names=schema.names)
+        pa.default_memory_pool().release_unused()
 
     return carried.mapInArrow(run, schema)

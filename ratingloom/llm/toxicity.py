@@ -21,12 +21,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ratingloom.llm.text import LOWER, slices, spans_hash, with_fields, word_spans
+from ratingloom.llm.text import LOWER, bound_batches, slices, spans_hash, with_fields, word_spans
 
 FEATURE_BITS = 18
 HEADS = (4, 5, 6)  # bytes
-POSITIVES = 4_000
-UNLABELLED = 10_000
+POSITIVES = 3_000
+UNLABELLED = 8_000
 MODELS = 3
 EPOCHS = 120
 BATCH = 4_096  # of unlabelled rows
@@ -71,9 +71,17 @@ class Rows:
 
     def only(self, columns: np.ndarray) -> Rows:
         """The rows with these (sorted) columns alone, numbered anew."""
-        place = np.searchsorted(columns, self.columns)
-        kept = (place < len(columns)) & (np.append(columns, -1)[place] == self.columns)
-        return Rows(place[kept], np.append(0, np.cumsum(kept))[self.ends])
+        number = np.full(1 << FEATURE_BITS, -1, np.int32)
+        number[columns] = np.arange(len(columns))
+        place = number[self.columns]
+        return Rows(place[place >= 0], np.append(0, np.cumsum(place >= 0, dtype=np.int32))[self.ends])
+
+    def counts(self) -> np.ndarray:
+        """Rows with each column, counted in pieces to save memory."""
+        total = np.zeros(1 << FEATURE_BITS, np.int64)
+        for at in range(0, len(self.columns), 1 << 20):
+            total += np.bincount(self.columns[at : at + (1 << 20)], minlength=len(total))
+        return total
 
     def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Columns of some rows, and which of those rows each belongs to."""
@@ -90,8 +98,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 def telling(positive: Rows, unlabelled: Rows) -> np.ndarray:
     """Features that mark the positive texts: enough of them, at a ratio and a significance."""
     n, m = len(positive), len(unlabelled)
-    p = np.bincount(positive.columns, minlength=1 << FEATURE_BITS)
-    u = np.bincount(unlabelled.columns, minlength=1 << FEATURE_BITS)
+    p, u = positive.counts(), unlabelled.counts()
     chance = (p + u) / (n + m)
     with np.errstate(all="ignore"):
         z = (p / n - u / m) / np.sqrt(chance * (1 - chance) * (1 / n + 1 / m))
@@ -148,8 +155,8 @@ def _sample(texts: DataFrame, most: int) -> Rows:
                 parts = [own[a:b].astype("<i4").tobytes() for a, b in zip(np.append(0, stops[:-1]), stops)]
                 yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], names=["f"])
 
-    rows = texts.limit(2 * most).repartition(4).mapInArrow(run, "f binary").collect()
-    parts = [np.frombuffer(r["f"], "<i4") for r in sorted(rows, key=lambda r: bytes(r["f"]))]
+    rows = texts.limit(2 * most).repartition(4).mapInArrow(run, "f binary").toLocalIterator()
+    parts = [np.frombuffer(f, "<i4") for f in sorted(bytes(r["f"]) for r in rows)]
     if not parts:
         return Rows(np.zeros(0, np.int64), np.zeros(0, np.int64))
     return Rows(np.concatenate(parts), np.cumsum([len(p) for p in parts]))
@@ -183,7 +190,7 @@ def fit(
     if prior is None:
         prior = seen["toxic"] / seen["all"]
     prior = min(max(prior, 1e-4), 0.9)
-    rows = df.select(df[f"`{key}`"].alias("k"), F.coalesce(df[f"`{text}`"].cast("string"), F.lit("")).alias("t"))
+    rows = bound_batches(df).select(df[f"`{key}`"].alias("k"), F.coalesce(df[f"`{text}`"].cast("string"), F.lit("")).alias("t"))
     keys = known.where((F.col("y") == 1) & _drawn(F.col("k"), positives, seen["toxic"])).select("k").limit(2 * positives)
     toxic = _sample(rows.join(F.broadcast(keys), "k").select("t"), positives)
     mixed = _sample(rows.where(_drawn(F.col("k"), unlabelled, rows.count())).select("t"), unlabelled)
