@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegralType, StringType, StructField, StructType
 
 from ratingloom import schemas
 
@@ -15,19 +15,21 @@ BROKEN = "_broken"  # the line of a row with too few or too many values
 def _typed(name: str, kind) -> Column:
     """The text value as ``kind``, null where it is none; whole numbers may be written as ``2.0`` or ``1e3``."""
     text = F.trim(F.col(f"`{name}`"))
-    if isinstance(kind, LongType):
+    if isinstance(kind, IntegralType):
         number = text.try_cast("decimal(38,9)")
-        return F.when(number == F.floor(number), number.try_cast("long"))
+        return F.when(number == F.floor(number), number.try_cast(kind))
     return F.col(f"`{name}`") if isinstance(kind, StringType) else text.try_cast(kind)
 
 
-def scan_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False) -> DataFrame:
     """The columns of ``schema`` by header name, typed, and ``_rejected``: why a row is unusable, else null.
 
     The order of the columns in the file does not matter and other columns are left out; a missing column or path
     raises, as do files of one folder with different headers. Empty values are null. Quotes are doubled.
     ``multiline`` allows line ends inside quotes, and then a file is not split.
     """
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
     options = {"header": True, "quote": '"', "escape": '"', "multiLine": multiline}
     header = spark.read.options(**options).csv(path).columns
     missing = [f.name for f in schema.fields if f.name not in header]
@@ -42,12 +44,12 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool
     return rows.select(*(v.alias(name) for name, v in typed.items()), reason.alias("_rejected"))
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False) -> DataFrame:
     """The usable rows of ``scan_csv``; ``csv_audit`` counts the others."""
     return scan_csv(spark, path, schema, multiline).where(F.col("_rejected").isNull()).drop("_rejected")
 
 
-def csv_audit(spark: SparkSession, path: str, schema: StructType, multiline: bool = False) -> DataFrame:
+def csv_audit(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False) -> DataFrame:
     """``(reason, n_rows)``: rejected rows by the column that could not be read, and the rows read under a null reason."""
     rows = scan_csv(spark, path, schema, multiline)
     return rows.groupBy(F.col("_rejected").alias("reason")).agg(F.count("*").alias("n_rows"))
