@@ -201,6 +201,33 @@ def test_scores_are_those_of_the_definition(spark):
         assert math.isclose(r.score, want, rel_tol=1e-6), (asked[r.doc_id], r.score, want)
 
 
+@pytest.mark.parametrize("head_nodes, head_share", [(None, None), (0, 0.01), (40, 0.01), (20, None)])
+def test_scores_use_every_ngram_whatever_its_share(spark, monkeypatch, head_nodes, head_share):
+    monkeypatch.setattr(suffix_tree, "SHARE", 0.01)  # no n-gram below a share of the tokens may be lost
+    if head_nodes is not None:  # most of the tree is joined
+        monkeypatch.setattr(suffix_tree, "HEAD_NODES", head_nodes)
+    if head_share is not None:
+        monkeypatch.setattr(suffix_tree, "HEAD_SHARE", head_share)
+    draw = random.Random(6)
+    phrases = [sentence(draw, 6) for _ in range(8)]
+    train = [" ".join([sentence(draw, draw.randint(1, 12)), draw.choice(phrases), sentence(draw, 3)]) for _ in range(160)]
+    train += [draw.choice(["aa bb cc", "aa bb dd", "ee bb ff"]) for _ in range(200)]
+    learn = spark.createDataFrame(list(enumerate(train)), "doc_id long, text string").repartition(3)
+    tree, counts = suffix_tree.fit(learn, "text")
+    p, _ = plain_tree(train, 0)
+    asked = [*train[:15], *train[-15:], "zz aa bb cc", "", "bb", *phrases, phrases[0] + " " + phrases[1]]
+    df = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+    got = suffix_tree.score(df, "doc_id", "text", tree, counts).collect()
+    assert len(got) == len(asked)
+    for r in got:
+        w = [None, *tokens(asked[r.doc_id]), False]
+        want = sum(math.log10(p(tuple(w[max(0, i - suffix_tree.DEPTH) : i]), w[i])) for i in range(1, len(w)))
+        assert math.isclose(r.score, want, rel_tol=1e-6), (asked[r.doc_id], r.score, want)
+        assert math.isclose(r.base_score, base_scores(train, [(0, asked[r.doc_id])])[0][3], rel_tol=1e-9)
+    if head_nodes is not None:
+        assert sum(len(x[0]) for x in [*tree.entries.values(), *tree.rests.values()]) <= head_nodes and tree.tail.count()
+
+
 def test_a_state_is_a_distribution():
     draw = random.Random(8)
     train = [draw.choice(["aa bb cc", "aa bb dd", "aa cc"]) for _ in range(80)]
