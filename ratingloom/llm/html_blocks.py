@@ -18,6 +18,7 @@ INLINE = frozenset(
 SKIPPED = frozenset("script style noscript template svg math iframe object canvas audio video textarea title select head".split())
 RAW = frozenset("script style textarea title iframe noscript".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 CLOSES_PARAGRAPH = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li "
     "main menu nav ol p pre section table ul dd dt".split()
@@ -70,6 +71,8 @@ def blocks(page: str) -> list[Block]:
 
     def add(raw: str) -> None:
         nonlocal linked
+        if skip and stack[-1][0] == "head" and raw.strip():
+            close_head()
         if raw and not skip:
             text = html.unescape(raw)
             parts.append(text)
@@ -83,6 +86,16 @@ def blocks(page: str) -> list[Block]:
             if name in SKIPPED:
                 skip -= 1
 
+    def close_head() -> None:
+        """Close an open head, whose end tag may be left out, unless one of its elements with markup is open."""
+        place = len(stack)
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i][0] == "head":
+                place = i
+            elif stack[i][0] not in RAW:
+                break
+        pop(place)
+
     while at < n:
         match = TAG.search(page, at)
         if match is None:
@@ -110,6 +123,8 @@ def blocks(page: str) -> list[Block]:
                 continue
             pop(place)
             continue
+        if skip and name not in IN_HEAD:
+            close_head()
         if name == "br":
             add(" ")
             continue

@@ -86,6 +86,20 @@ def test_blocks_of_a_page():
     assert html_blocks.blocks(page)[0].linked == 5 and "ad" in html_blocks.blocks(page)[6].own
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>t</title><body><article>the text</article></body></html>",
+        "<head><meta charset=utf-8><style>a{}</style>\n<link rel=x><article>the text",
+        "<head><script>var a='<p>'</script><noscript><p>no</noscript><template><p>no</p></template><custom-part>the text",
+        "<head><title>t</title> the text",
+        "<head><title>t</title></head><body><p>the text",
+    ],
+)
+def test_a_head_ends_without_its_end_tag(page):
+    assert [b.text for b in html_blocks.blocks(page)] == ["the text"]
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<<<<>", "no markup", "<p", "<script>x", "<!--", "</p></div>", "<a " * 3000, "&#0;&#x110000;"])
 def test_odd_pages_do_not_fail(page):
     html_blocks.blocks(page)
