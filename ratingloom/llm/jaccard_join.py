@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ratingloom import staging
 from ratingloom.llm.components import connected_components
-from ratingloom.llm.text import ALNUM, LOWER, bound_batches, mix, slices, spans_hash, windows, word_spans
+from ratingloom.llm.text import ALNUM, LOWER, bound_batches, free_name, mix, slices, spans_hash, windows, word_spans
 
 WORDS = 5
 THRESHOLD = (4, 5)  # numerator and denominator
@@ -269,13 +269,6 @@ def _paths(sets: DataFrame, join: Join) -> DataFrame:
     return out
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, with underscores in front until no column has it."""
-    while name in df.columns:
-        name = f"_{name}"
-    return name
-
-
 def _by_mark(source: DataFrame, wanted: DataFrame, column: str = "print") -> tuple[DataFrame, DataFrame]:
     """The rows of ``source`` whose ``column`` may be among the prints ``wanted``, and those in which it is not: a bit map
     of ``MARK_BITS`` bits a print, and of ``MOST_MARKS`` bits at most, is broadcast, so only the first need a shuffle."""

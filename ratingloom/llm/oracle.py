@@ -56,4 +56,23 @@ SELECT conv_id, count(*) AS n_turns,
 FROM sized GROUP BY conv_id
 """
 
-ORACLE: dict[str, str] = {"op7_decontamination": DECONTAMINATION, "op10_chat_formatting": CHAT}
+# Lines, their keys and the documents of each key written out as rows.
+LINE_DEDUP = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (
+  SELECT r, doc_id, i, lines[i] AS line,
+         translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT r, doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM doc)),
+shared AS (SELECT key FROM line WHERE len(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(s.key) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (s.key IS NULL), '')) AS kept_sha256
+FROM line LEFT JOIN shared s ON line.key = s.key GROUP BY r
+"""
+
+ORACLE: dict[str, str] = {
+    "op7_decontamination": DECONTAMINATION,
+    "op10_chat_formatting": CHAT,
+    "op13_line_dedup": LINE_DEDUP,
+}

@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratingloom.llm import ann, chat, decontamination, html_extraction, jaccard_join, language_id, packing, suffix_tree, token_counts, toxicity
+from ratingloom.llm import (
+    ann,
+    chat,
+    decontamination,
+    html_extraction,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    packing,
+    suffix_tree,
+    token_counts,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,6 +128,12 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    left = line_dedup.drop_shared_lines(documents, "doc_id", "text")
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_nearest_neighbours": op1_nearest_neighbours,
     "op2_jaccard_join": op2_jaccard_join,
@@ -127,4 +145,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
+    "op13_line_dedup": op13_line_dedup,
 }

@@ -127,6 +127,13 @@ def windows(words: np.ndarray, text_of: np.ndarray, n: int) -> tuple[np.ndarray,
     return mix(h[first] + _U(n)), first
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column has it."""
+    while name in df.columns:
+        name = f"_{name}"
+    return name
+
+
 def bound_batches(df: DataFrame) -> DataFrame:
     """``df``, whose session sends at most ``BATCH_ROWS`` rows to Python at once unless it is set otherwise:
     rows hold whole texts, and Spark's default of 10,000 rows is meant for short ones."""

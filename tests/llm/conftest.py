@@ -1,14 +1,7 @@
 import random
-import re
 
 import pytest
-
-SYLLABLES = "ka lo mi nu per sta dor fil gan tro bel cus".split()
-
-
-def plain_words(text, pattern):
-    table = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return re.findall(pattern, (text or "").translate(table))
+from text_cases import sentence
 
 
 @pytest.fixture(scope="session")
@@ -22,10 +15,6 @@ def draw():
     return random.Random(7)
 
 
-def sentence(draw, n):
-    return " ".join("".join(draw.choice(SYLLABLES) for _ in range(draw.randint(1, 4))) for _ in range(n))
-
-
 @pytest.fixture
 def prose(draw):
     return lambda n: sentence(draw, n)

@@ -1,45 +1,15 @@
 """Near duplicates against all pairs by sets, and components against a walk."""
 
-import itertools
 
 import numpy as np
 import pytest
-from conftest import plain_words
 from pyspark.sql import functions as F
+from text_cases import brute_classes as brute, grams
 
 from ratingloom.llm import jaccard_join
 from ratingloom.llm.components import connected_components
 from ratingloom.llm.jaccard_join import Join
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-
-
-def grams(text):
-    words = plain_words(text, WORD)
-    if len(words) < 5:
-        return frozenset([tuple(words)]) if words else frozenset()
-    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
-
-
-def brute(values):
-    """Links and class of each row by comparing all pairs."""
-    sets = {k: grams(t) for k, t in values}
-    links = {k: set() for k in sets}
-    for a, b in itertools.combinations(sets, 2):
-        both = len(sets[a] & sets[b])
-        if both and 5 * both >= 4 * len(sets[a] | sets[b]):
-            links[a].add(b)
-            links[b].add(a)
-    root = {}
-    for k in sorted(links):
-        todo = [k] if k not in root else []
-        while todo:
-            x = todo.pop()
-            if x not in root:
-                root[x] = k
-                todo += links[x]
-    return {k: (root[k], len(links[k])) for k in links}
-
 
 def edited(draw, text, n):
     words = text.split(" ")

@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import plain_words, sentence
+from text_cases import plain_words, sentence
 from pyspark.sql import functions as F
 
 from ratingloom.llm import language_id, suffix_tree, toxicity

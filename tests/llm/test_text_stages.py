@@ -5,7 +5,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import plain_words, sentence
+from text_cases import plain_words, sentence
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -221,7 +221,7 @@ def test_pipeline_stages_against_their_rules(spark, tmp_path, tokenizer_file):
     assert {i for i, t in first.items() if not any(c.isalpha() for c in t or "")} == set(first) - kept
     toxic_in, clean = seen[1]
     assert len(clean) > 0.7 * len(toxic_in)
-    from test_join import brute
+    from text_cases import brute_classes as brute
 
     texts, kept = seen[2]
     assert kept == {root for root, _ in brute(sorted(texts.items())).values()}

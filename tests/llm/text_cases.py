@@ -1,0 +1,49 @@
+"""Plain forms the tests compare with."""
+
+import itertools
+import re
+
+SYLLABLES = "ka lo mi nu per sta dor fil gan tro bel cus".split()
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def lower(text):
+    return (text or "").translate(str.maketrans(UPPER, LOWER))
+
+
+def plain_words(text, pattern):
+    return re.findall(pattern, lower(text))
+
+
+def sentence(draw, n):
+    return " ".join("".join(draw.choice(SYLLABLES) for _ in range(draw.randint(1, 4))) for _ in range(n))
+
+
+WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def grams(text):
+    words = plain_words(text, WORD)
+    if len(words) < 5:
+        return frozenset([tuple(words)]) if words else frozenset()
+    return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+
+
+def brute_classes(values):
+    """Links and class of each row by comparing all pairs."""
+    sets = {k: grams(t) for k, t in values}
+    links = {k: set() for k in sets}
+    for a, b in itertools.combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if both and 5 * both >= 4 * len(sets[a] | sets[b]):
+            links[a].add(b)
+            links[b].add(a)
+    root = {}
+    for k in sorted(links):
+        todo = [k] if k not in root else []
+        while todo:
+            x = todo.pop()
+            if x not in root:
+                root[x] = k
+                todo += links[x]
+    return {k: (root[k], len(links[k])) for k in links}
