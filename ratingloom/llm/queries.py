@@ -15,6 +15,7 @@ from ratingloom.llm import (
     language_id,
     line_dedup,
     packing,
+    spelling,
     suffix_tree,
     token_counts,
     toxicity,
@@ -128,6 +129,11 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.group_spellings(spelling.word_counts(documents, "text", "doc_id", damage=97))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     left = line_dedup.drop_shared_lines(documents, "doc_id", "text")
@@ -145,5 +151,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_line_dedup": op13_line_dedup,
 }

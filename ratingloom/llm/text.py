@@ -104,8 +104,12 @@ def spans_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 def word_spans(low: np.ndarray, offsets: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text number of each word: a longest run of bytes that ``table`` accepts."""
-    n = len(low)
-    inside = table[low]
+    return run_spans(table[low], offsets)
+
+
+def run_spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of each longest run of marked bytes within a text."""
+    n = len(inside)
     before, after = np.zeros(n, bool), np.zeros(n, bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
     before[offsets[:-1][offsets[:-1] < n]] = False
