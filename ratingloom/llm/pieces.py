@@ -104,9 +104,10 @@ class Table:
 
 
 class Encoder:
-    """Ids of whole texts as the library gives them. ``frequent``: (hashes, sizes, places, ids) of the first tier."""
+    """Ids of whole texts as the library gives them. ``frequent``: (hashes, sizes, places, ids) of the first tier.
+    Without ``specials`` the strings of special tokens are plain text."""
 
-    def __init__(self, path: str, frequent: tuple[np.ndarray, ...] | None = None):
+    def __init__(self, path: str, frequent: tuple[np.ndarray, ...] | None = None, specials: bool = True):
         from tokenizers import Tokenizer
 
         self.path = path
@@ -124,6 +125,9 @@ class Encoder:
             and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec.get("added_tokens", []))
         )
         self.fast = self._fast(model) if self.by_pieces else None
+        if not specials:
+            self.library.encode_special_tokens = True
+            self.special = []
         self.tiers = [Table(WORKER_SLOTS, POOL_IDS)]
         if frequent is not None and len(frequent[0]):
             first = Table(FREQUENT_SLOTS, len(frequent[3]))
@@ -150,6 +154,12 @@ class Encoder:
         self.starts = starts
         return tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
+    def cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return cut(data, offsets)
+
+    def odd(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return odd_texts(data, offsets, self.special)
+
     def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, and all ids."""
         found = [e.ids for e in self.library.encode_batch(texts, add_special_tokens=False)]
@@ -203,8 +213,8 @@ class Encoder:
                 sizes, ids = self.encode_texts([data[offsets[i] : offsets[i + 1]].tobytes().decode() for i in range(texts)])
                 yield at, to, sizes, ids if keep_ids else None
                 continue
-            odd = odd_texts(data, offsets, self.special)
-            starts, ends = cut(data, offsets)
+            odd = self.odd(data, offsets)
+            starts, ends = self.cut(data, offsets)
             owner = np.searchsorted(offsets, starts, "right") - 1
             if len(odd):
                 keep = ~np.isin(owner, odd)
@@ -248,6 +258,56 @@ class Encoder:
         return sizes, place, np.concatenate(pools) if keep_ids else None
 
 
+class SpaceEncoder(Encoder):
+    """Ids of a sentencepiece model that puts a space before a text, for texts given with that space.
+
+    A BPE model in which no piece has a space after another character never joins across the place
+    before such a space, so the segments between those places go through the tables. Any other model
+    gets whole texts. Every text must begin with a space or be empty, which has no ids.
+    """
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.path, self.special, self.fast = path, [], None
+        self.library = sentencepiece.SentencePieceProcessor(model_file=path)
+        names = [self.library.id_to_piece(i) for i in range(self.library.get_piece_size())]
+        self.by_pieces = self._plain(path) and not any("\u2581" in name.lstrip("\u2581") for name in names)
+        self.space = self.library.piece_to_id("\u2581")
+        self.by_pieces &= not self.library.is_unknown(self.space)
+        self.tiers = [Table(WORKER_SLOTS, POOL_IDS)]
+
+    @staticmethod
+    def _plain(path: str) -> bool:
+        """Whether the file says that the model is BPE, puts a space first and changes nothing else."""
+        try:
+            from sentencepiece import sentencepiece_model_pb2 as form
+        except ImportError:
+            return False
+        model = form.ModelProto()
+        with open(path, "rb") as f:
+            model.ParseFromString(f.read())
+        rule, kind = model.normalizer_spec, model.trainer_spec
+        spaces = rule.add_dummy_prefix and rule.escape_whitespaces and not rule.remove_extra_whitespaces
+        return kind.model_type == kind.BPE and not rule.precompiled_charsmap and spaces and not kind.treat_whitespace_as_suffix
+
+    def cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        space = data == 0x20
+        begins = space.copy()
+        begins[1:] &= ~space[:-1]
+        begins[offsets[:-1][offsets[:-1] < len(data)]] = True
+        starts = np.flatnonzero(begins)
+        return starts, np.append(starts[1:], len(data))
+
+    def odd(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return np.zeros(0, np.int64)
+
+    def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        # the library puts the first space back; alone it gives nothing for it
+        found = [[self.space] if t == " " else x for t, x in zip(texts, self.library.encode([t[1:] for t in texts], num_threads=1))]
+        return np.array([len(x) for x in found], np.int64), np.array([i for x in found for i in x], np.int64)
+
+
 def frequent_pieces(encoder: Encoder, column: pa.Array, most: int) -> tuple[np.ndarray, ...] | None:
     """The ``most`` most frequent pieces of some texts as (hashes, sizes, places, ids) of a first tier."""
     if not encoder.by_pieces:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ratingloom.llm import (
+    alignment,
     ann,
     chat,
     decontamination,
@@ -26,10 +27,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,6 +130,13 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = lambda groups: F.when(groups != "", F.sha2(groups, 256)).otherwise("")
+    aligned = alignment.align(documents, "doc_id", "text", tokenizer_path(), tokenizer_path("piece_bpe_32k.model"), digest)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return spelling.group_spellings(spelling.word_counts(documents, "text", "doc_id", damage=97))
@@ -151,6 +159,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_language_id": op9_language_id,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_token_alignment": op11_token_alignment,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_line_dedup": op13_line_dedup,
 }
