@@ -5,13 +5,20 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ratingloom.operators.neighbours import blocked_top_n, similar_by_dot
+from ratingloom.operators.neighbours import blocked_top_n, count_above, similar_by_dot
 from ratingloom.staging import stage, work_folder
 
 BLOCK_CELLS = 5_000_000  # cells per user or item block
 LEAST_BLOCKS = 4
+GRAM_TASKS = 64  # matrices of rank x rank that reach the driver
+
+
+def checkpoint_folder(spark: SparkSession) -> None:
+    """Give the session a checkpoint folder in the work folder, unless it has one."""
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(work_folder(spark))
 
 
 def fit_als(
@@ -30,9 +37,7 @@ def fit_als(
     by pairs of blocks, so very large inputs want larger blocks). One user's or item's cells are in one
     block, as Spark's solver has it. The lineage is cut every ten iterations in the checkpoint folder.
     """
-    context = matrix.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(work_folder(matrix.sparkSession))
+    checkpoint_folder(matrix.sparkSession)
     blocks = max(LEAST_BLOCKS, -(-matrix.count() // block_cells))
     als = ALS(
         numUserBlocks=blocks,
@@ -97,7 +102,8 @@ class FactorModel:
                 total += y.T @ y
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()])], names=["m"])
 
-        parts = self.items.select("cvec").mapInArrow(squares, "m binary").collect()  # one row per task
+        few = self.items.select("cvec").coalesce(GRAM_TASKS)
+        parts = few.mapInArrow(squares, "m binary").collect()  # one row per task
         gram = sum((np.frombuffer(r["m"]).reshape(rank, rank) for r in parts), np.zeros((rank, rank)))
         cells = matrix.where(F.col("value") != 0).join(self.items.withColumnRenamed("cid", "item_idx"), "item_idx")
         cells = cells.join(self.users.withColumnRenamed("qid", "user_idx"), "user_idx").select("user_idx", "value", "cvec", "qvec")
@@ -133,9 +139,10 @@ class FactorModel:
         dealt = cells.repartition("user_idx").sortWithinPartitions("user_idx")
         return dealt.mapInArrow(residuals, "user_idx long, residual double")
 
-    def list_checks(self, lists: DataFrame, k: int, among_items: bool = False) -> DataFrame:
-        """``(qid, n, sound, own)`` of lists ``(qid, cid, score, rank)``: their length, whether ranks are 1..n, scores
-        fall and are the dot products of the stored factors, and whether a list names its own row."""
+    def list_checks(self, lists: DataFrame, left_out: DataFrame, among_items: bool = False) -> DataFrame:
+        """``(qid, n, sound, best)`` of stored lists ``(qid, cid, score, rank)``: their length; whether ranks are 1..n, scores
+        fall and are the dot products of the stored factors; and whether no row but those listed and the pairs
+        ``left_out`` ``(qid, cid)`` has a product above the last listed one, by all products."""
         side = self.items.select(F.col("cid").alias("qid"), F.col("cvec").alias("qvec")) if among_items else self.users
         product = F.aggregate(
             F.zip_with("qvec", "cvec", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x
@@ -143,12 +150,19 @@ class FactorModel:
         rows = lists.join(side, "qid").join(self.items, "cid")
         near = F.abs(product - F.col("score")) <= 1e-6 * (1 + F.abs(product))
         listed = F.array_sort(F.collect_list(F.struct("rank", "score")))  # k rows
-        found = rows.groupBy("qid").agg(
-            F.count("*").alias("n"), F.min(near).alias("near"), F.max(F.col("qid") == F.col("cid")).alias("own"), listed.alias("l")
-        )
+        found = rows.groupBy("qid").agg(F.count("*").alias("n"), F.min(near).alias("near"), listed.alias("l"))
         ranks = F.col("l.rank") == F.transform(F.sequence(F.lit(1), F.col("n").cast("int")), lambda r: r)
         falling = F.col("l.score") == F.reverse(F.array_sort("l.score"))
-        return found.select("qid", "n", (F.col("near") & ranks & falling).alias("sound"), "own")
+        # scores are ranked in whole billionths, so two of those are a real gap
+        limit = F.element_at("l.score", -1) + 2e-9
+        found = stage(found.select("qid", "n", (F.col("near") & ranks & falling).alias("sound"), limit.alias("limit")), "list-ends")
+        queries = stage(side.join(found.select("qid", "limit"), "qid"), "list-queries")
+        above = count_above(queries, self.items, self.rank)
+        out = left_out.join(queries, "qid").join(self.items, "cid").where(product > F.col("limit"))
+        out = out.groupBy("qid").agg(F.count("*").alias("out"))
+        joined = found.join(above, "qid").join(out, "qid", "left")
+        best = F.col("above") - F.coalesce("out", F.lit(0)) < F.col("n")
+        return joined.select("qid", "n", "sound", best.alias("best"))
 
     def predict(self, pairs: DataFrame) -> DataFrame:
         """Add ``prediction`` to (user_idx, item_idx) pairs; pairs without factors are dropped."""

@@ -21,6 +21,7 @@ from ratingloom.operators import (
     recommend,
     registry,
     splits,
+    tuning,
 )
 from ratingloom.operators.core_filter import core_audit, core_filter
 from ratingloom.params import Params
@@ -473,8 +474,24 @@ def similar_popular(spark, folder):
 
 @query
 def tuning_trials(spark, folder):
-    """Every drawn trial of the parameter search."""
-    return workspace(spark, folder).tune()
+    """Every drawn trial of the parameter search, with the value of the last rung it reached."""
+    return tuning.final_trials(workspace(spark, folder).rungs).drop("promoted")
+
+
+@query
+def tuning_draws(spark, folder):
+    """Drawn parameters of all trials, and whether every rung promoted the best by its stored values."""
+    checked = tuning.rung_checks(workspace(spark, folder).rungs)
+    return checked.groupBy("trial", *tuning.NAMES).agg(F.min("sound").alias("sound"))
+
+
+@query
+def tuning_rungs(spark, folder):
+    """Size of each rung, its longest fit, and how many trials it promoted."""
+    checked = tuning.rung_checks(workspace(spark, folder).rungs)
+    return checked.groupBy("rung").agg(
+        F.count("*").alias("n_trials"), F.count_if("promoted").alias("n_promoted"), F.min("sound").alias("sound")
+    )
 
 
 @query
@@ -488,17 +505,19 @@ def als_factors_check(spark, folder):
 
 @query
 def rec_als_check(spark, folder):
-    """Whether each user's list has the right length, rising ranks, falling scores that are dot products, no seen item."""
+    """Whether each user's list has the right length, rising ranks, falling scores that are dot products, no seen item,
+    and no unseen item that scores above the last listed one."""
     w = workspace(spark, folder)
     recs = stage(w.als.recommend(_all_users(w), w.seen, TOP), "als-lists")
     pairs = recs.select(F.col("user_idx").alias("qid"), F.col("item_idx").alias("cid"), "score", "rank")
-    checked = w.als.list_checks(pairs, TOP).withColumnRenamed("qid", "user_idx")
+    left_out = w.seen.select(F.col("user_idx").alias("qid"), F.col("item_idx").alias("cid"))
+    checked = w.als.list_checks(pairs, left_out).withColumnRenamed("qid", "user_idx")
     seen = recs.join(w.seen, ["user_idx", "item_idx"], "left_semi").groupBy("user_idx").agg(F.count("*").alias("n_seen"))
     known = w.seen.groupBy("user_idx").agg(F.count("*").alias("n_known"))
     n_items = w.als.items.agg(F.count("*")).scalar()
     rows = checked.join(known, "user_idx").join(seen, "user_idx", "left")
     right = F.col("n") == F.least(F.lit(TOP), n_items - F.col("n_known"))
-    return rows.select("user_idx", (F.col("sound") & right & F.col("n_seen").isNull()).alias("sound"))
+    return rows.select("user_idx", (F.col("sound") & F.col("best") & right & F.col("n_seen").isNull()).alias("sound"))
 
 
 @query
@@ -507,10 +526,13 @@ def similar_als_check(spark, folder):
     w = workspace(spark, folder)
     found = stage(w.als.similar_items(TOP), "als-neighbours")
     pairs = found.select(F.col("item_idx").alias("qid"), F.col("similar_idx").alias("cid"), F.col("similarity").alias("score"), "rank")
-    checked = w.als.list_checks(pairs, TOP, among_items=True).withColumnRenamed("qid", "item_idx")
+    own = w.als.items.select(F.col("cid").alias("qid"), "cid")
+    checked = w.als.list_checks(pairs, own, among_items=True).withColumnRenamed("qid", "item_idx")
+    named = found.where("item_idx = similar_idx").groupBy("item_idx").agg(F.count("*").alias("named"))
     n_items = w.als.items.agg(F.count("*")).scalar()
-    right = F.col("n") == F.least(F.lit(TOP), n_items - 1)
-    return checked.select("item_idx", (F.col("sound") & right & ~F.col("own")).alias("sound"))
+    right = (F.col("n") == F.least(F.lit(TOP), n_items - 1)) & F.col("named").isNull()
+    rows = checked.join(named, "item_idx", "left")
+    return rows.select("item_idx", (F.col("sound") & F.col("best") & right).alias("sound"))
 
 
 # --- requests -------------------------------------------------------------------------------

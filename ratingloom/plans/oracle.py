@@ -358,6 +358,19 @@ ORACLE: dict[str, str] = {
     "encoder_copy": _with(*MAIN) + "SELECT * FROM item_ids",
     "matrix_copy": _with(*MAIN) + f"SELECT user_idx, item_idx, {_r('value')} FROM matrix",
     "als_factors_check": _with(*MAIN) + "SELECT idx AS user_idx, TRUE AS solved FROM users",
+    "tuning_draws": f"""
+WITH trial AS (SELECT unnest(range(20)) AS trial),
+bits AS (SELECT trial, {", ".join(f"CAST('0x' || substr(md5('42|' || trial || '|{name}'), 1, 8) AS BIGINT) AS {name}" for name in ("factors", "regularization", "iterations", "alpha"))} FROM trial)
+SELECT CAST(trial AS INT) AS trial, 16 * (1 + factors % 8) AS factors,
+       {_r("exp(ln(0.001) + (ln(0.1) - ln(0.001)) * regularization / 4294967296)", "regularization")},
+       5 * (1 + iterations % 6) AS iterations, CAST(10 * (1 + alpha % 10) AS DOUBLE) AS alpha, TRUE AS sound
+FROM bits""",
+    "tuning_rungs": f"""
+WITH RECURSIVE rung(rung, n, budget) AS (
+  SELECT 0, 20, 2 UNION ALL
+  SELECT rung + 1, CAST(ceil(n / 4.0) AS INT), budget * 4 FROM rung WHERE n > 1 AND budget < 30)
+SELECT rung, CAST(n AS BIGINT) AS n_trials,
+       CAST(coalesce(lead(n) OVER (ORDER BY rung), 1) AS BIGINT) AS n_promoted, TRUE AS sound FROM rung""",
     "rec_als_check": _with(*MAIN) + "SELECT idx AS user_idx, TRUE AS sound FROM users",
     "similar_als_check": _with(*MAIN) + "SELECT idx AS item_idx, TRUE AS sound FROM item_ids",
     "decode_items": _with(*MAIN)

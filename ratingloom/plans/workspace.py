@@ -184,8 +184,13 @@ class Workspace:
         threshold = p.rating_threshold if p.feedback_type == "explicit" else IMPLICIT_THRESHOLD
         return stage(evaluate_model(self.recommend, self.test_matrix, p.k_values, threshold), "metrics")
 
+    @cached_property
+    def rungs(self) -> DataFrame:
+        """The stored rungs of the parameter search."""
+        return self.tune()
+
     def tune(self, n_trials: int | None = None, parameters: list[dict] | None = None) -> DataFrame:
-        """Trials of the parameter search on the validation part."""
+        """Rungs of the parameter search on the validation part."""
         p = self.params
         return tuning.search(
             self.matrix,
@@ -201,7 +206,7 @@ class Workspace:
         """This run with the best parameters found, on the same stored steps; itself when there is no search."""
         if self.params.model_type != "als" or not self.params.search_enabled:
             return self
-        best = tuning.best_parameters(self.tune() if trials is None else trials)
+        best = tuning.best_parameters(self.rungs if trials is None else trials)
         other = Workspace(self.raw_ratings, self.raw_items, replace(self.params, **best), self.core, self.sibling)
         changed = {"params", "als", "metrics"}
         other.__dict__.update({name: step for name, step in self.__dict__.items() if name not in changed})

@@ -34,7 +34,8 @@ def tune_session(spark: SparkSession) -> SparkSession:
 
 def build_session(app_name: str = "ratingloom", master: str | None = None, **settings: str) -> SparkSession:
     """Create (or reuse) a session for scripts and tests."""
-    builder = SparkSession.builder.appName(app_name)
+    # Fits of a parameter search share the cluster fairly.
+    builder = SparkSession.builder.appName(app_name).config("spark.scheduler.mode", "FAIR")
     if master:
         builder = builder.master(master)
     for key, value in settings.items():

@@ -258,6 +258,52 @@ def test_blocked_products_leave_pairs_out(spark, monkeypatch):
         assert [c for _, c in sorted(got.get(q, []))] == sorted(dots, key=lambda c: (-dots[c], -c))[:5]
 
 
+def nearest(spark, queries, corpus, n, **kwargs):
+    seen = []
+    found = neighbours.blocked_top_n(
+        stage(spark.createDataFrame(list(queries.items()), "qid long, qvec array<double>"), "q"),
+        stage(spark.createDataFrame(list(corpus.items()), "cid long, cvec array<double>"), "c"),
+        n,
+        3,
+        visits=lambda q, b: seen.append((q, b)),
+        **kwargs,
+    )
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.qid, []).append((r["rank"], r.cid))
+    return {q: [c for _, c in sorted(v)] for q, v in got.items()}, seen
+
+
+def plain_nearest(queries, corpus, n, skipped=()):
+    key = lambda v, c: math.floor(sum(a * b for a, b in zip(v, corpus[c])) * 1e9 + 0.5)
+    return {q: sorted((c for c in corpus if (q, c) not in skipped), key=lambda c: (-key(v, c), -c))[:n] for q, v in queries.items()}
+
+
+@pytest.mark.parametrize("chunk", [3, 1024])
+def test_queries_leave_when_the_norms_ahead_are_too_small(spark, monkeypatch, chunk):
+    monkeypatch.setattr(neighbours, "CHUNK_ROWS", chunk)
+    rng = random.Random(3)
+    # few long vectors, many short ones
+    corpus = {i: [rng.random() * (10.0 / (1 + i)) for _ in range(3)] for i in range(160)}
+    queries = {i: [rng.random() for _ in range(3)] for i in range(40)} | {98: [0.0, 0.0, 0.0], 99: [-1.0, -1.0, -1.0]}
+    skipped = {(3, c) for c in range(150)} | {(4, 0), (4, 1)}
+    pairs = spark.createDataFrame(sorted(skipped), "qid long, cid long")
+    got, seen = nearest(spark, queries, corpus, 5, rows=10, exclude=pairs)
+    assert got == plain_nearest(queries, corpus, 5, skipped)
+    assert sum(q * b for q, b in seen) < 0.4 * len(queries) * 16
+
+
+def test_equal_norms_and_ties_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CHUNK_ROWS", 4)
+    rng = random.Random(4)
+    axes = [[1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, -1.0]]
+    corpus = {i: rng.choice(axes) for i in range(90)} | {200 + i: [0.0, 0.0, 0.0] for i in range(20)}
+    queries = {i: rng.choice([*axes, [0.6, 0.8, 0.0], [0.0, 0.0, 1.0]]) for i in range(25)}
+    got, seen = nearest(spark, queries, corpus, 7, rows=9)
+    assert got == plain_nearest(queries, corpus, 7)
+    assert nearest(spark, queries, corpus, 200, rows=9)[0] == plain_nearest(queries, corpus, 200)
+
+
 # --- factors ------------------------------------------------------------------
 
 
@@ -287,6 +333,17 @@ def test_factor_recommendations(spark, factors):
         assert math.isclose(predicted[(r.user_idx, r.item_idx)], r.score, rel_tol=1e-4, abs_tol=1e-5)
 
 
+def test_list_checks_find_a_better_row_left_out(spark, factors):
+    matrix, model, _ = factors
+    seen = matrix.select("user_idx", "item_idx")
+    pairs = seen.select(F.col("user_idx").alias("qid"), F.col("item_idx").alias("cid"))
+    lists = model.recommend(users_of(spark, 10), seen, 4).select(F.col("user_idx").alias("qid"), F.col("item_idx").alias("cid"), "score", "rank")
+    assert all(r.sound and r.best for r in model.list_checks(stage(lists, "lists"), pairs).collect())
+    without = lists.where("rank > 1").withColumn("rank", F.col("rank") - 1)
+    checked = model.list_checks(stage(without, "lists"), pairs).collect()
+    assert len(checked) > 5 and all(r.sound and not r.best for r in checked)
+
+
 def test_factor_neighbours(factors):
     _, model, _ = factors
     similar = model.similar_items(5).collect()

@@ -176,6 +176,30 @@ def test_search_returns_a_trial_per_set(spark, space):
     assert tuning.best_parameters(trials)["factors"] == 4
 
 
+def test_rungs_halve_the_trials(spark, space):
+    """Eight trials, three of the next rung, then one: each rung keeps the best and fits longer."""
+    drawn = [{"factors": 2, "regularization": 0.1, "iterations": i, "alpha": a} for i in (1, 9) for a in (1.0, 5.0, 20.0, 40.0)]
+    trials = tuning.search(space.matrix, space.matrix, parameters=drawn, metric="ndcg_at_5", eta=3, least_iterations=1, parallel=3)
+    found = sorted(trials.collect())
+    by_rung = {k: [r for r in found if r.rung == k] for k in range(3)}
+    assert [len(by_rung[k]) for k in range(3)] == [8, 3, 1] and len(found) == 12
+    assert all(r.fitted == min(r.iterations, 3**r.rung) for r in found if r.rung < 2) and by_rung[2][0].fitted == by_rung[2][0].iterations
+    for k in (0, 1):
+        best = sorted(by_rung[k], key=lambda r: (-r.value, r.trial))[: len(by_rung[k + 1])]
+        assert {r.trial for r in best} == {r.trial for r in by_rung[k] if r.promoted} == {r.trial for r in by_rung[k + 1]}
+    assert all(r.sound for r in tuning.rung_checks(trials).collect())
+    assert tuning.final_trials(trials).count() == 8
+
+
+def test_equal_and_missing_values_are_promoted_in_order(spark):
+    schema = "rung int, trial int, value double"
+    rung = spark.createDataFrame([(0, 3, 0.5), (0, 1, 0.5), (0, 0, None), (0, 2, 0.1)], schema)
+    kept = lambda quota: {r.trial for r in tuning.promote(rung, quota).where("promoted").collect()}
+    assert kept(1) == {1} and kept(2) == {1, 3} and kept(3) == {1, 2, 3} and kept(4) == {0, 1, 2, 3}
+    wrong = tuning.promote(rung, 1).withColumn("promoted", F.col("trial") == 3)
+    assert not all(r.sound for r in tuning.rung_checks(wrong).collect())
+
+
 def test_tuned_run_takes_the_best_trial(spark, space):
     params = Params(model_type="als", factors=2, iterations=1, search_metric="precision_at_5")
     run = Workspace(space.raw_ratings, space.raw_items, params, False, sibling=space)
