@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratingloom.operators import encoding, ordering, splits
+from ratingloom.operators import core_filter as core_module
 from ratingloom.operators.core_filter import core_audit, core_filter
 
 
@@ -179,3 +180,14 @@ def test_null_times_are_refused(ratings):
 def test_no_rows(ratings):
     assert splits.temporal_split(ratings([])).count() == 0
     assert splits.random_split(ratings([])).count() == 0
+
+
+def test_core_rounds_read_only_buckets_of_dropped_ids(ratings):
+    """A long path falls one end at a time, beside a block that stays; late rounds read a few buckets."""
+    path = [(u, i, 1.0, 1) for u in range(60) for i in (u, u + 1)]  # the first item has one user
+    block = [(1000 + u, 1000 + i, 1.0, 1) for u in range(12) for i in range(12)]
+    seen = []
+    kept = core_filter(ratings(path + block), 2, 2, visits=lambda key, n: seen.append((key, n)))
+    assert kept.count() == 144 and kept.where("user_id < 1000").count() == 0
+    late = [n for _, n in seen[2 * core_module.FULL_SCANS :]]
+    assert len(late) > 20 and max(late) <= 2 and {n for _, n in seen[:6]} == {core_module.BUCKETS}
