@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ratingloom.functions.titles import title_without_year, year_of
-from ratingloom.staging import one_value
+from ratingloom.staging import one_value, stage
 
 
 def drop_incomplete(ratings: DataFrame) -> DataFrame:
@@ -62,6 +62,18 @@ def cleaning_audit(ratings: DataFrame, low: float = 0.5, high: float = 5.0) -> D
     )
 
 
+def cleaned_with_audit(ratings: DataFrame, low: float = 0.5, high: float = 5.0) -> tuple[DataFrame, DataFrame]:
+    """The stored cleaned table, and the audit of the same pass: the raw rows are counted as the scan of the one write
+    reads them, the others as they are written. If a lost executor makes Spark scan a part again, its raw rows may
+    count twice; ``cleaning_audit`` counts on its own."""
+    raw, kept = Observation("raw rows"), Observation("clean rows")
+    cleaned = clean_ratings(ratings.observe(raw, F.count(F.lit(1)).alias("n")), low, high)
+    stored = stage(cleaned.observe(kept, F.count(F.lit(1)).alias("n")), "clean")
+    initial, final = raw.get["n"], kept.get["n"]
+    schema = "initial_count long, final_count long, removed long"
+    return stored, ratings.sparkSession.createDataFrame([(initial, final, initial - final)], schema)
+
+
 def to_implicit(ratings: DataFrame, threshold: float = 3.5) -> DataFrame:
     """Add the 0/1 column ``interaction``; a NaN rating counts as below the threshold."""
     liked = (F.col("rating") >= threshold) & ~F.isnan("rating")

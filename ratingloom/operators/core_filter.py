@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ratingloom.staging import broadcast_if_small, stage
 
@@ -48,6 +48,29 @@ def core_filter(
     once, so each edge is met once from either end, and any chain settles. ``interactions`` should be a stored
     table. ``visits`` is told of each round, its side and how many of ``BUCKETS`` buckets it read.
     """
+    return _peel(interactions, min_user, min_item, visits)[0]
+
+
+def core_with_audit(interactions: DataFrame, min_user: int = 5, min_item: int = 5) -> tuple[DataFrame, DataFrame]:
+    """The stored core, and its audit without another scan: ids are counted in the tables of degrees and of dropped ids, the
+    rows that stay as they are written."""
+    core, degrees, gone = _peel(interactions, min_user, min_item, lambda key, buckets: None)
+    kept = Observation("core rows")
+    stored = stage(core.observe(kept, F.count(F.lit(1)).alias("n")), "core")
+    rows = kept.get["n"]
+    before = degrees["user_id"].agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()["rows"]
+    all_ids = {key: table.count() for key, table in degrees.items()}
+    out = {key: gone[key].count() if key in gone else 0 for key in degrees}
+    left = {key: all_ids[key] - out[key] for key in degrees}
+    names = ["interactions_removed", "users_removed", "items_removed", "final_interactions", "final_users", "final_items"]
+    row = (before - rows, out["user_id"], out["item_id"], rows, left["user_id"], left["item_id"])
+    return stored, interactions.sparkSession.createDataFrame([row], ", ".join(f"{name} long" for name in names))
+
+
+def _peel(
+    interactions: DataFrame, min_user: int, min_item: int, visits: Callable[[str, int], None]
+) -> tuple[DataFrame, dict[str, DataFrame], dict[str, DataFrame]]:
+    """The core, the degrees of all ids, and the ids that were dropped, by side."""
     minimum = {"user_id": min_user, "item_id": min_item}
     other = {"user_id": "item_id", "item_id": "user_id"}
     pairs = interactions.select("user_id", "item_id")
@@ -75,12 +98,12 @@ def core_filter(
             total = total.unionByName(lost[side].join(new, side, "left_anti"))
             total = stage(total, f"total-{side}")
         lost[side] = total
-    kept = interactions
+    kept, gone = interactions, {}
     for key, parts in dropped.items():
         if parts:
-            gone = stage(reduce(DataFrame.unionByName, parts), f"dropped-{key}") if len(parts) > 1 else parts[0]
-            kept = kept.join(gone, key, "left_anti")
-    return kept
+            gone[key] = stage(reduce(DataFrame.unionByName, parts), f"dropped-{key}") if len(parts) > 1 else parts[0]
+            kept = kept.join(gone[key], key, "left_anti")
+    return kept, degrees, gone
 
 
 def core_audit(before: DataFrame, after: DataFrame) -> DataFrame:

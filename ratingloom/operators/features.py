@@ -41,19 +41,21 @@ def user_stats(ratings: DataFrame) -> DataFrame:
     )
 
 
-def normalize_ratings(ratings: DataFrame, method: str = "mean_centering") -> DataFrame:
+def normalize_ratings(ratings: DataFrame, method: str = "mean_centering", co_located: bool = False) -> DataFrame:
     """Add ``rating_normalized``.
 
     Per-user methods aggregate first, store the per-user table and join it back. The aggregate
     combines map-side, and the join with a stored table is either broadcast by size or can
-    split a heavy user, which a window over users could not.
+    split a heavy user, which a window over users could not. Ratings that are stored in buckets of the user are
+    ``co_located``: the per-user table then keeps their partitions, and nothing is shuffled or stored.
     """
     rating = F.col("rating")
+    per_user = (lambda table, name: table) if co_located else stage
     if method == "mean_centering":
-        joined = ratings.join(stage(user_means(ratings), "user-means"), "user_id")
+        joined = ratings.join(per_user(user_means(ratings), "user-means"), "user_id")
         normalized = rating - F.col("mean")
     elif method == "z_score":
-        joined = ratings.join(stage(user_stats(ratings), "user-stats"), "user_id")
+        joined = ratings.join(per_user(user_stats(ratings), "user-stats"), "user_id")
         normalized = F.try_divide(rating - F.col("mean"), F.col("std"))
     elif method == "min_max":
         joined = ratings

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ratingloom.operators.encoding import decode, lookup, page
+from ratingloom.sources.bucketed import rows_of_keys
 from ratingloom.staging import one_value, stage
 
 Recommend = Callable[[DataFrame, int], DataFrame]
@@ -116,6 +117,16 @@ def user_history(
     return named.join(titles, "item_id", "left").select("user_id", "item_id", "rating", "title")
 
 
+def history_of(
+    requests: DataFrame, clustered: DataFrame, users: DataFrame, items_encoder: DataFrame, catalogue: DataFrame
+) -> DataFrame:
+    """``user_history`` of a few users from a matrix that ``store_clustered`` wrote by ``user_idx``: their indices are a filter
+    of the scan, which reads the row groups that may hold them."""
+    known = lookup(requests.select("user_id").distinct(), users, "user_id", "user_idx").where(F.col("user_idx").isNotNull())
+    mine = rows_of_keys(clustered, "user_idx", known.select("user_idx"))
+    return user_history(requests, mine, users, items_encoder, catalogue)
+
+
 def items_page(items_encoder: DataFrame, catalogue: DataFrame, limit: int = 100, offset: int = 0) -> DataFrame:
     """A page of known items with title and genres."""
     rows = page(items_encoder, limit, offset).withColumnRenamed("id", "item_id")

@@ -20,14 +20,16 @@ from ratingloom.operators import (
     popularity,
     recommend,
     registry,
+    sketches,
     splits,
     tuning,
 )
-from ratingloom.operators.core_filter import core_audit, core_filter
+from ratingloom.operators.core_filter import core_audit, core_filter, core_with_audit
+from ratingloom.operators.registry_log import RegistryLog
 from ratingloom.params import Params
 from ratingloom.plans.workspace import Workspace
 from ratingloom.session import tune_session
-from ratingloom.sources import driver_tables, files
+from ratingloom.sources import bucketed, driver_tables, files
 from ratingloom.staging import stage, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,13 +37,26 @@ Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 6  # published doubles
 TOP = 10
 DEPTH = 20  # list length behind the metric queries
+TABLE_BUCKETS = 16
 
-_workspaces: dict[tuple[str, str, str], Workspace] = {}
+_workspaces: dict[tuple, Workspace] = {}
+
+
+def file_marks(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the files below a folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while files.hasNext():
+        status = files.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def workspace(spark: SparkSession, folder: str, variant: str = "main") -> Workspace:
-    """One workspace per application, folder and variant, so that queries share stored steps."""
-    key = (spark.sparkContext.applicationId, folder, variant)
+    """One workspace per application, variant and state of the folder's files, so that queries share stored steps and tables
+    that change are read again."""
+    key = (spark.sparkContext.applicationId, folder, file_marks(spark, folder), variant)
     if key not in _workspaces:
         tune_session(spark)
         params = {
@@ -163,6 +178,12 @@ def clean_ratings(spark, folder):
 
 @query
 def clean_audit(spark, folder):
+    """Rows before and after, counted in the pass that writes the clean table."""
+    return cleaning.cleaned_with_audit(_raw(spark, folder), 1.0, 4.5)[1]
+
+
+@query
+def clean_audit_alone(spark, folder):
     return cleaning.cleaning_audit(_raw(spark, folder), 1.0, 4.5)
 
 
@@ -207,6 +228,20 @@ def dataset_summary(spark, folder):
     return cleaning.dataset_summary(w.interactions, w.items)
 
 
+@query
+def summary_sketches(spark, folder):
+    """Sizes by month from stored daily sketches, and whether they are as near to the exact ones as the sketch promises."""
+    ratings = workspace(spark, folder).interactions
+    days = stage(sketches.daily_sketches(ratings), "daily-sketches")
+    month = lambda day: F.date_format(day, "yyyy-MM").alias("month")
+    near = sketches.merged_sizes(days, month(F.col("day")))
+    exact = ratings.groupBy(month(sketches.day_of(F.col("timestamp")))).agg(
+        F.count_distinct("user_id").alias("users"), F.count_distinct("item_id").alias("items")
+    )
+    close = lambda c: (F.abs(F.col(f"n_{c}") - F.col(c)) <= 1 + 0.03 * F.col(c)).alias(f"{c}_close")
+    return near.join(exact, "month").select("month", "n_interactions", close("users"), close("items"))
+
+
 # --- core, splits, encoding -----------------------------------------------------------------
 
 
@@ -222,6 +257,11 @@ def kcore_5_5(spark, folder):
 
 @query
 def kcore_audit(spark, folder):
+    return core_with_audit(workspace(spark, folder).interactions, 20, 20)[1]
+
+
+@query
+def kcore_audit_alone(spark, folder):
     before = workspace(spark, folder).interactions
     return core_audit(before, core_filter(before, 20, 20))
 
@@ -277,6 +317,22 @@ def encoder_copy(spark, folder):
     return files.load_encoder(spark, path)
 
 
+@query
+def encode_bucketed(spark, folder):
+    """Training rows and user ids in buckets of the user, which are joined without moving the rows."""
+    w = workspace(spark, folder)
+    rows = bucketed.store_bucketed(w.train, "train", "user_id", TABLE_BUCKETS)
+    users = bucketed.store_bucketed(w.users, "users", "id", TABLE_BUCKETS)
+    return encoding.encode(rows, users, w.item_ids)
+
+
+@query
+def norm_zscore_bucketed(spark, folder):
+    w = workspace(spark, folder)
+    rows = bucketed.store_bucketed(w.train, "train", "user_id", TABLE_BUCKETS)
+    return features.normalize_ratings(rows, "z_score", co_located=True)
+
+
 @query
 def matrix_copy(spark, folder):
     path = _stored_copy(spark, "matrix")
@@ -597,6 +653,15 @@ def user_history(spark, folder):
     return recommend.user_history(_customers(spark, folder), w.matrix, w.users, w.item_ids, w.catalogue)
 
 
+@query
+def history_by_key(spark, folder):
+    """The history of ten users from a matrix that is clustered by user."""
+    w = workspace(spark, folder)
+    stored = bucketed.store_clustered(w.matrix, _stored_copy(spark, "clustered"), "user_idx")
+    ten = _customers(spark, folder).where("user_id % 97 = 5").orderBy("user_id").limit(10)
+    return recommend.history_of(ten, stored, w.users, w.item_ids, w.catalogue)
+
+
 @query
 def list_users(spark, folder):
     return encoding.page(workspace(spark, folder).users, limit=50, offset=20)
@@ -828,6 +893,19 @@ def registry_current(spark, folder):
     return current.select("model_name", "version", "stage", "run_id", "metric", "value", "registered_at", recall)
 
 
+@query
+def registry_commits(spark, folder):
+    """The same events as commits of a registry log, one by one, and the stages they leave."""
+    rows = stage(_runs(spark, folder), "run-rows")
+    log = RegistryLog(spark, _stored_copy(spark, "registry-log"))
+    for run_id, metric, name, at in EVENTS:
+        own = rows.where((F.col("run_id") == run_id) & (F.col("key") == metric))
+        run = own.select("run_id", F.col("key").alias("metric"), F.round("number", DIGITS).alias("value"))
+        event = registry.register(run, Params().model_name, name, F.lit(at))
+        log.commit(lambda events, event=event: event)
+    return log.stages().withColumnRenamed("commit", "registered_at")
+
+
 @query
 def run_metrics(spark, folder):
     """The stored rows of both runs, appended one after the other."""

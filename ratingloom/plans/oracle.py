@@ -536,3 +536,16 @@ FROM latest l JOIN versions USING (run_id, metric)""",
   CAST(5 - trunc(rating) - CAST(rating - trunc(rating) >= 0.5 AS INTEGER) AS INTEGER) AS empty_stars, count(*) AS n
 FROM inter GROUP BY ALL""",
 }
+
+ORACLE |= {
+    "clean_audit_alone": ORACLE["clean_audit"],
+    "kcore_audit_alone": ORACLE["kcore_audit"],
+    "encode_bucketed": ORACLE["encode_checked"],
+    "norm_zscore_bucketed": ORACLE["norm_zscore"],
+    "registry_commits": f"SELECT * EXCLUDE (recall_at_10) FROM ({ORACLE['registry_current']})",
+    "summary_sketches": _with(RAW, INTER)
+    + """SELECT strftime(make_timestamp("timestamp" * 1000000), '%Y-%m') AS month, count(*) AS n_interactions,
+  TRUE AS users_close, TRUE AS items_close FROM inter GROUP BY month""",
+    "history_by_key": f"""SELECT * FROM ({ORACLE["user_history"]}) WHERE user_id IN (
+  SELECT c_custkey FROM customer WHERE c_custkey % 97 = 5 ORDER BY c_custkey LIMIT 10)""",
+}

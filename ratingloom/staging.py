@@ -47,6 +47,16 @@ def drop_staged(spark: SparkSession) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def discard(*stored: DataFrame) -> None:
+    """Delete staged tables before the end of the run; only frames made of them after this are of no more use."""
+    for table in stored:
+        spark = table.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            if work_folder(spark).rsplit("/", 1)[-1] in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stage(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once and return the stored table."""
     spark = df.sparkSession
