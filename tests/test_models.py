@@ -199,6 +199,42 @@ def test_blend_over_many_blocks(spark, world, monkeypatch):
         assert [i for _, i in sorted(got.get(u, []))] == [i for i, _ in plain.recommend(u, 4, seen)], u
 
 
+def test_users_leave_the_scan_when_the_popular_ones_are_enough(monkeypatch):
+    """The popular signatures decide: the product meets a small part of all cells, and nothing is lost."""
+    import numpy as np
+    import pandas as pd
+
+    from ratingloom.operators import signature_blocks
+
+    rng = np.random.default_rng(3)
+    n, k, weight = 600, 4, 0.6
+    sets = [np.sort(rng.choice(9, rng.integers(1, 4), replace=False)) for _ in range(n)]
+    score = np.sort(rng.random(n) ** 6)[::-1]
+    signatures = pd.DataFrame({"sig": rng.permutation(n), "genre_ids": sets, "size": [len(s) for s in sets], "score": score, "place": np.arange(n)})
+    prefs = rng.random((30, 9)) * (rng.random((30, 9)) < 0.6)
+    prefs /= np.maximum(np.sqrt((prefs**2).sum(1, keepdims=True)), 1e-9)
+    seen = [rng.choice(n, rng.integers(0, 40), replace=False) for _ in range(30)]
+    genres = [np.flatnonzero(p) for p in prefs]
+    users = pd.DataFrame({"user_idx": np.arange(30), "genres": genres, "prefs": [p[g] for p, g in zip(prefs, genres)], "touched": seen})
+    users = users[[len(g) > 0 for g in genres]]
+    cells = []
+    monkeypatch.setattr(signature_blocks.np, "floor", lambda x, floor=np.floor: cells.append(x.size if x.ndim == 2 else 0) or floor(x))
+    got = signature_blocks._promising(k, weight, 10_000, 16, 1e9)(users, signatures)
+    assert sum(cells) < 0.5 * n * len(users)
+    for u in users["user_idx"]:
+        rows = []
+        for i, (sig, members) in enumerate(zip(signatures["sig"], sets)):
+            content = prefs[u][members].sum() / math.sqrt(len(members))
+            if content > 0:
+                rows.append((-math.floor((weight * score[i] + (1 - weight) * content) * 1e9 + 0.5), i, sig))
+        want, free = set(), 0
+        for _, _, sig in sorted(rows):
+            if free < k:
+                want.add(sig)
+            free += sig not in seen[u]
+        assert set(got[got["user_idx"] == u]["sig"]) == want, u
+
+
 def test_content_scores(spark, world):
     plain, matrix, index, model, dense = world
     pairs = spark.createDataFrame([(u, i) for u in range(14) for i in range(90)], "user_idx long, item_idx long")
