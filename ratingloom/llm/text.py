@@ -158,7 +158,8 @@ def with_fields(
     new = {f.name for f in fields}
     kept = [c for c in df.columns if c not in new]
     schema = T.StructType([f for f in df.schema.fields if f.name in kept] + fields)
-    carried = bound_batches(df).select(*(f"`{c}`" for c in kept), df[f"`{column}`"].cast("string").alias("__text"))
+    text = df[f"`{column}`"].cast("string").alias(free_name(df, "text"))
+    carried = bound_batches(df).select(*(df[f"`{c}`"] for c in kept), text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = start()
