@@ -3,7 +3,9 @@
 Each block is content or not. Features are the ancestors' tags, the words of their class, id and
 role, and the shape of the text; they are hashed, so the weights have a fixed size. The field is
 trained by maximum likelihood (forward-backward, Adam) on drawn layouts and on the semantic
-markup of at most ``MARKED_PAGES`` pages, is broadcast, and decodes each page by Viterbi.
+markup of at most ``MARKED_PAGES`` different pages of at most ``MARKED_PAGE_BYTES`` bytes, drawn by a hash of the page;
+it is broadcast, and decodes each page by Viterbi. The features of an element's ancestors are summed once an
+element, so a page takes time in proportion to its length.
 """
 
 from __future__ import annotations
@@ -16,17 +18,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ratingloom.llm.html_blocks import Block, blocks
+from ratingloom.llm.html_blocks import Block, Element, blocks
 from ratingloom.llm.html_training import drawn_pages, marked_pages
 from ratingloom.llm.text import with_fields
 
 BITS = 13
+MASK = (1 << BITS) - 1
 DRAWN_PAGES = 1_200
 MARKED_PAGES = 300
 MARKED_PAGE_BYTES = 100_000
 EPOCHS = 14
 BATCH = 64
-LONGEST = 80  # blocks of a training page
 RATE = 0.05
 DECAY = 1e-3
 SEED = 11
@@ -41,42 +43,80 @@ class Model:
     first: np.ndarray
 
 
+def _element_codes(element: Element | None) -> list[int]:
+    """Features that an element adds to those of the elements around it."""
+    if element is None:
+        return []
+    names = [f"a={element.new_tag}"] if element.new_tag else []
+    return [zlib.crc32(x.encode()) & MASK for x in names + [f"c={w}" for w in element.new_words]]
+
+
+def _near_codes(element: Element | None) -> list[int]:
+    """Features of the place of a block's text."""
+    tag, outer = (element.tag, element.outer_tag) if element else (None, None)
+    names = ["bias", f"t={tag or 'none'}", f"t2={outer or 'none'}>{tag or 'none'}"]
+    return [zlib.crc32(x.encode()) & MASK for x in names + [f"o={w}" for w in (element.own if element else ())]]
+
+
+def _text_codes(found: list[Block], i: int) -> list[int]:
+    """Features of a block's text."""
+    text, n = found[i].text, len(found[i].text)
+    words = text.count(" ") + 1
+    share = found[i].linked / n
+    names = [
+        f"chars={min(n.bit_length(), 12)}",
+        f"words={min(words.bit_length(), 8)}",
+        f"links={0 if share == 0 else 1 + int(share * 3)}",
+        f"end={text[-1] in '.!?:;»\"'}",
+        f"upper={text[:40].isupper()}",
+        f"signs={SIGNS.search(text[:60]) is not None}",
+        f"commas={min(text.count(','), 3)}",
+        f"place={min(i, 3)},{min(len(found) - 1 - i, 3)}",
+    ]
+    return [zlib.crc32(x.encode()) & MASK for x in names]
+
+
 def block_features(found: list[Block]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed features of all blocks in order, and the place of each block's first."""
-    flat, begins, code, cache = [], [], zlib.crc32, {}
+    flat: list[int] = []
+    begins, cache = [], {}
     for i, b in enumerate(found):
         begins.append(len(flat))
-        text, n = b.text, len(b.text)
-        shape = (b.tags, b.names, b.own)
-        near = cache.get(shape)
+        near = cache.get(id(b.element))
         if near is None:
-            last = b.tags[-1] if b.tags else "none"
-            names = ["bias", f"t={last}", f"t2={b.tags[-2] if len(b.tags) > 1 else 'none'}>{last}"]
-            names += [f"a={t}" for t in set(b.tags)] + [f"c={w}" for w in b.names] + [f"o={w}" for w in b.own]
-            near = cache[shape] = [code(x.encode()) for x in names]
-        words = text.count(" ") + 1
-        share = b.linked / n
-        own = [
-            f"chars={min(n.bit_length(), 12)}",
-            f"words={min(words.bit_length(), 8)}",
-            f"links={0 if share == 0 else 1 + int(share * 3)}",
-            f"end={text[-1] in '.!?:;»\"'}",
-            f"upper={text[:40].isupper()}",
-            f"signs={SIGNS.search(text[:60]) is not None}",
-            f"commas={min(text.count(','), 3)}",
-            f"place={min(i, 3)},{min(len(found) - 1 - i, 3)}",
-        ]
+            near = cache[id(b.element)] = _near_codes(b.element) + [c for e in b.path() for c in _element_codes(e)]
         flat += near
-        flat += [code(x.encode()) for x in own]
-    return np.array(flat, np.int64) & ((1 << BITS) - 1), np.array(begins, np.int64)
+        flat += _text_codes(found, i)
+    return np.array(flat, np.int64), np.array(begins, np.int64)
+
+
+def emissions(found: list[Block], weights: np.ndarray) -> list[float]:
+    """The sum of the weights of each block's features; those of the elements around it are summed once."""
+    around: dict[int, float] = {id(None): 0.0}
+    near: dict[int, float] = {}
+    flat: list[int] = []
+    begins, base = [], []
+    for i, b in enumerate(found):
+        path, element = [], b.element
+        while id(element) not in around:
+            path.append(element)
+            element = element.parent
+        for e in reversed(path):
+            around[id(e)] = around[id(e.parent)] + sum(weights[c] for c in _element_codes(e))
+        if id(b.element) not in near:
+            near[id(b.element)] = around[id(b.element)] + sum(weights[c] for c in _near_codes(b.element))
+        base.append(near[id(b.element)])
+        begins.append(len(flat))
+        flat += _text_codes(found, i)
+    return (np.add.reduceat(weights[np.array(flat)], begins) + base).tolist()
 
 
 def train(pages: list[tuple[list[Block], list[int]]]) -> Model:
     """Maximise the likelihood of the labels."""
     rows = []
     for found, labels in pages:
-        flat, begins = block_features(found[:LONGEST])
-        rows.append((flat, begins, np.array(labels[:LONGEST])))
+        flat, begins = block_features(found)
+        rows.append((flat, begins, np.array(labels)))
     draw = np.random.default_rng(SEED)
     size = 1 << BITS
     w = np.zeros(size + 6)  # emissions, steps (2 x 2), first (2)
@@ -153,15 +193,17 @@ def main_text(page: str, model: Model) -> str:
     found = blocks(page)
     if not found:
         return ""
-    flat, begins = block_features(found)
-    emit = np.add.reduceat(model.weights[flat], begins)
-    return " ".join(b.text for b, label in zip(found, decode(emit.tolist(), model)) if label)
+    return " ".join(b.text for b, label in zip(found, decode(emissions(found, model.weights), model)) if label)
 
 
 def fit(df: DataFrame, page: str, marked: int = MARKED_PAGES, drawn: int = DRAWN_PAGES) -> Model:
-    """Train on drawn layouts and on at most ``marked`` pages of moderate size that mark their article."""
+    """Train on drawn layouts, and on those of at most ``marked`` different pages of moderate size that mark their article:
+    the ones of smallest hash, so neither the order of the rows nor copies of a page matter."""
     rows = df.select(df[f"`{page}`"].cast("string").alias("p")).where(F.octet_length("p") <= MARKED_PAGE_BYTES)
-    given = [r["p"] for r in rows.limit(marked).collect()]
+    rows = rows.withColumn("h", F.xxhash64("p"))
+    wanted = rows.select("h").distinct().orderBy("h").limit(marked)
+    pages = rows.join(F.broadcast(wanted), "h", "left_semi").groupBy("h").agg(F.min("p").alias("p"))
+    given = sorted(r["p"] for r in pages.collect())
     return train(drawn_pages(drawn, SEED) + marked_pages(given))
 
 

@@ -1,0 +1,71 @@
+"""Odd pages: depth, broken tags, formulas, and the drawn training pages."""
+
+import time
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ratingloom.llm import html_blocks, html_extraction
+from ratingloom.llm.html_extraction import Model
+
+PAGES = {
+    "nested": "<div>" * 200_000,
+    "nested with text": "<div class=a>x" * 20_000 + "y" * 700_000,
+    "paragraphs": "<div><p>x</p>" * 20_000,
+    "classes": "".join(f"<div class=n{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}>t" for i in range(20_000)),
+    "declarations": "<! " * 340_000,
+    "closed nothing": "</ " * 340_000,
+    "links": "<a href=x>t" * 20_000,
+    "quotes": "<a '" * 250_000,
+    "heads": "<head>" * 150_000,
+}
+
+
+def best_of(work, times=3):
+    took = []
+    for _ in range(times):
+        start = time.process_time()
+        work()
+        took.append(time.process_time() - start)
+    return min(took)
+
+
+@pytest.mark.parametrize("name", sorted(PAGES))
+def test_time_is_in_proportion_to_the_page(name):
+    model = Model(np.random.default_rng(0).standard_normal(1 << html_extraction.BITS), np.zeros((2, 2)), np.zeros(2))
+    page = PAGES[name]
+    assert best_of(lambda: html_extraction.main_text(page, model), 1) < 8
+    short, long = (best_of(lambda p=p: html_extraction.main_text(p, model)) for p in (page[: len(page) // 8], page[: len(page) // 2]))
+    assert long < 12 * short + 0.05  # four times the page
+
+
+def test_sums_by_element_are_those_of_all_features():
+    page = "<html><body class='a b'><div id=c><span class=b>one<p>two</span> three<ul><li>x<li class='a d'>y</ul></div>four"
+    found = html_blocks.blocks(page)
+    weights = np.random.default_rng(1).standard_normal(1 << html_extraction.BITS)
+    flat, begins = html_extraction.block_features(found)
+    assert np.allclose(html_extraction.emissions(found, weights), np.add.reduceat(weights[flat], begins))
+    assert [b.text for b in found] == ["one", "two three", "x", "y", "four"]
+    assert found[3].names == {"a", "b", "c", "d"} and found[3].tags == ("html", "body", "div", "ul", "li")
+
+
+def test_formulas_stay_in_their_sentence():
+    page = "<p>Let <math><mi>x</mi><mo>&lt;</mo><msup><mn>2</mn><mi>n</mi></msup><annotation>no</annotation></math> be a number.</p>"
+    assert [b.text for b in html_blocks.blocks(page)] == ["Let x<2n be a number."]
+
+
+def test_links_and_ancestors_are_seen_at_any_depth():
+    deep = "<article>" + "<div>" * 200 + "<a href=x>" + "<span>" * 30 + "link" + "</span>" * 30 + "</a>" + " text"
+    (block,) = html_blocks.blocks(deep)
+    assert block.linked == 4 and block.tags[0] == "article" and len(block.tags) == 201
+
+
+def test_training_pages_do_not_depend_on_order_or_copies(spark, monkeypatch):
+    pages = [f"<article><p>text {i}</p></article>" for i in range(40)]
+    seen = []
+    monkeypatch.setattr(html_extraction, "marked_pages", lambda given: seen.append(given) or [])
+    for rows in (pages, pages[::-1] + [pages[0]] * 300 + [None, ""]):
+        df = spark.createDataFrame([(p,) for p in rows], "html string")
+        html_extraction.fit(df.where(F.coalesce(F.col("html"), F.lit("")) != ""), "html", marked=10, drawn=4)
+    assert seen[0] == seen[1] and len(set(seen[0])) == 10
