@@ -63,4 +63,49 @@ def test_unusable_vectors_take_no_part(spark):
 def test_no_rows_no_queries_and_fewer_candidates(spark):
     assert search(spark, []) == {}
     assert search(spark, [(1, [1.0]), (2, [2.0])]) == {}
-    assert [r.vec_id for r in search(spark, [(20, [1.0]), (2, [2.0]), (2, [2.0])])[20]] == [2, 2]
+    assert [r.vec_id for r in search(spark, [(20, [1.0]), (2, [2.0]), (2, [2.0])])[20]] == [2]
+
+
+def test_repeated_queries_and_candidates_are_one_each(spark):
+    x = vectors(3, 200, 6, True)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    other = [(i, (-v).tolist()) for i, v in enumerate(x) if i % 10 == 0]  # ids with two vectors
+    got = search(spark, rows + rows + other + other, k=7, block_rows=60)
+    both = {}
+    for i, v in rows + other:
+        both.setdefault(i, []).append(np.array(v))
+    for q, near in got.items():
+        score = {i: max(float((a * b).sum()) for a in both[q] for b in own) for i, own in both.items() if i != q}
+        best = sorted(score, key=lambda i: (-score[i], i))[:7]
+        assert len({r.vec_id for r in near}) == len(near) == 7
+        assert len(set(best) & {r.vec_id for r in near}) >= 6
+        assert all(np.isclose(r.score, score[r.vec_id]) for r in near)
+
+
+def test_a_hot_row_is_spread(spark):
+    hot = [0.6, 0.8]
+    rows = [(20, hot)] * 3000 + [(7, [0.1 * i, 1.0]) for i in range(500)] + [(40, [1.0, 0.0])]
+    got = search(spark, rows, k=3, block_rows=50)
+    assert [r.vec_id for r in got[20]] == [7, 40] and [r.vec_id for r in got[40]] == [7, 20]
+
+
+def test_candidates_are_a_small_part_of_clustered_rows():
+    draw = np.random.default_rng(9)
+    centres = draw.standard_normal((40, 32))
+    x = centres[draw.integers(0, 40, 8000)] + 0.35 * draw.standard_normal((8000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    block = ann.Block(np.arange(8000), x)
+    asked = np.arange(0, 8000, 40)
+    hits = 0
+    for q, (near, _) in zip(asked, block.nearest(asked, x[asked], 20)):
+        product = x @ x[q]
+        product[q] = -np.inf
+        hits += len(set(np.argsort(-product)[:20].tolist()) & set(near.tolist()))
+    assert hits >= 0.95 * 20 * len(asked)
+    assert block.verified <= len(x) * len(asked) / 3
+
+
+def test_threshold_is_the_largest_with_the_wanted_recall():
+    p = 0.866385597462284
+    tail = lambda least: sum(ann.math.comb(64, k) * p**k * (1 - p) ** (64 - k) for k in range(least, 65))
+    assert tail(ann.threshold()) >= ann.RECALL > tail(ann.threshold() + 1)
