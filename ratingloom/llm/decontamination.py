@@ -5,18 +5,22 @@ beyond ASCII). The windows of an item are its runs of ``width`` words, or all it
 are fewer. Their hashes are broadcast as a set; a task hashes the windows of its documents,
 and compares the words themselves for each hit. Nothing is shuffled.
 
-The broadcast is bounded: items are dealt to slices of about ``SLICE_BENCHMARK`` bytes of text,
-by a count made first. A larger benchmark takes one stored pass over the documents per slice.
+The broadcast is bounded: a benchmark of more than ``SLICE_BENCHMARK`` bytes of text is not broadcast, but a bit map of
+its windows is, of 32 MB at most. The documents then pass once, and are stored with the windows that the map lets
+through, which a join with the stored windows of the benchmark verifies on the words.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ratingloom import staging
-from ratingloom.llm.text import ALNUM, LOWER, slices, spans_hash, windows, with_fields, word_spans
+from ratingloom.llm.dealt import mark_map, marked
+from ratingloom.llm.text import ALNUM, LOWER, free_name, slices, spans_hash, windows, with_fields, word_spans
 
 WIDTH = 13
 SLICE_BENCHMARK = 2 << 20
@@ -64,110 +68,208 @@ class Items:
                 yield i, n
 
 
-def _scan(df: DataFrame, text: str, items, first: bool) -> DataFrame:
-    """Add the word ranges and the names of the items of one slice to those found before."""
-    fields = [T.StructField("__words", T.LongType()), T.StructField("__hits", RANGES)]
-    fields.append(T.StructField("__items", T.ArrayType(T.StringType())))
-    fields.append(T.StructField("hit_spans", RANGES))
+class Words:
+    """Words of some texts: their hashes, bytes and text numbers, and the code points before each byte."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.low, self.offsets = LOWER[data], offsets
+        self.starts, self.ends, self.text_of = word_spans(self.low, offsets, ALNUM)
+        self.hashes = spans_hash(self.low, self.starts, self.ends)
+        self.first = np.searchsorted(self.text_of, np.arange(len(offsets) - 1))  # word of each text
+        self._points = np.append(0, np.cumsum((data & 0xC0) != 0x80))
+
+    def joined(self, i: int, n: int) -> bytes:
+        return b" ".join(self.low[a:b].tobytes() for a, b in zip(self.starts[i : i + n], self.ends[i : i + n]))
+
+    def span(self, text: int, a: int, b: int) -> dict[str, int]:
+        """Code points of a text from its word ``a`` to before its word ``b``."""
+        base, first = self._points[self.offsets[text]], self.first[text]
+        start, end = self._points[self.starts[first + a]], self._points[self.ends[first + b - 1]]
+        return {"start": int(start - base), "end": int(end - base)}
+
+
+def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Union of half-open ranges."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(ranges):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _arrow_ranges() -> pa.DataType:
+    return pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+ADDED = ("n_words", "n_hit", "hit_spans", "item_ids")
+FIELDS = [
+    T.StructField("n_words", T.LongType()),
+    T.StructField("n_hit", T.LongType()),
+    T.StructField("hit_spans", RANGES),
+    T.StructField("item_ids", T.ArrayType(T.StringType())),
+]
+
+
+def _scan(df: DataFrame, text: str, items: Items, spans: bool) -> DataFrame:
+    """Find the windows of a broadcast benchmark."""
     value = df.sparkSession.sparkContext.broadcast(items)
 
     def start():
         found = value.value
 
         def make(column: pa.Array) -> list:
-            counts, ranges, names, spans = [], [], [], []
+            counts, hits, places, names = [], [], [], []
             for at, to, data, offsets in slices(column):
-                low = LOWER[data]
-                starts, ends, text_of = word_spans(low, offsets, ALNUM)
-                hashes = spans_hash(low, starts, ends)
-                counts += np.bincount(text_of, minlength=to - at).tolist()
+                words = Words(data, offsets)
+                counts += np.bincount(words.text_of, minlength=to - at).tolist()
                 own_ranges, own_names = {}, {}
-                for i, n in found.hits(hashes, text_of):
-                    owners = found.by_words.get(b" ".join(low[a:b].tobytes() for a, b in zip(starts[i : i + n], ends[i : i + n])))
+                for i, n in found.hits(words.hashes, words.text_of):
+                    owners = found.by_words.get(words.joined(i, n))
                     if owners is not None:
-                        own_ranges.setdefault(int(text_of[i]), []).append((i, i + n))
-                        own_names.setdefault(int(text_of[i]), set()).update(owners)
+                        row = int(words.text_of[i])
+                        begin = i - int(words.first[row])
+                        own_ranges.setdefault(row, []).append((begin, begin + n))
+                        own_names.setdefault(row, set()).update(owners)
                 for row in range(to - at):
                     merged = merge(own_ranges.get(row, []))
-                    base = int(np.searchsorted(text_of, row)) if merged else 0
-                    ranges.append([{"start": a - base, "end": b - base} for a, b in merged])
+                    hits.append(sum(b - a for a, b in merged))
+                    places.append([words.span(row, a, b) for a, b in merged] if spans else None)
                     names.append(sorted(own_names.get(row, ())))
-                    head = data[offsets[row] : offsets[row + 1]].tobytes() if merged else b""
-                    place = lambda byte, head=head, row=row: len(head[: int(byte) - int(offsets[row])].decode())
-                    spans.append([{"start": place(starts[a]), "end": place(ends[b - 1])} for a, b in merged])
-            types = [pa.int64(), _arrow_ranges(), pa.list_(pa.string()), _arrow_ranges()]
-            return [pa.array(x, t) for x, t in zip((counts, ranges, names, spans), types)]
+            types = [pa.int64(), pa.int64(), _arrow_ranges(), pa.list_(pa.string())]
+            return [pa.array(x, t) for x, t in zip((counts, hits, places, names), types)]
 
         return make
 
-    if first:
-        return with_fields(df, text, fields, start)
-    old = df.withColumnsRenamed({"__hits": "__hits_old", "__items": "__items_old", "hit_spans": "__spans_old"})
-    both = with_fields(old, text, fields, start)
-    return both.select(
-        *df.drop("__hits", "__items", "hit_spans").columns,
-        F.concat("__hits_old", "__hits").alias("__hits"),
-        F.array_union("__items_old", "__items").alias("__items"),
-        F.concat("__spans_old", "hit_spans").alias("hit_spans"),
-    )
-
+    return with_fields(df, text, FIELDS, start)
+
+
+def _item_windows(named: DataFrame, width: int) -> DataFrame:
+    """Distinct ``h``, ``n``, ``words`` and ``name`` of the windows of all items, in the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owners = batch.column(0).to_pylist()
+            for at, to, data, offsets in slices(batch.column(1)):
+                words = Words(data, offsets)
+                size = np.bincount(words.text_of, minlength=to - at)
+                out: list[list] = [[], [], [], []]
+                for n in np.unique(np.minimum(size, width)).tolist():
+                    if not n:
+                        continue
+                    hashes, first = windows(words.hashes, words.text_of, n)
+                    own = np.minimum(size, width)[words.text_of[first]] == n
+                    for h, i in zip(hashes[own].view(np.int64).tolist(), first[own].tolist()):
+                        for column, x in zip(out, (h, n, words.joined(i, n).decode(), owners[at + int(words.text_of[i])])):
+                            column.append(x)
+                kinds = (pa.int64(), pa.int32(), pa.string(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names=["h", "n", "words", "name"])
+
+    return named.select("name", "t").mapInArrow(run, "h long, n int, words string, name string").distinct()
+
+
+def _scan_once(df: DataFrame, text: str, named: DataFrame, width: int, spans: bool) -> DataFrame:
+    """Find the windows of a benchmark that is not broadcast: one stored pass, then a join on the windows that a bit map
+    lets through."""
+    table = staging.stage(_item_windows(named, width), "benchmark-windows")
+    lengths = [r["n"] for r in table.select("n").distinct().collect()]  # ``width`` at most
+    value = df.sparkSession.sparkContext.broadcast(mark_map(table, "h"))
+    seen = "array<struct<i:int,n:int,h:bigint,words:string,start:int,end:int>>"
+    fields = [T.StructField("n_words", T.LongType()), T.StructField("seen", T.DataType.fromDDL(seen))]
 
-def _arrow_ranges() -> pa.DataType:
-    return pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    def start():
+        def make(column: pa.Array) -> list:
+            counts, found = [], []
+            for at, to, data, offsets in slices(column):
+                words = Words(data, offsets)
+                counts += np.bincount(words.text_of, minlength=to - at).tolist()
+                own: list[list[dict]] = [[] for _ in range(to - at)]
+                for n in lengths:
+                    hashes, first = windows(words.hashes, words.text_of, n)
+                    near = np.flatnonzero(marked(value.value, hashes))
+                    for h, i in zip(hashes[near].view(np.int64).tolist(), first[near].tolist()):
+                        row = int(words.text_of[i])
+                        begin = i - int(words.first[row])
+                        place = words.span(row, begin, begin + n)
+                        own[row].append({"i": begin, "n": n, "h": h, "words": words.joined(i, n).decode(), **place})
+                found += own
+            kind = pa.struct([("i", pa.int32()), ("n", pa.int32()), ("h", pa.int64()), ("words", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+            return [pa.array(counts, pa.int64()), pa.array(found, pa.list_(kind))]
 
+        return make
 
-def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Union of half-open ranges."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(ranges):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+    held = df.drop(*ADDED)
+    row, extra = free_name(held, "row"), free_name(held, "seen")
+    fields[1].name = extra
+    scanned = with_fields(held, text, fields, start)
+    scanned = staging.stage(scanned.withColumn(row, F.monotonically_increasing_id()), "contamination")
+    asked = scanned.where(F.size(extra) > 0).select(F.col(row).alias("row"), F.explode(extra).alias("w")).select("row", "w.*")
+    hits = staging.stage(asked.join(table, ["h", "n", "words"]), "hits")
+    ranges = hits.select("row", "i", "n", "start", "end").distinct().groupBy("row").agg(
+        F.array_sort(F.collect_list(F.struct("i", (F.col("i") + F.col("n")).alias("j"), "start", "end"))).alias("r")
+    )
+    names = hits.groupBy("row").agg(F.array_sort(F.collect_set("name")).alias("item_ids"))
+    found = staging.stage(ranges.join(names, "row").select("row", _union("r").alias("u"), "item_ids"), "found")
+    both = scanned.join(staging.broadcast_if_small(found, staging.BROADCAST_ROWS // 20), scanned[row] == found["row"], "left")
+    n_hit = F.aggregate(found["u"], F.lit(0).cast("long"), lambda n, r: n + (r["j"] - r["i"]))
+    places = F.transform(found["u"], lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end")))
+    none = F.lit(None).cast(RANGES) if not spans else F.coalesce(places, F.array().cast(RANGES))
+    return both.select(
+        *(scanned[f"`{c}`"] for c in held.columns),
+        scanned["n_words"],
+        F.coalesce(n_hit, F.lit(0)).cast("long").alias("n_hit"),
+        none.alias("hit_spans"),
+        F.coalesce(found["item_ids"], F.array().cast("array<string>")).alias("item_ids"),
+    )
 
 
-def _union_of(ranges: Column) -> Column:
-    """Union of ranges of several slices, as an array sorted by start."""
-    empty = F.array().cast(RANGES)
+def _union(ranges: str) -> Column:
+    """Union of an array of ranges (i, j, start, end) sorted by i."""
+    kind = "array<struct<i:int,j:int,start:int,end:int>>"
 
     def step(done: Column, r: Column) -> Column:
         last = F.element_at(done, -1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], r["end"]).alias("end"))
-        head = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
-        return F.when((F.size(done) > 0) & (r["start"] <= last["end"]), F.concat(head, F.array(joined))).otherwise(
-            F.concat(done, F.array(r))
+        longer = r["j"] > last["j"]
+        joined = F.struct(
+            last["i"].alias("i"),
+            F.greatest(last["j"], r["j"]).alias("j"),
+            last["start"].alias("start"),
+            F.when(longer, r["end"]).otherwise(last["end"]).alias("end"),
         )
+        head = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+        touches = (F.size(done) > 0) & (r["i"] <= F.get(done, F.size(done) - 1)["j"])
+        return F.when(touches, F.concat(head, F.array(joined))).otherwise(F.concat(done, F.array(r)))
 
-    return F.aggregate(F.array_sort(ranges), empty, step)
+    return F.aggregate(ranges, F.array().cast(kind), step)
 
 
 def find_contamination(
-    df: DataFrame, text: str, benchmark: DataFrame, item: str, item_text: str, width: int = WIDTH, slice_bytes: int = SLICE_BENCHMARK
+    df: DataFrame,
+    text: str,
+    benchmark: DataFrame,
+    item: str,
+    item_text: str,
+    width: int = WIDTH,
+    slice_bytes: int = SLICE_BENCHMARK,
+    spans: bool = True,
 ) -> DataFrame:
     """``df`` with ``n_words``, ``n_hit`` (words inside an occurrence of an item's window), ``hit_spans``
-    (character ranges of the hit passages) and ``item_ids`` (items with an occurring window, sorted as strings).
+    (character ranges of the hit passages; null without ``spans``) and ``item_ids`` (items with an occurring window,
+    sorted as strings).
 
     Null and empty texts have no words; an item without words has no window; an item whose id is null
-    hits, but is not listed. Repeated rows and items count as they are. Columns of ``df`` with these
-    names are replaced. With an empty benchmark nothing is hit.
+    hits, but is not listed. Repeated rows stay rows, repeated items count once. Columns of ``df`` with these
+    names are replaced, all others kept. With an empty benchmark nothing is hit.
     """
     named = benchmark.select(benchmark[f"`{item}`"].cast("string").alias("name"), benchmark[f"`{item_text}`"].cast("string").alias("t"))
+    named = staging.stage(named.where(F.col("t").isNotNull()).distinct(), "benchmark")
     total = named.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)).alias("n")).first()["n"]
-    parts = max(1, -(-total // slice_bytes))
-    df = df.drop("__words", "__hits", "__items")
-    for k in range(parts):
-        part = named if parts == 1 else named.where(F.pmod(F.xxhash64("name", "t"), F.lit(parts)) == k)
-        df = _scan(df, text, Items([(r["name"], r["t"]) for r in part.collect()], width), first=k == 0)
-        if parts > 1:
-            df = staging.stage(df, "contamination")
-    hits, spans, items = F.col("__hits"), F.col("hit_spans"), F.col("__items")
-    if parts > 1:
-        hits, spans = _union_of(hits), _union_of(spans)
-    n_hit = F.aggregate(hits, F.lit(0).cast("long"), lambda n, r: n + (r["end"] - r["start"]))
-    added = {"n_words": F.col("__words"), "n_hit": n_hit, "hit_spans": spans, "item_ids": F.array_sort(items)}
-    kept = [c for c in df.columns if c not in added and not c.startswith("__")]
-    return df.select(*(F.col(f"`{c}`") for c in kept), *(c.alias(name) for name, c in added.items()))
+    if text in ADDED:
+        raise ValueError(f"the text column may not be called {text}")
+    if total <= slice_bytes:
+        return _scan(df, text, Items([(r["name"], r["t"]) for r in named.collect()], width), spans)
+    return _scan_once(df, text, named, width, spans)
 
 
 def contaminated() -> Column:
@@ -177,10 +279,12 @@ def contaminated() -> Column:
 
 def drop_contaminated(df: DataFrame, text: str, benchmark: DataFrame, item: str, item_text: str) -> DataFrame:
     """The rows of ``df`` that are not contaminated, with the columns they came with."""
-    names = [f for f in ("n_words", "n_hit", "hit_spans", "item_ids") if f in df.columns]
-    held = df.withColumnsRenamed({n: f"held {n}" for n in names})
-    clean = find_contamination(held, f"held {text}" if text in names else text, benchmark, item, item_text).where(~contaminated())
-    return clean.drop("n_words", "n_hit", "hit_spans", "item_ids").withColumnsRenamed({f"held {n}": n for n in names}).select(*df.columns)
+    held = {}
+    for name in (c for c in ADDED if c in df.columns):
+        held[name] = free_name(df, f"held_{name}")
+    back = {new: old for old, new in held.items()}
+    found = find_contamination(df.withColumnsRenamed(held), held.get(text, text), benchmark, item, item_text, spans=False)
+    return found.where(~contaminated()).drop(*ADDED).withColumnsRenamed(back).select(*(f"`{c}`" for c in df.columns))
 
 
 def cut_contamination(df: DataFrame, text: str, benchmark: DataFrame, item: str, item_text: str) -> DataFrame:

@@ -60,6 +60,36 @@ def test_contamination_is_that_of_all_windows(spark, draw, slice_bytes):
         assert sum(len(plain_words(p, WORD)) for p in passages) == r.n_hit
 
 
+@pytest.mark.parametrize("slice_bytes", [decontamination.SLICE_BENCHMARK, 0])
+def test_no_column_is_lost(spark, slice_bytes):
+    item = " ".join(f"word{i}" for i in range(15))
+    names = ["__meta", "__text", "__words", "text", "seen", "row", "u", "n_hit", "held_n_hit", "h"]
+    rows = [tuple("m" if n != "text" else t for n in names) for t in (item, "clean")]
+    df = spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
+    benchmark = spark.createDataFrame([(7, item)] * 3, "item_id long, text string")
+    found = decontamination.find_contamination(df, "text", benchmark, "item_id", "text", slice_bytes=slice_bytes)
+    assert sorted(found.columns) == sorted(set(names) | set(decontamination.ADDED))
+    got = {r.text: r for r in found.collect()}
+    assert got[item].n_hit == 15 and got["clean"].n_hit == 0 and got[item]["__meta"] == got[item]["u"] == "m"
+    kept = decontamination.drop_contaminated(df, "text", benchmark, "item_id", "text")
+    assert kept.columns == df.columns and [tuple(r) for r in kept.collect()] == [rows[1]]
+
+
+def test_copies_of_an_item_and_a_large_benchmark_take_one_pass(spark, draw, monkeypatch):
+    item = sentence(draw, 30)
+    copies = spark.range(100_000).selectExpr("id % 3 AS item_id", f"'{item}' AS text")
+    other = [(100 + i, sentence(draw, 60)) for i in range(400)]
+    benchmark = copies.unionByName(spark.createDataFrame(other, "item_id long, text string"))
+    docs = [(k, sentence(draw, 10) + " " + draw.choice([item, *(t for _, t in other[:5]), ""]) + " end") for k in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    stored = []
+    monkeypatch.setattr(decontamination.staging, "stage", lambda d, name, stage=decontamination.staging.stage: stored.append(name) or stage(d, name))
+    found = decontamination.find_contamination(df, "text", benchmark, "item_id", "text", slice_bytes=1000).collect()
+    want = brute_hits(docs, [(i, item) for i in range(3)] + other)
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in found), key=str) == want
+    assert stored.count("contamination") == 1
+
+
 def test_spans_and_documents_are_removed(spark, draw):
     item = sentence(draw, 20)
     rows = [(1, f"before {item} after", "a"), (2, "clean text", "b"), (3, None, "c"), (4, sentence(draw, 900) + " " + item, "d")]
