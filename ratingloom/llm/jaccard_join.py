@@ -39,6 +39,7 @@ CROWDED = 0.6
 RECALL = 0.999
 SLACK = 0.25  # a pair passes the sketch if its estimate is at most this much below the threshold
 MARK_BITS, MOST_MARKS, MARK_SEGMENT = 16, 1 << 29, 1 << 15
+HOT_ROWS, HOT_NODES = 512, 10_000
 PAIR_WORDS = 1 << 21  # 64-bit words of pair bit sets at a time
 SEED = 0x5EED
 
@@ -92,8 +93,8 @@ def coordinate_seeds() -> np.ndarray:
 
 
 def _sets(df: DataFrame, key: str, text: str, join: Join) -> DataFrame:
-    """For each row its id, a hash of its text, its set's hash (null without words) and size, and the MinHash tokens."""
-    longs = [T.StructField(n, T.LongType()) for n in ("print", "set", "n")]
+    """For each row its id, a hash of its text, its set's two hashes (null without words) and size, and the MinHash tokens."""
+    longs = [T.StructField(n, T.LongType()) for n in ("print", "set", "other", "n")]
     schema = T.StructType([T.StructField("id", df.schema[key].dataType), *longs, T.StructField("tokens", T.BinaryType())])
     words = join.words
 
@@ -106,9 +107,10 @@ def _sets(df: DataFrame, key: str, text: str, join: Join) -> DataFrame:
                 n = np.bincount(owner, minlength=rows)
                 full = np.flatnonzero(n)
                 begins = (np.cumsum(n) - n)[full]
-                name, tokens = np.zeros(rows, _U), np.zeros((rows, COORDINATES), "<u4")
+                name, other, tokens = np.zeros(rows, _U), np.zeros(rows, _U), np.zeros((rows, COORDINATES), "<u4")
                 if len(full):
                     name[full] = mix(np.add.reduceat(mix(h ^ _U(SEED)), begins) + n[full].astype(_U))
+                    other[full] = mix(np.add.reduceat(mix(h + _U(SEED) * _U(0x9E3779B97F4A7C15)), begins) ^ n[full].astype(_U))
                     for i, seed in enumerate(seeds):
                         tokens[full, i] = np.minimum.reduceat((h * seed >> _U(32)).astype(np.uint32), begins)
                 yield pa.RecordBatch.from_arrays(
@@ -116,6 +118,7 @@ def _sets(df: DataFrame, key: str, text: str, join: Join) -> DataFrame:
                         batch.column(0).slice(at, rows),
                         batch.column(1).slice(at, rows),
                         pa.array(name.view(np.int64), pa.int64(), mask=n == 0),
+                        pa.array(other.view(np.int64), pa.int64(), mask=n == 0),
                         pa.array(n, pa.int64()),
                         pa.array([t.tobytes() for t in tokens], pa.binary()),
                     ],
@@ -126,6 +129,17 @@ def _sets(df: DataFrame, key: str, text: str, join: Join) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def _apart(table: DataFrame) -> DataFrame:
+    """``table`` with another ``set`` where two different sets have the same one: sets are told apart by 128 bits."""
+    different = table.where(F.col("set").isNotNull()).groupBy("set").agg(F.min("other").alias("low"), F.max("other").alias("high"))
+    same = staging.stage(different.where("low < high").select("set"), "same")
+    if same.isEmpty():
+        return table
+    again = table.join(F.broadcast(same.withColumn("again", F.lit(True))), "set", "left")  # a few pairs in 10^10 sets
+    name = F.when(F.col("again"), F.xxhash64("set", "other")).otherwise(F.col("set"))
+    return staging.stage(again.withColumn("set", name).select(*table.columns), "texts")
+
+
 def _matrix(column: pa.Array, kind: str = "<u4", width: int = COORDINATES) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
 
@@ -148,10 +162,20 @@ def _roots(sets: DataFrame, slots: list[tuple[int, int]]) -> DataFrame:
     return sets.select("set", "tokens").mapInArrow(run, NODE_ROWS)
 
 
+def _with_nodes(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``rows`` joined with the stored table ``known`` of their nodes. Nodes of so many rows that there are ``HOT_NODES`` of
+    them at most are broadcast, so none gathers in one task."""
+    total = known.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first()["n"]
+    least = max(HOT_ROWS, -(-total // HOT_NODES))
+    hot = F.broadcast(known.where(F.col("size") >= least))
+    others = rows.join(hot.select("node"), "node", "left_anti")
+    return rows.join(hot, "node").unionByName(others.join(known.where(F.col("size") < least), "node"))
+
+
 def _sized(rows: DataFrame) -> DataFrame:
     """The rows of nodes with two sets at least, with the node's size."""
     sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-    return rows.join(sizes, "node")
+    return _with_nodes(rows, staging.stage(sizes, "sizes"))
 
 
 def _banded(wide: DataFrame, join: Join) -> DataFrame:
@@ -211,16 +235,27 @@ def _level(rows: DataFrame, join: Join) -> DataFrame:
                     names=names,
                 )
 
-    joined = rows.join(known, "node").select("node", "set", "size", "tokens", "witnesses")
+    joined = _with_nodes(rows, staging.stage(known, "known")).select("node", "set", "size", "tokens", "witnesses")
     return joined.mapInArrow(run, LEVEL_ROWS)
 
 
+def reached(depth: int) -> float:
+    """That a pair that agrees at the root meets in a tree of this depth."""
+    out = 1.0
+    for _ in range(depth - 1):
+        out = 1 - math.exp(-out)
+    return out
+
+
 def chance(depth: int, similarity: float) -> float:
     """That a pair at the threshold, in a tree of this depth, meets through one position sampled at the root."""
-    reached = 1.0
-    for _ in range(depth - 1):
-        reached = 1 - math.exp(-reached)
-    return similarity * reached
+    return similarity * reached(depth)
+
+
+def missed(slots: np.ndarray, depth: int, similarity: float) -> float:
+    """That a pair at the threshold meets through none of the positions; ``slots`` counts the trees of each position, which
+    the pair enters together or not at all."""
+    return float(np.prod(1 - similarity + similarity * (1 - reached(depth)) ** slots))
 
 
 def _paths(sets: DataFrame, join: Join) -> DataFrame:
@@ -229,13 +264,16 @@ def _paths(sets: DataFrame, join: Join) -> DataFrame:
     The first batch of runs is enough for trees of depth 2. Sets that were in deeper trees so often that
     the rest of their nodes is not enough go through further runs, as many as their depth asks for.
     """
-    draw = np.random.default_rng(SEED)
-    parts, run, depth, before = [], 0, 2, 0
+    order = np.random.default_rng(SEED).permutation(COORDINATES).tolist()
+    parts, depth, before = [], 2, 0
+    used = np.zeros(COORDINATES, np.int64)
     while sets is not None:
         slots: list[tuple[int, int]] = []
-        while (1 - chance(depth, join.similarity)) ** (before + len(slots)) > 1 - join.recall:
-            slots += [(run * COORDINATES + p, p) for p in np.flatnonzero(draw.random(COORDINATES) < join.sample).tolist()]
-            run += 1
+        while missed(used, depth, join.similarity) > 1 - join.recall:
+            # each position once, then each once more
+            position = order[(before + len(slots)) % COORDINATES]
+            slots.append((before + len(slots), position))
+            used[position] += 1
         first = staging.stage(_sized(_roots(sets, slots)), "nodes")
         small = F.col("size") <= join.small
         parts.append(first.where(small).select("node", "set", "size", F.lit(True).alias("crowded")))
@@ -253,14 +291,14 @@ def _paths(sets: DataFrame, join: Join) -> DataFrame:
                 deep = own.where(~F.col("crowded")).groupBy("set").agg(F.count("*").alias("times"))
             children = found.where(F.col("child").isNotNull())
             rows = None if children.isEmpty() else children.select(F.col("child").alias("node"), "set", "tokens")
-        reached = max(level, 1)  # the cut by size loses nothing
+        levels = max(level, 1)  # the cut by size loses nothing
         before += len(slots)
-        if deep is None or reached <= depth:
+        if deep is None or levels <= depth:
             break
-        depth = reached
+        depth = levels
         short = math.log1p(-chance(depth, join.similarity)) - math.log1p(-join.similarity)
-        missed = before * math.log1p(-join.similarity) + F.least(F.col("times"), F.lit(before)) * short
-        sets = staging.stage(sets.join(deep.where(missed > math.log(1 - join.recall)), "set", "left_semi"), "again")
+        left = before * math.log1p(-join.similarity) + F.least(F.col("times"), F.lit(before)) * short
+        sets = staging.stage(sets.join(deep.where(left > math.log(1 - join.recall)), "set", "left_semi"), "again")
         if sets.isEmpty():
             break
     out = parts[0]
@@ -473,7 +511,7 @@ def similar_texts(df: DataFrame, key: str, text: str, join: Join = Join()) -> Da
     Null texts and texts without words have no n-grams: they link to nothing and are classes of their own. Repeated rows
     are copies of each other. Other columns are not read.
     """
-    table = staging.stage(_sets(df, key, text, join), "texts")
+    table = _apart(staging.stage(_sets(df, key, text, join), "texts"))
     named = table.where(F.col("set").isNotNull())
     sets = staging.stage(
         named.groupBy("set").agg(

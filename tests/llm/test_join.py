@@ -119,3 +119,33 @@ def test_no_words_no_sets(spark, n):
     df = spark.createDataFrame([(i, "... !!") for i in range(n)], "doc_id long, text string")
     assert [r.n_links for r in jaccard_join.similar_texts(df, "doc_id", "text").collect()] == [0] * n
     assert df.select(F.count("*")).first()[0] == n
+
+
+def test_positions_are_used_up_before_one_is_used_again():
+    """Ten positions are enough for trees of depth 2, and a position that is used twice counts for less."""
+    used = np.zeros(jaccard_join.COORDINATES, int)
+    used[:10] = 1
+    assert jaccard_join.missed(used, 2, 0.8) <= 1 - jaccard_join.RECALL < jaccard_join.missed(used[:9], 2, 0.8)
+    again = np.array([2, 2] + [1] * 6)
+    assert jaccard_join.missed(again, 2, 0.8) > jaccard_join.missed(np.ones(10), 2, 0.8)
+    draw = np.random.default_rng(3)
+    met = 0
+    for _ in range(20_000):  # pairs that agree in a position with 0.8, and meet below with what depth 2 gives
+        agree = draw.random(8) < 0.8
+        below = draw.random(10) < jaccard_join.reached(2)
+        met += any(agree[p] and below[t] for t, p in enumerate([0, 0, 1, 1, 2, 3, 4, 5, 6, 7]))
+    assert abs(1 - met / 20_000 - jaccard_join.missed(again, 2, 0.8)) < 0.001
+
+
+def test_sets_of_one_hash_are_told_apart_by_the_other(spark):
+    rows = [(1, 5, 7, 70), (2, 5, 7, 70), (3, 5, 8, 71), (4, 6, 1, 72), (5, None, None, 73)]
+    table = spark.createDataFrame(rows, "id long, set long, other long, print long")
+    found = {r.id: r.set for r in jaccard_join._apart(table).collect()}
+    assert found[1] == found[2] != found[3] and found[4] == 6 and found[5] is None and 5 not in (found[1], found[3])
+
+
+def test_hot_nodes_join_without_gathering(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "HOT_ROWS", 4)
+    rows = spark.createDataFrame([(n % 3 if n < 30 else n, n) for n in range(60)] + [(40, 99)], "node long, set long")
+    got = {(r.node, r.set, r.size) for r in jaccard_join._sized(rows).collect()}
+    assert got == {(n % 3, n, 10) for n in range(30)} | {(40, 40, 2), (40, 99, 2)}
