@@ -135,8 +135,11 @@ class Encoder:
             self.tiers.insert(0, first)
 
     def _fast(self, model: dict):
-        """The same merges in an encoder without per-call overhead, if the vocabulary is ordered by merges."""
-        import tiktoken
+        """The same merges in an encoder without per-call overhead, if it is there and the vocabulary is ordered by merges."""
+        try:
+            import tiktoken
+        except ImportError:
+            return None
 
         letters = byte_letters()
         try:
@@ -147,6 +150,7 @@ class Encoder:
             return None
         if ids != sorted(ids) or len(ranks) != 256 + len(ids) or min(ids) < 256:
             return None
+        # fixed values: the split pattern of byte-level vocabularies
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         self.line_end = ranks[b"\n"]
         starts = np.zeros(len(ranks), bool)
