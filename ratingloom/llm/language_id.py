@@ -20,6 +20,7 @@ from ratingloom.llm.text import bound_batches, slices, with_fields
 BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 TRAIN_TEXTS = 2_000  # of each language
+MOST_LANGUAGES = 1_000
 SMOOTHING = 0.5
 MIN_SCORE = 0.5
 UNKNOWN = "und"
@@ -76,23 +77,28 @@ def held_out(key: Column, folds: int, fold: int) -> Column:
 
 
 def fit(df: DataFrame, text: str, language: str, per_language: int = TRAIN_TEXTS) -> Model:
-    """Learn from about ``per_language`` rows of each non-null language, drawn by a hash of the row.
+    """Learn from about ``per_language`` different texts of each non-null language, drawn by a hash of the text, so that
+    copies of one text count once in the sample, however many there are.
 
     The class sizes are those of all rows. N-grams are counted in the tasks; one vector of
     ``BUCKETS`` counts for each task and language comes to the driver. Without labelled rows the
-    model knows no language.
+    model knows no language; more than ``MOST_LANGUAGES`` values are no languages, and are refused.
     """
     rows = bound_batches(df).select(df[f"`{text}`"].cast("string").alias("t"), df[f"`{language}`"].cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    different = F.approx_count_distinct(F.xxhash64("t")).alias("different")
+    found = rows.groupBy("lang").agg(F.count("*").alias("n"), different).limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
+        raise ValueError(f"column {language} holds more than {MOST_LANGUAGES} languages")
+    sizes = {r["lang"]: r["n"] for r in found}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros(0), np.zeros((0, BUCKETS)))
     share = F.lit(0.0)
-    for name in languages:
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, per_language / sizes[name]))).otherwise(share)
+    for r in found:
+        share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_language / max(1, r["different"])))).otherwise(share)
     drawn = F.pmod(F.xxhash64("t", "lang"), F.lit(1 << 30)) < share * (1 << 30)
-    sample = rows.where(F.col("t").isNotNull() & drawn).limit(2 * per_language * len(languages)).repartition(4)
+    sample = rows.where(F.col("t").isNotNull() & drawn).distinct()
     schema = "lang string, counts binary"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,12 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from ratingloom import staging
 from ratingloom.llm.text import LOWER, bound_batches, slices, spans_hash, with_fields, word_spans
 
 FEATURE_BITS = 18
 HEADS = (4, 5, 6)  # bytes
 POSITIVES = 3_000
 UNLABELLED = 8_000
+SAMPLE_BYTES = 64 << 20  # of either sample's features, on the driver
 MODELS = 3
 EPOCHS = 120
 BATCH = 4_096  # of unlabelled rows
@@ -105,6 +107,25 @@ def telling(positive: Rows, unlabelled: Rows) -> np.ndarray:
         return np.flatnonzero((p >= LEAST_TEXTS) & (p / n >= LEAST_RATIO * u / m) & (z >= LEAST_Z))
 
 
+def risk_gradient(w: np.ndarray, unlabelled: tuple, positive: tuple, prior: float) -> np.ndarray:
+    """Gradient by weights and bias (the last one) of the non-negative risk of a batch, whose sides are features, their
+    rows and the number of rows: ``prior`` times the mean loss of the positive rows as positive, and the loss of the
+    negative rows, estimated as that of the unlabelled rows less ``prior`` times that of the positive ones. Where
+    this estimate is below zero, the step goes against its gradient alone."""
+    (u, u_of, n_u), (p, p_of, n_p) = unlabelled, positive
+    gu = np.bincount(u_of, w[u], n_u) + w[-1]
+    gp = np.bincount(p_of, w[p], n_p) + w[-1]
+    negative_part = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+    du = _sigmoid(gu) / n_u
+    if negative_part >= 0:
+        dp = np.full(n_p, -prior / n_p)
+    else:
+        du, dp = -du, prior * _sigmoid(gp) / n_p
+    grad = np.bincount(u, du[u_of], len(w)) + np.bincount(p, dp[p_of], len(w))
+    grad[-1] += du.sum() + dp.sum()
+    return grad
+
+
 def train(positive: Rows, unlabelled: Rows, size: int, prior: float, seed: int) -> tuple[np.ndarray, float]:
     """One classifier over ``size`` features, by Adam on batches of both samples."""
     draw = np.random.default_rng(seed)
@@ -119,16 +140,7 @@ def train(positive: Rows, unlabelled: Rows, size: int, prior: float, seed: int)
             u_rows, p_rows = order[k * BATCH : (k + 1) * BATCH], draw.integers(0, len(positive), SHARE)
             u, u_of = unlabelled.take(u_rows)
             p, p_of = positive.take(p_rows)
-            gu = np.bincount(u_of, w[u], len(u_rows)) + w[-1]
-            gp = np.bincount(p_of, w[p], len(p_rows)) + w[-1]
-            negative_part = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-            du, dp = _sigmoid(gu) / len(u_rows), _sigmoid(gp) / len(p_rows)
-            if negative_part >= 0:
-                dp = np.full(len(p_rows), -prior / len(p_rows))
-            else:
-                du, dp = -du, prior * dp
-            grad = np.bincount(u, du[u_of], len(w)) + np.bincount(p, dp[p_of], len(w))
-            grad[-1] += du.sum() + dp.sum()
+            grad = risk_gradient(w, (u, u_of, len(u_rows)), (p, p_of, len(p_rows)), prior)
             step += 1
             mean = 0.9 * mean + 0.1 * grad
             square = 0.999 * square + 0.001 * grad * grad
@@ -138,24 +150,27 @@ def train(positive: Rows, unlabelled: Rows, size: int, prior: float, seed: int)
 
 
 def _drawn(key: Column, most: int, total: int) -> Column:
-    """About ``most`` of ``total`` rows, by a hash of the key; a null key is like any other value."""
+    """About ``most`` of ``total`` values, by a hash of the value; null is like any other."""
     return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < min(1.0, most / max(total, 1)) * (1 << 30)
 
 
-def _sample(texts: DataFrame, most: int) -> Rows:
-    """Features of the texts of a drawn sample; of twice its intended size at most."""
+def _sample(texts: DataFrame) -> Rows:
+    """Features of the different texts of a drawn sample, thinned by a hash of the text to ``SAMPLE_BYTES``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, to, data, offsets in slices(batch.column(0)):
+            for at, to, data, offsets in slices(batch.column(1)):
                 feature, owner = features(data, offsets)
                 key = np.unique(owner.astype(np.int64) << FEATURE_BITS | feature)
                 own = key & ((1 << FEATURE_BITS) - 1)
                 stops = np.searchsorted(key >> FEATURE_BITS, np.arange(to - at), "right")
                 parts = [own[a:b].astype("<i4").tobytes() for a, b in zip(np.append(0, stops[:-1]), stops)]
-                yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary())], names=["f"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), pa.array(parts, pa.binary())], names=["h", "f"])
 
-    rows = texts.limit(2 * most).repartition(4).mapInArrow(run, "f binary").toLocalIterator()
+    different = texts.select("t").distinct().select(F.xxhash64(F.lit(1), "t").alias("h"), "t")
+    stored = staging.stage(different.mapInArrow(run, "h long, f binary"), "features")
+    total = stored.agg(F.coalesce(F.sum(F.octet_length("f")), F.lit(0)).alias("n")).first()["n"]
+    rows = stored.where(_drawn(F.col("h"), SAMPLE_BYTES, total)).select("f").toLocalIterator()
     parts = [np.frombuffer(f, "<i4") for f in sorted(bytes(r["f"]) for r in rows)]
     if not parts:
         return Rows(np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -179,8 +194,9 @@ def fit(
     a key with several labels has the largest. None if there is no positive text: then nothing is
     known to be toxic. Null texts are empty; null keys and labels mark nothing.
 
-    The keys of the positive sample are drawn from the labels alone, so the texts are joined with at
-    most ``2 * positives`` keys, and never shuffled.
+    About ``positives`` keys are drawn from the labels alone, so the texts are joined with few keys and never shuffled;
+    about ``unlabelled`` different texts are drawn by a hash. Copies of a text are one text of a sample, and the
+    features of either sample take ``SAMPLE_BYTES`` on the driver.
     """
     known = labels.select(labels[f"`{label_key}`"].alias("k"), labels[f"`{label}`"].cast("int").alias("y")).dropna()
     known = known.groupBy("k").agg(F.max("y").alias("y"))
@@ -191,9 +207,10 @@ def fit(
         prior = seen["toxic"] / seen["all"]
     prior = min(max(prior, 1e-4), 0.9)
     rows = bound_batches(df).select(df[f"`{key}`"].alias("k"), F.coalesce(df[f"`{text}`"].cast("string"), F.lit("")).alias("t"))
-    keys = known.where((F.col("y") == 1) & _drawn(F.col("k"), positives, seen["toxic"])).select("k").limit(2 * positives)
-    toxic = _sample(rows.join(F.broadcast(keys), "k").select("t"), positives)
-    mixed = _sample(rows.where(_drawn(F.col("k"), unlabelled, rows.count())).select("t"), unlabelled)
+    keys = known.where((F.col("y") == 1) & _drawn(F.col("k"), positives, seen["toxic"])).select("k")
+    toxic = _sample(rows.join(F.broadcast(keys), "k"))
+    different = rows.agg(F.approx_count_distinct(F.xxhash64("t")).alias("n")).first()["n"]
+    mixed = _sample(rows.where(_drawn(F.col("t"), unlabelled, different)))
     if not len(toxic) or not len(mixed):
         return None
     columns = telling(toxic, mixed)

@@ -7,10 +7,10 @@ import re
 
 import numpy as np
 import pytest
-from text_cases import plain_words, sentence
 from pyspark.sql import functions as F
+from text_cases import plain_words, sentence
 
-from ratingloom.llm import language_id, suffix_tree, toxicity
+from ratingloom.llm import dealt, language_id, suffix_tree, toxicity
 
 LANGUAGES = {"xa": "the of and was with ing tion er".split(), "xb": "der und ein ich sch keit ung zu".split(), "xc": "él ñor ción que los mente ado ía".split()}
 
@@ -113,6 +113,81 @@ def test_risk_gradient_is_that_of_the_loss():
     assert w[0] > 0 and w[1] > 0 and w[0] + w[1] + b > 0 > w[2] + w[3] + b and w[4] == 0 and rows(3, 0.5).ends[-1] == 3
 
 
+@pytest.mark.parametrize("prior, below", [(0.2, False), (0.9, True)])
+def test_risk_gradient_equals_a_numeric_one(prior, below):
+    draw = np.random.default_rng(5)
+    batch = lambda n: (draw.integers(0, 6, 4 * n), np.repeat(np.arange(n), 4), n)
+    unlabelled, positive = batch(30), batch(20)
+    w = draw.standard_normal(7) + (np.array([0] * 6 + [2.0]) if below else 0)
+    if below:  # positive rows far on the positive side, unlabelled ones on the other
+        unlabelled, positive = (unlabelled[0] % 3, *unlabelled[1:]), (3 + positive[0] % 3, *positive[1:])
+        w[:3], w[3:6] = -2.0, 2.0
+
+    def parts(w):
+        margin = lambda side: np.bincount(side[1], w[side[0]], side[2]) + w[-1]
+        gu, gp = margin(unlabelled), margin(positive)
+        negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+        return prior * np.logaddexp(0, -gp).mean(), negative
+
+    assert (parts(w)[1] < 0) == below
+    risk = (lambda w: -parts(w)[1]) if below else (lambda w: sum(parts(w)))
+    step = 1e-6 * np.eye(7)
+    numeric = np.array([(risk(w + d) - risk(w - d)) / 2e-6 for d in step])
+    assert np.allclose(toxicity.risk_gradient(w, unlabelled, positive, prior), numeric, atol=1e-7)
+
+
+def test_a_hot_text_is_one_text_of_the_samples(spark):
+    """A text that a third of the rows copy neither fills the samples nor crowds out a language."""
+    rows, labels = labelled(900, 4)
+    hot = [(10_000 + i, "ka lo mi " * 30) for i in range(450)]
+    df = spark.createDataFrame(rows + hot, "doc_id long, text string")
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int, x int")
+    model = toxicity.fit(df, "doc_id", "text", marks, "doc_id", "toxic", unlabelled=300)
+    got = {r.doc_id: r.score for r in toxicity.score(df, "text", model).collect()}
+    truth = {i: any(b in t for b in BAD) for i, t in rows}
+    assert np.mean([(got[i] >= 0.5) == bad for i, bad in truth.items()]) > 0.95 and got[10_000] < 0.5
+    draw = random.Random(2)
+    texts = [(foreign(draw, n, 30), n) for n in ("xa", "xb", "xc") for _ in range(60)] + [("der und ein " * 9, "xb")] * 300
+    table = spark.createDataFrame(texts, "text string, lang string")
+    known = language_id.fit(table, "text", "lang", per_language=25)
+    found = language_id.identify(table, "text", known).collect()
+    assert np.mean([r.lang == r.lang_pred for r in found]) > 0.97
+
+
+def test_dirty_language_values_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MOST_LANGUAGES", 5)
+    df = spark.createDataFrame([("some text", f"l{i}") for i in range(9)], "text string, lang string")
+    with pytest.raises(ValueError, match="more than 5 languages"):
+        language_id.fit(df, "text", "lang")
+
+
+def test_scores_are_those_of_a_plain_naive_bayes(spark):
+    draw = random.Random(8)
+    train = [(foreign(draw, n, draw.randint(2, 25)), n) for n in ("xa", "xb", "xc") for _ in range(30)] + [("Ab, é1 É", "xc")]
+    asked = [foreign(draw, draw.choice(list(LANGUAGES)), 12) for _ in range(30)] + ["ABC  def", "é", "1 a 1"]
+    table = language_id.letter_table()
+
+    def plain_grams(text):
+        data = text.encode()
+        return language_id.grams(np.frombuffer(data, np.uint8), np.array([0, len(data)]), table)[0].tolist()
+
+    counts = {n: collections.Counter() for n in LANGUAGES}
+    for text, n in train:
+        counts[n].update(plain_grams(text))
+    rows = collections.Counter(n for _, n in train)
+    total = {n: sum(c.values()) + language_id.SMOOTHING * language_id.BUCKETS for n, c in counts.items()}
+    model = language_id.fit(spark.createDataFrame(train, "text string, lang string"), "text", "lang")
+    df = spark.createDataFrame([(t,) for t in asked], "text string")
+    for r in language_id.identify(df, "text", model).collect():
+        log = {
+            n: math.log(rows[n] / len(train)) + sum(math.log((counts[n][g] + language_id.SMOOTHING) / total[n]) for g in plain_grams(r.text))
+            for n in LANGUAGES
+        }
+        best = max(sorted(log), key=log.get)
+        assert r.lang_pred == best
+        assert math.isclose(r.score, 1 / sum(math.exp(v - log[best]) for v in log.values()), rel_tol=1e-3)
+
+
 def tokens(text):
     return plain_words(text, r"[^\x20\x09-\x0D]+")
 
@@ -201,8 +276,10 @@ def test_scores_are_those_of_the_definition(spark):
         assert math.isclose(r.score, want, rel_tol=1e-6), (asked[r.doc_id], r.score, want)
 
 
-@pytest.mark.parametrize("head_nodes, head_share", [(None, None), (0, 0.01), (40, 0.01), (20, None)])
-def test_scores_use_every_ngram_whatever_its_share(spark, monkeypatch, head_nodes, head_share):
+@pytest.mark.parametrize("head_nodes, head_share, mark_bits", [(None, None, None), (0, 0.01, None), (40, 0.01, None), (20, None, None), (40, 0.01, 1 << 9)])
+def test_scores_use_every_ngram_whatever_its_share(spark, monkeypatch, head_nodes, head_share, mark_bits):
+    if mark_bits:  # a map that is full lets everything pass
+        monkeypatch.setattr(dealt, "MOST_MARK_BITS", mark_bits)
     monkeypatch.setattr(suffix_tree, "SHARE", 0.01)  # no n-gram below a share of the tokens may be lost
     if head_nodes is not None:  # most of the tree is joined
         monkeypatch.setattr(suffix_tree, "HEAD_NODES", head_nodes)
