@@ -1,8 +1,8 @@
 """Tables stored in buckets of a key, and tables clustered by a key.
 
-Buckets make later joins and aggregates on the key start without a shuffle. They live in the session's catalogue, so
-the warehouse folder must be one that all executors share. A clustered table is a plain Parquet folder whose files
-and row groups hold ranges of the key, with Bloom filters of it, so a request for a few keys reads a few row groups.
+Buckets make later joins and aggregates on the key start without a shuffle. Their tables are named in the session's
+catalogue and stored in the work folder. A clustered table is a plain Parquet folder whose files and row groups hold
+ranges of the key, with Bloom filters of it, so a request for a few keys reads a few row groups.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ratingloom.staging import discard, work_folder
+
 BUCKETS = 200
 MOST_KEYS = 10_000  # of one request; more are joined
 ROWS_PER_FILE = 5_000_000
@@ -22,7 +24,8 @@ def store_bucketed(df: DataFrame, name: str, key: str, buckets: int = BUCKETS) -
     table = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
     # one task a bucket writes one file
     dealt = df.repartition(buckets, F.col(key))
-    dealt.write.bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(table)
+    writer = dealt.write.bucketBy(buckets, key).sortBy(key).format("parquet")
+    writer.option("path", f"{work_folder(df.sparkSession)}/{table}").saveAsTable(table)
     return df.sparkSession.read.table(table)
 
 
@@ -46,6 +49,7 @@ def rows_of_keys(stored: DataFrame, key: str, wanted: DataFrame, most: int = MOS
 
 
 def drop_bucketed(spark: SparkSession, stored: DataFrame) -> None:
-    """Drop the table that ``store_bucketed`` wrote."""
+    """Drop the table that ``store_bucketed`` wrote, with its files."""
     for folder in {file.rsplit("/", 1)[0] for file in stored.inputFiles()}:
         spark.sql(f"DROP TABLE IF EXISTS `{folder.rsplit('/', 1)[1]}`")
+    discard(stored)
