@@ -142,10 +142,3 @@ def test_sets_of_one_hash_are_told_apart_by_the_other(spark):
     table = spark.createDataFrame(rows, "id long, set long, other long, print long")
     found = {r.id: r.set for r in jaccard_join._apart(table).collect()}
     assert found[1] == found[2] != found[3] and found[4] == 6 and found[5] is None and 5 not in (found[1], found[3])
-
-
-def test_hot_nodes_join_without_gathering(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "HOT_ROWS", 4)
-    rows = spark.createDataFrame([(n % 3 if n < 30 else n, n) for n in range(60)] + [(40, 99)], "node long, set long")
-    got = {(r.node, r.set, r.size) for r in jaccard_join._sized(rows).collect()}
-    assert got == {(n % 3, n, 10) for n in range(30)} | {(40, 40, 2), (40, 99, 2)}
