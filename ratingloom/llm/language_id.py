@@ -21,6 +21,7 @@ BUCKETS = 1 << 16
 ORDERS = (1, 2, 3)
 TRAIN_TEXTS = 2_000  # of each language
 MOST_LANGUAGES = 1_000
+COUNTING_TASKS = 4
 SMOOTHING = 0.5
 MIN_SCORE = 0.5
 UNKNOWN = "und"
@@ -98,7 +99,8 @@ def fit(df: DataFrame, text: str, language: str, per_language: int = TRAIN_TEXTS
     for r in found:
         share = F.when(F.col("lang") == r["lang"], F.lit(min(1.0, per_language / max(1, r["different"])))).otherwise(share)
     drawn = F.pmod(F.xxhash64("t", "lang"), F.lit(1 << 30)) < share * (1 << 30)
-    sample = rows.where(F.col("t").isNotNull() & drawn).distinct()
+    # few tasks, since each sends the driver a vector a language
+    sample = rows.where(F.col("t").isNotNull() & drawn).distinct().repartition(COUNTING_TASKS)
     schema = "lang string, counts binary"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
