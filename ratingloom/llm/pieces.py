@@ -81,8 +81,7 @@ class Table:
         self.keys = np.zeros(self.slots, _U)
         self.place = np.zeros(self.slots, np.int64)
         self.size = np.zeros(self.slots, np.int32)
-        self.ids = np.zeros(0, np.int32)
-        self.parts: list[np.ndarray] = []
+        self.ids = np.zeros(0, np.int32)  # the first ``used`` are in use
         self.used = 0
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,12 +94,15 @@ class Table:
             self.clear()
         slot = (hashes % _U(self.slots)).astype(np.int64)
         # of pieces with the same slot one must win in all three arrays
-        last = np.zeros(self.slots, np.int64)
-        last[slot] = np.arange(len(slot))
-        own = last[slot]
+        slot, own = np.unique(slot, return_index=True)
         self.place[slot], self.size[slot], self.keys[slot] = self.used + place[own], sizes[own], hashes[own]
-        self.ids = np.concatenate([self.ids, ids])
-        self.used = len(self.ids)
+        end = self.used + len(ids)
+        if end > len(self.ids):
+            grown = np.zeros(max(end, min(2 * end, self.pool)), np.int32)
+            grown[: self.used] = self.ids[: self.used]
+            self.ids = grown
+        self.ids[self.used : end] = ids
+        self.used = end
 
 
 class Encoder:
@@ -250,8 +252,8 @@ class Encoder:
             rows, slot = missing[hit], slot[hit]
             sizes[rows], place[rows] = table.size[slot], table.place[slot] + base
             missing = missing[~hit]
-            pools.append(table.ids)
-            base += len(table.ids)
+            pools.append(table.ids[: table.used])
+            base += table.used
         if len(missing):
             new, first, which = np.unique(hashes[missing], return_index=True, return_inverse=True)
             rows = missing[first]

@@ -2,7 +2,7 @@
 
 A column of texts is seen as one byte array and the offsets of its texts. Words are found by a
 table over byte values and hashed by differences of a running polynomial, so no Python code runs
-per word. Long columns are cut at text borders into slices of a few megabytes, which bounds the
+per word. Long columns are cut at text borders into slices of half a megabyte, which bounds the
 memory of a task whatever the size of a batch.
 """
 
@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 BATCH_ROWS = 1_000
 
 _U = np.uint64

@@ -8,8 +8,10 @@ ones in the share of the class prior. Linear classifiers in numpy minimise the e
 with logistic loss; where the second term falls below zero in a batch, its gradient is turned, as
 the non-negative estimator asks. Features are the distinct words of a text and their first letters
 (``HEADS``), hashed; those are kept that stand in significantly more of the positive texts than of the
-unlabelled ones. Both samples are bounded, drawn by a hash of the text, and go to the driver
-as features; scoring covers whole texts in the tasks, with the weights broadcast (fixed size).
+unlabelled ones. Where the labels confirm harmless texts too, the scores of each classifier are put to scale by
+those and the positives: what the estimator makes of hidden positives follows the share it is told, and where the
+unlabelled sample holds more of them than that, scores of toxic texts stay below one half. All samples are
+bounded, drawn by a hash, and go to the driver as features; scoring covers whole texts in the tasks, with the weights broadcast (fixed size).
 """
 
 from __future__ import annotations
@@ -26,9 +28,10 @@ from ratingloom.llm.text import LOWER, bound_batches, slices, spans_hash, with_f
 
 FEATURE_BITS = 18
 HEADS = (4, 5, 6)  # bytes
-POSITIVES = 3_000
+POSITIVES = 6_000
+HARMLESS = 6_000
 UNLABELLED = 8_000
-SAMPLE_BYTES = 64 << 20  # of either sample's features, on the driver
+SAMPLE_BYTES = 64 << 20  # of each sample's features, on the driver
 MODELS = 3
 EPOCHS = 120
 BATCH = 4_096  # of unlabelled rows
@@ -149,6 +152,31 @@ def train(positive: Rows, unlabelled: Rows, size: int, prior: float, seed: int)
     return w[:-1], float(w[-1])
 
 
+def calibrated(w: np.ndarray, bias: float, positive: Rows, harmless: Rows) -> tuple[np.ndarray, float]:
+    """The classifier with its scores put to scale: logistic regression of the label on the score, by Newton's method, with
+    equal weight for both classes and targets a little inside of 0 and 1 (Platt), so that it ends where they part."""
+    totals = [np.bincount(which, w[columns], len(rows)) for rows in (positive, harmless) for columns, which in [rows.take(np.arange(len(rows)))]]
+    n, m = len(positive), len(harmless)
+    x = np.stack([np.concatenate(totals) + bias, np.ones(n + m)])
+    target = np.repeat([(n + 1) / (n + 2), 1 / (m + 2)], [n, m])
+    weight = np.repeat([0.5 / n, 0.5 / m], [n, m])
+    loss = lambda line: float((weight * (np.logaddexp(0, line @ x) - target * (line @ x))).sum())
+    line = np.array([1.0, 0.0])
+    for _ in range(50):
+        chance = _sigmoid(line @ x)
+        grad = x @ (weight * (chance - target))
+        step = np.linalg.solve((x * (weight * chance * (1 - chance))) @ x.T + 1e-9 * np.eye(2), grad)
+        size = 1.0
+        while size > 1e-6 and loss(line - size * step) > loss(line):
+            size /= 2
+        line = line - size * step
+        if np.abs(size * step).max() < 1e-6:
+            break
+    if line[0] <= 0:  # the scores tell nothing
+        return w, bias
+    return line[0] * w, float(line[0] * bias + line[1])
+
+
 def _drawn(key: Column, most: int, total: int) -> Column:
     """About ``most`` of ``total`` values, by a hash of the value; null is like any other."""
     return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < min(1.0, most / max(total, 1)) * (1 << 30)
@@ -186,36 +214,44 @@ def fit(
     label: str,
     positives: int = POSITIVES,
     unlabelled: int = UNLABELLED,
+    harmless: int = HARMLESS,
     prior: float | None = None,
 ) -> Model | None:
-    """Learn from the texts of ``df`` that ``labels`` marks with 1, and from all of ``df`` as unlabelled texts.
+    """Learn from the texts of ``df`` that ``labels`` marks with 1, and from all of ``df`` as unlabelled texts; the texts
+    marked with 0, if any, serve to put the scores to scale.
 
     ``prior``: share of toxic texts; if not given, that of label 1 among the keys with a label, where
     a key with several labels has the largest. None if there is no positive text: then nothing is
     known to be toxic. Null texts are empty; null keys and labels mark nothing.
 
-    About ``positives`` keys are drawn from the labels alone, so the texts are joined with few keys and never shuffled;
+    About ``positives`` and ``harmless`` keys are drawn from the labels alone, so the texts are joined with few keys and never shuffled;
     about ``unlabelled`` different texts are drawn by a hash. Copies of a text are one text of a sample, and the
-    features of either sample take ``SAMPLE_BYTES`` on the driver.
+    features of each sample take ``SAMPLE_BYTES`` on the driver.
     """
     known = labels.select(labels[f"`{label_key}`"].alias("k"), labels[f"`{label}`"].cast("int").alias("y")).dropna()
     known = known.groupBy("k").agg(F.max("y").alias("y"))
-    seen = known.agg(F.count("*").alias("all"), F.count_if(F.col("y") == 1).alias("toxic")).first()
+    seen = known.agg(F.count("*").alias("all"), F.count_if(F.col("y") == 1).alias("toxic"), F.count_if(F.col("y") == 0).alias("clean")).first()
     if not seen["toxic"]:
         return None
     if prior is None:
         prior = seen["toxic"] / seen["all"]
     prior = min(max(prior, 1e-4), 0.9)
     rows = bound_batches(df).select(df[f"`{key}`"].alias("k"), F.coalesce(df[f"`{text}`"].cast("string"), F.lit("")).alias("t"))
-    keys = known.where((F.col("y") == 1) & _drawn(F.col("k"), positives, seen["toxic"])).select("k")
-    toxic = _sample(rows.join(F.broadcast(keys), "k"))
+    marked = lambda y, most, total: F.broadcast(known.where((F.col("y") == y) & _drawn(F.col("k"), most, total)).select("k"))
+    toxic = _sample(rows.join(marked(1, positives, seen["toxic"]), "k"))
+    clean = _sample(rows.join(marked(0, harmless, seen["clean"]), "k")) if seen["clean"] else ()
     different = rows.agg(F.approx_count_distinct(F.xxhash64("t")).alias("n")).first()["n"]
     mixed = _sample(rows.where(_drawn(F.col("t"), unlabelled, different)))
     if not len(toxic) or not len(mixed):
         return None
     columns = telling(toxic, mixed)
+    if len(columns) == 0:
+        clean = ()
     few = toxic.only(columns), mixed.only(columns), len(columns)
     found = [train(*few, prior, seed) for seed in range(MODELS)]
+    if len(clean):
+        sure = few[0], clean.only(columns)
+        found = [calibrated(w, b, *sure) for w, b in found]
     weights = np.zeros((MODELS, 1 << FEATURE_BITS), np.float32)
     weights[:, columns] = [w for w, _ in found]
     return Model(weights, np.array([b for _, b in found]))

@@ -136,6 +136,22 @@ def test_risk_gradient_equals_a_numeric_one(prior, below):
     assert np.allclose(toxicity.risk_gradient(w, unlabelled, positive, prior), numeric, atol=1e-7)
 
 
+def test_toxic_texts_are_found_where_more_of_them_are_unlabelled_than_the_prior_says():
+    draw = np.random.default_rng(4)
+
+    def rows(n, toxic):
+        marks = [np.flatnonzero(draw.random(20) < (0.25 if t else 0.01)) for t in np.arange(n) < toxic]
+        return toxicity.Rows(np.concatenate(marks), np.cumsum([len(m) for m in marks]))
+
+    positive, harmless, unlabelled = rows(600, 600), rows(1_000, 0), rows(2_000, 800)
+    w, bias = toxicity.train(positive, unlabelled, 20, 0.1, 0)
+    found = lambda texts, w, bias: np.mean([w[c].sum() + bias >= 0 for c in np.split(texts.columns, texts.ends[:-1])])
+    assert found(positive, w, bias) < 0.7
+    w, bias = toxicity.calibrated(w, bias, positive, harmless)
+    assert found(positive, w, bias) > 0.9
+    assert found(harmless, w, bias) < 0.1
+
+
 def test_a_hot_text_is_one_text_of_the_samples(spark):
     """A text that a third of the rows copy neither fills the samples nor crowds out a language."""
     rows, labels = labelled(900, 4)
