@@ -169,9 +169,13 @@ def _sized(rows: DataFrame) -> DataFrame:
 
 def _banded(wide: DataFrame, join: Join) -> DataFrame:
     """Nodes cut by set size: a set goes to the band of its size and to the next one. Similar sets differ in size by
-    the threshold's factor at most, so they share a band, and nothing is lost."""
+    the threshold's factor at most, so they share a band, and nothing is lost. Of the bands that hold sets of one size band
+    alone, those are left out whose sets are all in another, so sets of about one size are in one band, not in two."""
     band = F.floor(F.log(F.col("n")) / math.log(1 / join.similarity) + 1e-9)
-    placed = wide.select("node", "set", "tokens", F.explode(F.array(band, band + 1)).alias("band"))
+    held = wide.groupBy("node").agg(F.collect_set(band).alias("held"))
+    has = lambda b: F.array_contains("held", b)
+    bands = F.filter(F.array(band, band + 1), lambda b: has(b) & (has(b - 1) | ~has(b + 1)))
+    placed = wide.join(held, "node").select("node", "set", "tokens", F.explode(bands).alias("band"))
     return placed.select(F.xxhash64("node", "band").bitwiseAND(F.lit(-2).cast("long")).alias("node"), "set", "tokens")
 
 
@@ -276,7 +280,7 @@ def _paths(sets: DataFrame, join: Join) -> DataFrame:
             held = own.groupBy("node").agg(F.max("crowded").alias("any")).where("any").select("node")
             parts.append(own.join(held, "node", "left_semi").select("node", "set", "size", "crowded"))
             if level == 1:
-                # a set is in a band twice for one slot
+                # a set may be in two bands for one slot
                 deep = own.where(~F.col("crowded")).groupBy("set").agg(F.count("*").alias("times"))
             children = found.where(F.col("child").isNotNull())
             rows = None if children.isEmpty() else children.select(F.col("child").alias("node"), "set", "tokens")

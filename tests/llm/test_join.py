@@ -53,6 +53,30 @@ def test_wide_nodes_are_split_and_lose_nothing(spark, draw, prose):
     assert found(spark, values, Join(small=8, block=16)) == brute(values)
 
 
+def test_bands_hold_sets_of_one_size_once_and_every_similar_pair(spark, draw):
+    wide = [(0, i, 100 + i % 3) for i in range(300)] + [(2, i, draw.randint(1, 400)) for i in range(300)] + [(4, i, s) for i, s in enumerate((5, 5, 40, 90, 91))]
+    rows = spark.createDataFrame(wide, "node long, set long, n long").withColumn("tokens", F.lit(b""))
+    bands = {}
+    for r in jaccard_join._banded(rows, Join()).collect():
+        bands.setdefault(r["node"], []).append(r["set"])
+    assert sum(len(b) for b in bands.values() if len(b) == 300) == 300  # once, not in two bands
+    places = {}
+    root = {r["node"]: r["root"] for r in _roots_of_bands(rows)}
+    for node, held in bands.items():
+        for s in held:
+            places.setdefault((root[node], s), set()).add(node)
+    for root_node in (0, 2, 4):
+        own = [(s, n) for node, s, n in wide if node == root_node]
+        for s, n in own:
+            assert all(places[root_node, s] & places[root_node, t] for t, m in own if 4 * max(n, m) <= 5 * min(n, m))
+
+
+def _roots_of_bands(rows):
+    """Every band node that a root may have, and that root."""
+    bands = rows.select(F.col("node").alias("root")).distinct().crossJoin(rows.sparkSession.range(0, 64).select(F.col("id").alias("band")))
+    return bands.select(F.xxhash64("root", "band").bitwiseAND(F.lit(-2).cast("long")).alias("node"), "root").collect()
+
+
 def test_copies_of_a_third_of_all_rows(spark, prose):
     hot = prose(50)
     values = [(i, hot) for i in range(300)] + [(1000 + i, prose(50)) for i in range(600)]
