@@ -1,19 +1,21 @@
 """Alignment of the tokens of two tokenizers over the same bytes.
 
 The first is byte-level (a tokenizers file), the second a sentencepiece model, which puts a space before a text; the
-first reads the text with that space, so both cut the same bytes. In each batch, ``pandas.merge_asof``, keyed by
-document, finds for each token's start the covering token of the other side; both directions together are
+first reads the text with that space, so both cut the same bytes. In each batch, ``pandas.merge_asof`` finds for
+each token's start the covering token of the other side; the bytes of a batch are numbered over all its texts, and
+both sides cover the same texts from their first bytes on, so it is one of the same text. Both directions together are
 all overlaps. Where tokens of both sides end at one byte, a group ends.
 
 Overlaps are links between ids. Their counts over the corpus are partly summed in the tasks and shuffled by
 pair of ids. A second pass aligns again and adds up, by document, the counts of its links: the ``HEAD_PAIRS`` most
 frequent pairs are broadcast, what a document links beyond them is joined with the stored counts.
 
-Every text is tokenised and aligned in one task, in slices of about a megabyte (a longer text is a slice of its own).
+Every text is tokenised and aligned in one task, in slices of half a megabyte (a longer text is a slice of its own).
 """
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -103,22 +105,24 @@ class Side:
         length = own.end - own.start
         before = np.cumsum(length) - length
         place = np.arange(length.sum())
-        wrong = words.bytes[np.repeat(words.begin[own.ids] - before, length) + place] != data[np.repeat(own.start - before, length) + place]
+        if len(place) < len(data):
+            data = data[np.repeat(own.start - before, length) + place]
+        wrong = words.bytes[np.repeat(words.begin[own.ids] - before, length) + place] != data
         if wrong.any():
             good[np.repeat(own.text, length)[wrong]] = False
         return good
 
     def table(self, name: str) -> pd.DataFrame:
-        return pd.DataFrame({"at": self.start, "document": self.text, name: np.arange(len(self.ids))})
+        return pd.DataFrame({"at": self.start, name: np.arange(len(self.ids))})
 
 
 def overlaps(a: Side, b: Side) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the tokens of both sides that share a byte, each pair once."""
+    """Numbers of the tokens of both sides, which cover the same texts, that share a byte, each pair once."""
     if not len(a.ids):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     left, right = a.table("a"), b.table("b")
-    to_b = pd.merge_asof(left, right, on="at", by="document")["b"].to_numpy().astype(np.int64)
-    to_a = pd.merge_asof(right, left, on="at", by="document")["a"].to_numpy().astype(np.int64)
+    to_b = pd.merge_asof(left, right, on="at")["b"].to_numpy().astype(np.int64)
+    to_a = pd.merge_asof(right, left, on="at")["a"].to_numpy().astype(np.int64)
     inside = a.start[to_a] != b.start  # equal starts were found from the other side
     return np.concatenate([np.arange(len(to_b)), to_a[inside]]), np.concatenate([to_b, np.flatnonzero(inside)])
 
@@ -133,12 +137,17 @@ def group_numbers(a: Side, b: Side, n_bytes: int) -> tuple[np.ndarray, np.ndarra
     return before[a.end], before[b.end], text
 
 
-def _numbers(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Decimal digits of each value in a row of fixed width, right-aligned, and their number."""
-    wide = len(str(int(values.max()))) if len(values) else 1
+@functools.cache
+def _numbers(most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each number up to ``most`` its decimal digits, right-aligned in a row of fixed width with a place for a mark
+    behind, which places of the row are shown, and how many."""
+    wide = len(str(most))
+    values = np.arange(most + 1)
     power = 10 ** np.arange(wide - 1, -1, -1)
-    digits = (values[:, None] // power % 10).astype(np.uint8) + 0x30
-    return digits, np.maximum(1, wide - (values[:, None] < power).sum(1))
+    row = np.zeros((most + 1, wide + 1), np.uint8)
+    row[:, :wide] = values[:, None] // power % 10 + 0x30
+    size = np.maximum(1, wide - (values[:, None] < power).sum(1))
+    return row, np.arange(wide + 1) >= (wide - size)[:, None], size + 1
 
 
 def group_texts(a: Side, b: Side, group_a: np.ndarray, group_b: np.ndarray, n: int) -> pa.Array:
@@ -154,14 +163,15 @@ def group_texts(a: Side, b: Side, group_a: np.ndarray, group_b: np.ndarray, n: i
     ids[at_a], ids[at_b], text[at_a], text[at_b] = a.ids, b.ids, a.text, b.text
     last_a, last_b = at_a[np.cumsum(count_a) - 1], at_b[before_b - 1]
     mark[last_a], mark[last_b] = ord("|"), ord(";")
-    digits, size = _numbers(ids)
-    wide = digits.shape[1]
-    row = np.concatenate([digits, mark[:, None]], 1)
-    shown = np.arange(wide + 1) >= (wide - size)[:, None]
+    rows, places, sizes = _numbers((1 << int(ids.max(initial=0)).bit_length()) - 1)
+    row, shown, size = rows[ids], places[ids], sizes[ids]
+    row[:, -1] = mark
     if total:
-        shown[np.flatnonzero(np.append(text[1:] != text[:-1], True)), wide] = False  # no mark after a text's last group
-    cuts = np.append(0, np.cumsum(np.bincount(text, shown.sum(1), n))).astype(np.int64)
-    return pa.LargeStringArray.from_buffers(n, pa.py_buffer(cuts), pa.py_buffer(row[shown]))
+        last = np.flatnonzero(np.append(text[1:] != text[:-1], True))  # no mark after a text's last group
+        shown[last, -1] = False
+        size[last] -= 1
+    ends = np.append(0, np.cumsum(size))[np.cumsum(np.bincount(text, minlength=n))]
+    return pa.LargeStringArray.from_buffers(n, pa.py_buffer(np.append(0, ends)), pa.py_buffer(row[shown]))
 
 
 def _aligned(path_a: str, path_b: str) -> Callable[[pa.Array], Iterator[tuple]]:

@@ -120,6 +120,22 @@ def test_digest_and_empty_table(spark, files):
     assert alignment.align(df.where("doc_id < 0"), "doc_id", "text", *files).count() == 0
 
 
+def test_digits_of_ids_come_from_a_table_and_links_from_starts_alone():
+    ids = np.array([0, 9, 10, 99, 100, 1023, 1022, 7])
+    side = lambda ids, starts, ends: alignment.Side(ids, np.repeat([0, 2], len(ids) // 2), np.array(starts), np.array(ends))
+    a = side(ids, range(0, 16, 2), range(2, 17, 2))
+    b = side(ids[::-2], [0, 4, 8, 12], [4, 8, 12, 16])
+    assert list(a.table("a").columns) == ["at", "a"]
+    left, right = alignment.overlaps(a, b)
+    assert sorted(zip(left.tolist(), right.tolist())) == [(i, i // 2) for i in range(8)]
+    group_a, group_b, _ = alignment.group_numbers(a, b, 16)
+    before = alignment._numbers.cache_info().misses
+    for _ in range(3):
+        shown = alignment.group_texts(a, b, group_a, group_b, 3).to_pylist()
+        assert shown == ["0,9|7;10,99|1023", "", "100,1023|99;1022,7|9"]
+    assert alignment._numbers.cache_info().misses <= before + 1
+
+
 def test_segments_are_cut_only_where_the_model_never_joins(files):
     import sentencepiece
 
