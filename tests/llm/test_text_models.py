@@ -321,6 +321,25 @@ def test_scores_use_every_ngram_whatever_its_share(spark, monkeypatch, head_node
         assert sum(len(x[0]) for x in [*tree.entries.values(), *tree.rests.values()]) <= head_nodes and tree.tail.count()
 
 
+def test_the_map_is_asked_only_for_what_the_head_does_not_hold(monkeypatch):
+    data = np.frombuffer(b"a b c a b d a b c", np.uint8)
+    offsets = np.array([0, len(data)])
+    words, owner = suffix_tree.symbols(data, offsets)
+    pairs = np.unique([g for n, g, _ in suffix_tree._grams(words, owner, 2)][1])[::2]
+    tables = suffix_tree._Tables.__new__(suffix_tree._Tables)
+    tables.words = suffix_tree.Lookup(np.sort(np.unique(words))[:2], np.array([3, 4]))
+    tables.entries, tables.rests = {2: suffix_tree.Lookup(pairs, np.full(len(pairs), -0.5))}, {}
+    tables.marks, tables.flat = np.zeros((64, 8), np.uint8), 1.0
+    asked = []
+    monkeypatch.setattr(suffix_tree, "marked", lambda marks, keys: (asked.extend(keys.tolist()), np.ones(len(keys), bool))[1])
+    p = suffix_tree._Places(tables, data, offsets)
+    assert asked and not set(pairs.tolist()) & set(asked)
+    (at, code, ids), = p.open
+    assert code == 2 and len(at) == len(asked) and not set(at.tolist()) & set(np.flatnonzero(p.best == 2).tolist())
+    plain = np.where(p.count >= 0, np.log10(np.maximum(p.count, 0) + 1.0) - 1.0, 0.0)
+    assert (p.root == plain).all()
+
+
 def test_a_state_is_a_distribution():
     draw = random.Random(8)
     train = [draw.choice(["aa bb cc", "aa bb dd", "aa cc"]) for _ in range(80)]
