@@ -340,6 +340,51 @@ def test_the_map_is_asked_only_for_what_the_head_does_not_hold(monkeypatch):
     assert (p.root == plain).all()
 
 
+def test_entries_are_looked_for_behind_states_alone(monkeypatch):
+    data = np.frombuffer(b"a b c a b d a b c", np.uint8)
+    offsets = np.array([0, len(data)])
+    words, owner = suffix_tree.symbols(data, offsets)
+    states = np.unique(words)[:2]
+    tables = suffix_tree._Tables.__new__(suffix_tree._Tables)
+    tables.words = suffix_tree.Lookup(np.unique(words), np.ones(len(np.unique(words))))
+    none = np.zeros(0, np.uint64), np.zeros(0)
+    tables.entries, tables.rests = {2: suffix_tree.Lookup(*none)}, {1: suffix_tree.Lookup(states, np.full(2, -0.5))}
+    tables.marks, tables.flat = np.zeros((64, 8), np.uint8), 1.0
+    pairs = [g for n, g, _ in suffix_tree._grams(words, owner, 2)][1]
+    monkeypatch.setattr(suffix_tree, "marked", lambda marks, keys: np.isin(keys, pairs))
+    asked = {code: at for at, code, _ in suffix_tree._Places(tables, data, offsets).open}
+    assert len(asked[-1]) == 0 and set(asked[2]) == set(np.flatnonzero(np.isin(words[:-1], states)) + 1)
+
+
+def test_each_part_of_the_counts_has_a_task_of_its_own(spark):
+    draw = random.Random(9)
+    texts = spark.createDataFrame([(" ".join(sentence(draw, 9) for _ in range(20)),) for _ in range(40)] * 4, "t string").repartition(2)
+    grams = suffix_tree._gram_counts(texts, 2, spark.sparkContext.broadcast(None), 16).withColumn("task", F.spark_partition_id()).collect()
+    parts = dealt.part_of(np.array([r.gram for r in grams]).view(np.uint64), 16)
+    assert len(set(parts.tolist())) == 16 and all(r.task == part for r, part in zip(grams, parts.tolist()))
+
+
+def test_nothing_broadcast_is_kept_after_the_scores(spark, monkeypatch):
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(send(self, value)) or sent[-1])
+    learn = spark.createDataFrame([(i, "aa bb cc") for i in range(9)], "doc_id long, text string")
+    scored = suffix_tree.score(learn, "doc_id", "text", *suffix_tree.fit(learn, "text"))
+    kept = [type(x._value).__name__ for x in sent if x._jbroadcast.isValid()]  # but Spark's own, of the functions
+    assert len(sent) > suffix_tree.DEPTH and set(kept) <= {"bytes"}
+    assert scored.count() == 9
+
+
+def test_a_lookup_tells_keys_of_one_range_apart():
+    keys = np.unique(np.random.default_rng(1).integers(0, 1 << 40, 500).astype(np.uint64))
+    keys = np.append(keys, np.uint64(2**64 - 1))
+    for own in (keys, suffix_tree._turned(keys), keys[:0]):
+        asked = np.append(own, keys + np.uint64(1))
+        held = dict(zip(own.tolist(), range(len(own))))
+        hit, values = suffix_tree.Lookup(own, np.arange(len(own))).find(asked)
+        assert hit.tolist() == [i for i, k in enumerate(asked.tolist()) if k in held]
+        assert values.tolist() == [held[k] for k in asked[hit].tolist()]
+
+
 def test_a_state_is_a_distribution():
     draw = random.Random(8)
     train = [draw.choice(["aa bb cc", "aa bb dd", "aa cc"]) for _ in range(80)]
