@@ -26,7 +26,9 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     current = staging.stage(pairs.where("u <> v").distinct(), "edges")
     mark = _mark(current)
     while mark[0]:
-        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        # both ways by one scan, not by a union of two: this plan reads it twice, and each scan and its tasks cost the driver memory
+        ways = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = current.select(F.inline(ways))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = staging.stage(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
         least = large.groupBy("u").agg(F.min("v").alias("m"))

@@ -16,8 +16,9 @@ bounded, drawn by a hash, and go to the driver as features; scoring covers whole
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cmp_to_key
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ BATCH = 4_096  # of unlabelled rows
 SHARE = 2_048  # of positive rows in a batch
 RATE = 0.1
 DECAY = 3e-2
+PIECE = 256  # rows at a time
 LEAST_TEXTS, LEAST_RATIO, LEAST_Z = 4, 2.0, 4.0
 
 LETTERS = np.zeros(256, bool)
@@ -95,6 +97,14 @@ class Rows:
         which = np.repeat(np.arange(len(rows)), size)
         return self.columns[np.repeat(begins - (np.cumsum(size) - size), size) + np.arange(size.sum())], which
 
+    def totals(self, w: np.ndarray) -> np.ndarray:
+        """Each row's sum of the weights ``w`` of its columns, taken in pieces to save memory."""
+        total = np.zeros(len(self))
+        for rows in np.array_split(np.arange(len(self)), len(self) // PIECE + 1):
+            columns, which = self.take(rows)
+            total[rows] = np.bincount(which, w[columns], len(rows))
+        return total
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
@@ -155,9 +165,8 @@ def train(positive: Rows, unlabelled: Rows, size: int, prior: float, seed: int)
 def calibrated(w: np.ndarray, bias: float, positive: Rows, harmless: Rows) -> tuple[np.ndarray, float]:
     """The classifier with its scores put to scale: logistic regression of the label on the score, by Newton's method, with
     equal weight for both classes and targets a little inside of 0 and 1 (Platt), so that it ends where they part."""
-    totals = [np.bincount(which, w[columns], len(rows)) for rows in (positive, harmless) for columns, which in [rows.take(np.arange(len(rows)))]]
     n, m = len(positive), len(harmless)
-    x = np.stack([np.concatenate(totals) + bias, np.ones(n + m)])
+    x = np.stack([np.concatenate([positive.totals(w), harmless.totals(w)]) + bias, np.ones(n + m)])
     target = np.repeat([(n + 1) / (n + 2), 1 / (m + 2)], [n, m])
     weight = np.repeat([0.5 / n, 0.5 / m], [n, m])
     loss = lambda line: float((weight * (np.logaddexp(0, line @ x) - target * (line @ x))).sum())
@@ -182,6 +191,25 @@ def _drawn(key: Column, most: int, total: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(1 << 30)) < min(1.0, most / max(total, 1)) * (1 << 30)
 
 
+def gathered(parts: Iterable[bytes]) -> Rows:
+    """The rows, each the bytes of its columns, in the order of their bytes. They are held end to end, since
+    thousands of small objects leave the driver's memory in pieces that it does not give back."""
+    held, ends = bytearray(), [0]
+    for part in parts:
+        held += part
+        ends.append(len(held))
+    row = lambda i: held[ends[i] : ends[i + 1]]
+    order = sorted(range(len(ends) - 1), key=cmp_to_key(lambda i, j: (row(i) > row(j)) - (row(i) < row(j))))
+    columns = np.frombuffer(held, "<i4") if held else np.zeros(0, "<i4")
+    begins = np.array(ends) // 4
+    stops = np.cumsum(np.diff(begins)[np.array(order, int)])
+    out = np.empty_like(columns)
+    for i, stop in zip(order, stops.tolist()):
+        own = columns[begins[i] : begins[i + 1]]
+        out[stop - len(own) : stop] = own
+    return Rows(out, stops)
+
+
 def _sample(texts: DataFrame) -> Rows:
     """Features of the different texts of a drawn sample, thinned by a hash of the text to ``SAMPLE_BYTES``."""
 
@@ -199,10 +227,7 @@ def _sample(texts: DataFrame) -> Rows:
     stored = staging.stage(different.mapInArrow(run, "h long, f binary"), "features")
     total = stored.agg(F.coalesce(F.sum(F.octet_length("f")), F.lit(0)).alias("n")).first()["n"]
     rows = stored.where(_drawn(F.col("h"), SAMPLE_BYTES, total)).select("f").toLocalIterator()
-    parts = [np.frombuffer(f, "<i4") for f in sorted(bytes(r["f"]) for r in rows)]
-    if not parts:
-        return Rows(np.zeros(0, np.int64), np.zeros(0, np.int64))
-    return Rows(np.concatenate(parts), np.cumsum([len(p) for p in parts]))
+    return gathered(r["f"] for r in rows)
 
 
 def fit(
@@ -239,19 +264,17 @@ def fit(
     rows = bound_batches(df).select(df[f"`{key}`"].alias("k"), F.coalesce(df[f"`{text}`"].cast("string"), F.lit("")).alias("t"))
     marked = lambda y, most, total: F.broadcast(known.where((F.col("y") == y) & _drawn(F.col("k"), most, total)).select("k"))
     toxic = _sample(rows.join(marked(1, positives, seen["toxic"]), "k"))
-    clean = _sample(rows.join(marked(0, harmless, seen["clean"]), "k")) if seen["clean"] else ()
     different = rows.agg(F.approx_count_distinct(F.xxhash64("t")).alias("n")).first()["n"]
     mixed = _sample(rows.where(_drawn(F.col("t"), unlabelled, different)))
     if not len(toxic) or not len(mixed):
         return None
     columns = telling(toxic, mixed)
-    if len(columns) == 0:
-        clean = ()
     few = toxic.only(columns), mixed.only(columns), len(columns)
+    del toxic, mixed
+    clean = _sample(rows.join(marked(0, harmless, seen["clean"]), "k")).only(columns) if seen["clean"] and len(columns) else ()
     found = [train(*few, prior, seed) for seed in range(MODELS)]
     if len(clean):
-        sure = few[0], clean.only(columns)
-        found = [calibrated(w, b, *sure) for w, b in found]
+        found = [calibrated(w, b, few[0], clean) for w, b in found]
     weights = np.zeros((MODELS, 1 << FEATURE_BITS), np.float32)
     weights[:, columns] = [w for w, _ in found]
     return Model(weights, np.array([b for _, b in found]))

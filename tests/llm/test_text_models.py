@@ -4,6 +4,7 @@ import collections
 import math
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -152,6 +153,24 @@ def test_toxic_texts_are_found_where_more_of_them_are_unlabelled_than_the_prior_
     assert found(harmless, w, bias) < 0.1
 
 
+def test_the_drivers_samples_are_held_end_to_end():
+    """Rows come in the order of their bytes, empty ones too, and scores of many rows need memory for a few at a time."""
+    draw = np.random.default_rng(6)
+    parts = [np.sort(draw.choice(5_000, n, replace=False)).astype("<i4") for n in [0, 0, 1, *draw.integers(300, 700, 2_000)]]
+    rows = toxicity.gathered(bytearray(p.tobytes()) for p in parts)
+    expected = sorted(p.tobytes() for p in parts)
+    assert [c.tobytes() for c in np.split(rows.columns, rows.ends[:-1])] == expected
+    assert [len(toxicity.gathered(iter(x))) for x in ([], [b"", b""])] == [0, 2]
+    w = draw.standard_normal(5_000)
+    sums = [w[np.frombuffer(p, "<i4")].sum() for p in expected]
+    tracemalloc.start()
+    found, _ = toxicity.calibrated(w, 0.0, rows, rows)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(rows.totals(w), sums) and found.shape == w.shape
+    assert most < 8 * len(rows.columns)  # a number a column and row
+
+
 def test_a_hot_text_is_one_text_of_the_samples(spark):
     """A text that a third of the rows copy neither fills the samples nor crowds out a language."""
     rows, labels = labelled(900, 4)

@@ -1,13 +1,15 @@
 """Token counts and packing against the tokenizer itself."""
 
+import os
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F, types as T
 
-from ratingloom.llm import packing, token_counts
+from ratingloom.llm import packing, pieces, token_counts
 from ratingloom.llm.packing import Limits
 
 ALPHABET = [" ", "  ", "\n", "\t", "\r\n", "\x1c", "a", "bc", "'s", "é", "1", "²", "!", "<|endoftext|>", "中", "…", "\u0085", "　", "🙂", "the"]
@@ -61,6 +63,26 @@ def test_counts_of_another_kind_of_tokenizer(spark):
     assert got == {i: len(x) for i, x in enumerate(library_ids(path, values))}
 
 
+def test_the_driver_holds_no_tokenizer(spark, tokenizer_file, monkeypatch):
+    """The table of frequent pieces is learned in a task; the driver only passes it on."""
+    values = ["day after day after day", "", None, "zwölf 中"]
+    first = pieces.frequent_pieces(pieces.Encoder(tokenizer_file), pa.array([v for v in values if v is not None]), 100)
+
+    driver, real = os.getpid(), pieces.Encoder.__init__
+
+    def elsewhere(self, *a):
+        assert os.getpid() != driver
+        real(self, *a)
+
+    df = frame(spark, values)
+    expected = {i: len(x) for i, x in enumerate(library_ids(tokenizer_file, values))}
+    monkeypatch.setattr(pieces.Encoder, "__init__", elsewhere)
+    got = token_counts.first_tier(df, "text", tokenizer_file, 100).value
+    assert all((a == b).all() for a, b in zip(got, first, strict=True))
+    assert token_counts.first_tier(df.where("false"), "text", tokenizer_file).value is None
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(df, "text", tokenizer_file).collect()} == expected
+
+
 def check_sequences(rows, limits):
     by = {}
     for r in rows:
