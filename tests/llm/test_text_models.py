@@ -2,6 +2,7 @@
 
 import collections
 import math
+import os
 import random
 import re
 import tracemalloc
@@ -11,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from text_cases import plain_words, sentence
 
+from ratingloom import staging
 from ratingloom.llm import dealt, language_id, suffix_tree, toxicity
 
 LANGUAGES = {"xa": "the of and was with ing tion er".split(), "xb": "der und ein ich sch keit ung zu".split(), "xc": "él ñor ción que los mente ado ía".split()}
@@ -383,6 +385,26 @@ def test_each_part_of_the_counts_has_a_task_of_its_own(spark):
     assert len(set(parts.tolist())) == 16 and all(r.task == part for r, part in zip(grams, parts.tolist()))
 
 
+def test_tables_of_a_length_are_gone_when_the_next_is_counted(spark, monkeypatch):
+    there, store = {}, suffix_tree._stage
+
+    def watched(df, name):
+        folder = staging.work_folder(spark)
+        there[name] = {x.rsplit("-", 1)[0] for x in os.listdir(folder)} - before if os.path.isdir(folder) else set()
+        return store(df, name)
+
+    before = {x.rsplit("-", 1)[0] for x in os.listdir(staging.work_folder(spark))} if os.path.isdir(staging.work_folder(spark)) else set()
+    monkeypatch.setattr(staging, "stage", lambda df, name, stage=staging.stage: stage(df, f"own-{name}"))
+    monkeypatch.setattr(suffix_tree, "_stage", watched)
+    learn = spark.createDataFrame([(i, "aa bb cc dd ee ff") for i in range(9)], "doc_id long, text string")
+    tree, counts = suffix_tree.fit(learn, "text")
+    last = suffix_tree.DEPTH + 1
+    for n in range(3, last + 1):
+        assert there[f"grams{n}"] == {"own-words", f"own-level{n - 1}", *(f"own-nodes{k}" for k in range(2, n))}
+    assert f"own-grams{last}" not in there[f"states{last - 1}"] and f"own-level{last - 1}" not in there[f"level{last}"]
+    assert suffix_tree.score(learn, "doc_id", "text", tree, counts).count() == 9
+
+
 def test_nothing_broadcast_is_kept_after_the_scores(spark, monkeypatch):
     sent, send = [], type(spark.sparkContext).broadcast
     monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append((send(self, value), type(value))) or sent[-1][0])
